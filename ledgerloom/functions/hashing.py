@@ -16,21 +16,29 @@ SEED = 42
 _LOW_NIBBLES = 0x0F0F0F0F0F0F0F0F
 
 
-def token_hash(text: Column) -> Column:
-    """First eight md5 bytes, little-endian, kept to 61 bits, as BIGINT.
+def _swapped_bits(text: Column) -> Column:
+    """The first eight md5 bytes with their order and the two hex digits of each byte reversed.
 
-    Reversing the hex digits reverses the bytes and the two digits inside each byte; the shifts put
-    the digits of each byte back in order.  ``conv`` to base -10 reads the digits as a signed value.
+    ``conv`` to base -10 reads the sixteen digits as a signed value, so it always fits a BIGINT.
     """
-    digits = F.reverse(F.substring(F.md5(F.encode(text, "UTF-8")), 1, 16))
-    bits = F.conv(digits, 16, -10).cast("bigint")
+    return F.conv(F.reverse(F.substring(F.md5(text), 1, 16)), 16, -10).cast("bigint")
+
+
+def _unswapped(bits: Column) -> Column:
+    """Put the two digits of each byte back in order and keep 61 bits."""
     low = F.shiftleft(bits.bitwiseAND(F.lit(_LOW_NIBBLES)), 4)
     high = F.shiftrightunsigned(bits, 4).bitwiseAND(F.lit(_LOW_NIBBLES))
     return low.bitwiseOR(high).bitwiseAND(F.lit(MODULUS))
 
 
+def token_hash(text: Column) -> Column:
+    """First eight md5 bytes, little-endian, kept to 61 bits, as BIGINT."""
+    return _unswapped(_swapped_bits(text))
+
+
 def hash_grams(grams: Column) -> Column:
-    return F.transform(grams, token_hash)
+    """``token_hash`` of every element; in two passes, so that each md5 is taken once."""
+    return F.transform(F.transform(grams, _swapped_bits), _unswapped)
 
 
 @lru_cache(maxsize=None)
@@ -44,12 +52,20 @@ def coefficients(field: str, seed: int = SEED, rows: int = MAX_ROWS) -> tuple[np
     return drawn[field]
 
 
-def minima(values: np.ndarray, starts: np.ndarray, counts: np.ndarray, field: str, rows: int) -> np.ndarray:
+def family(field: str, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``rows`` functions of one field."""
+    multipliers, offsets = coefficients(field)
+    return multipliers[:rows], offsets[:rows]
+
+
+def minima(
+    values: np.ndarray, starts: np.ndarray, counts: np.ndarray, multipliers: np.ndarray, offsets: np.ndarray
+) -> np.ndarray:
     """Smallest hash per function and set, for many sets laid end to end; zeros for an empty set.
 
     The product wraps at 64 bits before the modulus is taken; 2^61-1 is taken by folding.
     """
-    multipliers, offsets = coefficients(field)
+    rows = len(multipliers)
     out = np.zeros((len(counts), rows), dtype=np.uint64)
     filled = counts > 0
     if not filled.any():

@@ -6,6 +6,8 @@ depend on the regex dialect's own idea of ``\\w``, ``\\s``, ``\\b`` or ``.``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,17 +79,28 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once.
+
+    A column used inside a lambda is otherwise evaluated again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def word_grams(words: Column, n: int) -> Column:
     """Distinct word n-grams of a token array; a shorter text is one gram, no words give none."""
-    grams = F.transform(
-        F.sequence(F.lit(0), F.size(words) - n),
-        lambda at: F.concat_ws(" ", *[F.get(words, at + k) for k in range(n)]),
-    )
-    return (
-        F.when(F.size(words) >= n, F.array_distinct(grams))
-        .when(F.size(words) > 0, F.array(F.array_join(words, " ")))
-        .otherwise(F.array().cast("array<string>"))
-    )
+
+    def grams(w: Column) -> Column:
+        runs = F.transform(
+            F.sequence(F.lit(0), F.size(w) - n), lambda at: F.concat_ws(" ", *[F.get(w, at + k) for k in range(n)])
+        )
+        return (
+            F.when(F.size(w) >= n, F.array_distinct(runs))
+            .when(F.size(w) > 0, F.array(F.array_join(w, " ")))
+            .otherwise(F.array().cast("array<string>"))
+        )
+
+    return bound(words, grams)
 
 
 def char_length(text: Column) -> Column:

@@ -112,7 +112,7 @@ def stale_prices(fact: DataFrame, revisions: DataFrame) -> DataFrame:
     sales = fact.where(F.col("line_type") == "SALE").groupBy("product_sk", "date_key", "unit_price").agg(
         F.count("*").alias("n")
     )
-    current = F.col("date_key").between("effective_from", "effective_to")
+    current = F.col("date_key").between(F.col("effective_from"), F.col("effective_to"))
     older = F.col("effective_to") < F.col("date_key")
     same = F.col("price") == F.col("unit_price")
     judged = (

@@ -7,20 +7,27 @@ batches.  They need products that wrap at 64 unsigned bits, which checked BIGINT
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
-from ledgerloom.functions.hashing import hash_grams, minima
+from ledgerloom.functions import hashing
+from ledgerloom.functions.hashing import family, hash_grams, minima
 from ledgerloom.functions.similarity import ALPHA
-from ledgerloom.session import materialise
+from ledgerloom.session import materialise, spread
 
 ROWS = 128
 
+# Executors need no installed copy of this package: the few helpers travel with the task.
+cloudpickle.register_pickle_by_value(hashing)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def shingle_columns(cleaned: bool = True) -> tuple[Column, Column]:
     """Title and body n-grams of a notice, from cleaned text or from the text as it came."""
@@ -48,7 +55,7 @@ def hashed(notices: DataFrame, cleaned: bool = True, keep: list[str] = ()) -> Da
         title, body = T.clean_title(title), T.clean_body(body)
     else:
         title, body = F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
-    words = notices.select(
+    words = spread(notices).select(
         "notice_id", "portal_id", *keep, T.tokens(title).alias("tw"), T.tokens(body).alias("bw")
     )
     text_key = F.md5(F.concat_ws("\u0001", F.array_join("tw", " "), F.array_join("bw", " ")))
@@ -83,13 +90,14 @@ def with_signatures(sets: DataFrame, rows: int = ROWS, interleaved: bool = True)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sets.schema.fields)
     schema += "".join(f", {name} array<bigint>" for name in added)
     per_field = rows // 2 if interleaved else rows
+    title_family, body_family = family("title", per_field), family("body", per_field)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            title = minima(*_lists(batch.column("title_set")), "title", per_field)
-            body = minima(*_lists(batch.column("body_set")), "body", per_field)
+            title = minima(*_lists(batch.column("title_set")), *title_family)
+            body = minima(*_lists(batch.column("body_set")), *body_family)
             if interleaved:
                 both = np.empty((batch.num_rows, rows), dtype=np.uint64)
                 both[:, 0::2], both[:, 1::2] = title, body

@@ -149,7 +149,7 @@ def category_revenue(lines: DataFrame, stores: DataFrame, products: DataFrame) -
     p = products.select(F.col("product_code").alias("code"), "category", "valid_from", "valid_to")
     return (
         daily.join(
-            p, (F.col("product_code") == F.col("code")) & F.col("business_date").between("valid_from", "valid_to")
+            p, (F.col("product_code") == F.col("code")) & F.col("business_date").between(F.col("valid_from"), F.col("valid_to"))
         )
         .groupBy("store_id", "category")
         .agg(F.sum("n").alias("revenue_lines"), F.sum("net").cast("decimal(24,2)").alias("category_revenue"))

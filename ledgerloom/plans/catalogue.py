@@ -2,8 +2,32 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import retail, retail_sql
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.plans import notice_sql, notices, retail, retail_sql
 
 Query = retail.Query
-QUERIES: dict[str, Query] = {**retail.QUERIES}
-ORACLES: dict[str, str] = {**retail_sql.ORACLES}
+PLACES = 6
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Results as other engines hand them over: money as DOUBLE, computed fractions to six places."""
+    out = []
+    for name, kind in df.dtypes:
+        if kind.startswith("decimal"):
+            out.append(F.col(name).cast("double").alias(name))
+        elif kind == "double":
+            out.append(F.round(name, PLACES).alias(name))
+        else:
+            out.append(F.col(name))
+    return df.select(*out)
+
+
+def _settling(query: Query) -> Query:
+    return lambda spark, sf_dir: settled(query(spark, sf_dir))
+
+
+_NAMED: dict[str, Query] = {**retail.QUERIES, **notices.QUERIES}
+QUERIES: dict[str, Query] = {name: _settling(query) for name, query in _NAMED.items()}
+ORACLES: dict[str, str] = {**retail_sql.ORACLES, **notice_sql.ORACLES}

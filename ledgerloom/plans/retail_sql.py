@@ -126,7 +126,7 @@ select region_store as store_id, month, count(*) as bill_lines, cast(sum(net) as
 from revenue_lines join region_store using (store_id)
 where region_store = 'S01' and year = '1998' and month = '01' group by 1, 2""")
 
-ORACLES: dict[str, str] = {
+_DECIMAL_RESULTS: dict[str, str] = {
     "dedup_lines": _q("select * replace (strftime(ts, '%Y-%m-%d %H:%M:%S') as ts) from lines"),
     "dedup_audit": _q("""
 select copies, differ as copies_differ, count(*) as line_keys, cast(sum(copies) as bigint) as raw_lines from (
@@ -243,3 +243,39 @@ select count(*) as row_count, cast(sum(v) as decimal(38,0)) as hash_sum, bit_xor
 select n as rows_a, n as rows_b, 0::bigint as only_a, 0::bigint as only_b, true as identical
 from (select count(*) as n from lines join region_store using (store_id))"""),
 }
+
+# Money columns of each result; they are handed over as DOUBLE.
+_MONEY: dict[str, tuple[str, ...]] = {
+    "dedup_lines": ("qty", "unit_price"),
+    "normalise_dialects": ("qty", "unit_price"),
+    "full_scan": ("revenue",),
+    "partition_pruned_scan": ("revenue",),
+    "scd2_fact": ("quantity", "unit_price", "net_amount"),
+    "scd2_version_check": ("avg_price",),
+    "line_type_audit": ("raw_sum",),
+    "naive_vs_revenue": ("naive_sum", "net_revenue", "inflation"),
+    "price_as_of_early": ("price", "realised_revenue"),
+    "price_as_of_late": ("price", "realised_revenue"),
+    "category_revenue": ("category_revenue",),
+    "dash_kpi": ("total_net_revenue", "avg_line_revenue", "total_quantity"),
+    "dash_filtered": ("total_net_revenue", "avg_line_revenue", "total_quantity"),
+    "dash_by_store": ("net_revenue",),
+    "dash_by_weekday": ("net_revenue",),
+    "dash_by_month": ("net_revenue",),
+    "dash_by_category": ("net_revenue",),
+    "dash_top_products": ("net_revenue",),
+    "monthly_revenue": ("net_revenue",),
+    "reconcile": ("finance_revenue", "fact_revenue", "variance"),
+    "variance_causes": ("variance", "rounding_effect", "resent_revenue"),
+    "bill_rounded_revenue": ("exact_revenue", "rounded_revenue"),
+    "void_policy": ("keep_both", "drop_bill", "drop_void_only"),
+    "dataset_checksum": ("hash_sum",),
+}
+
+
+def _as_double(name: str, sql: str) -> str:
+    money = ", ".join(f"cast({c} as double) as {c}" for c in _MONEY.get(name, ()))
+    return f"select * replace ({money}) from ({sql})" if money else sql
+
+
+ORACLES: dict[str, str] = {name: _as_double(name, sql) for name, sql in _DECIMAL_RESULTS.items()}

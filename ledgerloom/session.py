@@ -70,3 +70,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a CPU-heavy narrow step as many partitions as there are cores.
+
+    Only a small input that sits in fewer file splits than cores is shuffled; a large one has more
+    splits than that and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

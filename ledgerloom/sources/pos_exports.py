@@ -75,7 +75,7 @@ def _typed(rows: DataFrame, stamp: Column) -> DataFrame:
 
 def read_csv_dialect(spark: SparkSession, root: str, dialect: Dialect) -> DataFrame:
     """All CSV exports of one dialect under ``root``."""
-    paths = [f"{root}/SALES_{store}_*" for store in dialect.stores]
+    paths = [f"{root}/*SALES_{store}_*" for store in dialect.stores]
     rows = (
         spark.read.option("header", True)
         .option("sep", dialect.separator)
@@ -92,7 +92,7 @@ def read_parquet_days(spark: SparkSession, root: str) -> DataFrame:
     """Export days that were written as Parquet, of any store; ``ts`` is a timestamp there."""
     rows = (
         spark.read.option("pathGlobFilter", "*.parquet")
-        .parquet(*existing(spark, [f"{root}/SALES_*"]))
+        .parquet(*existing(spark, [f"{root}/*SALES_*"]))
         .select(*LINE_COLUMNS, F.col("_metadata.file_path").alias("file_path"))
     )
     return _typed(rows, F.col("ts").cast("timestamp"))
@@ -116,7 +116,7 @@ def read_exports(spark: SparkSession, root: str, parquet_days: bool = False) ->
     parts = [
         read_csv_dialect(spark, root, dialect)
         for dialect in DIALECTS
-        if existing(spark, [f"{root}/SALES_{store}_*" for store in dialect.stores])
+        if existing(spark, [f"{root}/*SALES_{store}_*" for store in dialect.stores])
     ]
     if parquet_days:
         parts.append(read_parquet_days(spark, root))
