@@ -51,7 +51,9 @@ def _tokens(value: str) -> str:
 
 
 def _grams(words: str, n: int) -> str:
-    run = f"list_distinct(list_transform(range(1, len({words}) - {n} + 2), lambda i: array_to_string({words}[i:i + {n} - 1], ' ')))"
+    shifted = ", ".join([words, *[f"{words}[{k + 1}:]" for k in range(1, n)], "true"])
+    joined = " || ' ' || ".join(f"z[{k + 1}]" for k in range(n))
+    run = f"list_distinct(list_transform(list_zip({shifted}), lambda z: {joined}))"
     return f"case when len({words}) >= {n} then {run} when len({words}) > 0 then [array_to_string({words}, ' ')] else [] end"
 
 
@@ -77,9 +79,9 @@ def _signatures(grams: str, name: str, rows: int = 64) -> str:
 {name}_x as (
   select notice_id, 0 as field, md5_number_upper(unnest(tg)) & {MODULUS}::ubigint as x from {grams}
   union all select notice_id, 1, md5_number_upper(unnest(bg)) & {MODULUS}::ubigint from {grams}),
+{name}_h as (select notice_id, field, i, ((a * x::hugeint + b) & {_WRAP}::hugeint)::ubigint as h from {name}_x join {name}_f using (field)),
 {name}_m as materialized (
-  select notice_id, field, i, cast(min(((a * x::hugeint + b) & {_WRAP}::hugeint) % {MODULUS}::hugeint) as bigint) as m
-  from {name}_x join {name}_f using (field) group by all),
+  select notice_id, field, i, cast(min(((h & {MODULUS}::ubigint) + (h >> 61)) % {MODULUS}::ubigint) as bigint) as m from {name}_h group by all),
 {name} as materialized (
   select notice_id, list(coalesce(m, 0) order by 2 * i + field) as sig,
     list(coalesce(m, 0) order by i) filter (field = 0) as tsig, list(coalesce(m, 0) order by i) filter (field = 1) as bsig
