@@ -12,7 +12,7 @@ from ledgerloom.functions.similarity import (
     ALPHA, composite, estimated_jaccard, inflection, rows_for_error, s_curve, standard_error,
 )
 from ledgerloom.operators.banding import (
-    BANDS, BUCKET, ROWS_PER_BAND, buckets, collide, pairs_within, shared_buckets,
+    BANDS, BUCKET, ROWS_PER_BAND, buckets, collide, pairs_within, shared_buckets, stored_members,
 )
 from ledgerloom.operators.matching import TAU, both_sides
 from ledgerloom.operators.ordered import cumulative, folded_by_value, percentiles, union_all
@@ -86,12 +86,16 @@ def best_threshold(scored: DataFrame, score: str) -> DataFrame:
     )
 
 
-def holdout_threshold(scored: DataFrame, score: str, share: int = 5) -> DataFrame:
-    """The best threshold of one part of the pairs, judged on the part held out by pair hash."""
-    held = F.pmod(F.xxhash64("id_a", "id_b"), F.lit(share)) == 0
-    chosen = best_threshold(scored.where(~held), score)
-    tau = chosen.select("threshold").scalar()
-    return confusion(scored.where(held), F.col(score) >= tau).withColumn("threshold", tau)
+def holdout_threshold(scored: DataFrame, score: str, parts: int = 2) -> DataFrame:
+    """Thresholds judged on pairs they were not chosen on: each part of the pairs, split by pair hash,
+    is judged with the best threshold of all the other parts."""
+    part = F.pmod(F.xxhash64("id_a", "id_b"), F.lit(parts)).cast("int")
+    split = scored.withColumn("part", part)
+    judged = []
+    for held in range(parts):
+        tau = best_threshold(split.where(F.col("part") != held), score).select("threshold").scalar()
+        judged.append(confusion(split.where(F.col("part") == held), F.col(score) >= tau, ["part"]).withColumn("threshold", tau))
+    return union_all(judged)
 
 
 def confusion(pairs: DataFrame, predicted: Column, by: list[str] = ()) -> DataFrame:
@@ -236,20 +240,24 @@ def banding_grid(scored: DataFrame, signed: DataFrame, configs: tuple = CONFIGS,
         F.count_if(~F.col("retrieved") & F.col("is_same")).alias("fn"),
         F.count_if(F.col("retrieved")).alias("work_pairs"),
     )
+    corpus = signed.agg(F.count("*").alias("m"))
+    m = corpus.scalar()
+    size = F.col("bucket_size")
     parts = []
     for n, r in configs:
-        sizes = buckets(signed, n, r).groupBy(*BUCKET).agg(F.count("*").alias("n"))
-        size = F.col("n")
-        sized = sizes.agg(
-            F.count("*").alias("total_buckets"), F.max("n").alias("largest_bucket"),
+        members = stored_members(signed, n, r)
+        per_bucket = members.groupBy(*BUCKET).agg(F.count("*").alias("bucket_size"))
+        shared = per_bucket.agg(
+            F.count("*").alias("shared"), F.coalesce(F.sum(size), F.lit(0)).alias("in_shared"),
+            F.coalesce(F.max(size), F.lit(1)).alias("largest_bucket"),
             F.coalesce(F.sum(F.when(size > limit, size * (size - 1) / 2)), F.lit(0)).cast("bigint").alias("unlisted_comparisons"),
         )
-        pool = listed_pairs(signed, n, r, limit=limit).agg(F.count("*").alias("pool_pairs"))
-        parts.append(sized.select(
-            F.lit(n).alias("bands"), F.lit(r).alias("rows"), "*", pool.scalar().alias("pool_pairs")
+        pool = pairs_within(members.where(size <= limit)).agg(F.count("*").alias("pool_pairs"))
+        # Every notice is in one bucket per band, so the rows outside shared buckets are buckets of one.
+        parts.append(shared.select(
+            F.lit(n).alias("bands"), F.lit(r).alias("rows"), (m * n - F.col("in_shared") + F.col("shared")).alias("total_buckets"),
+            "largest_bucket", "unlisted_comparisons", pool.scalar().alias("pool_pairs"),
         ))
-    corpus = signed.agg(F.count("*").alias("m"))
-    m = corpus.scalar()
     possible = m * (m - 1) / 2
     return judged.join(union_all(parts), ["bands", "rows"]).select(
         "bands", "rows", inflection(F.col("bands"), F.col("rows")).alias("inflection"),

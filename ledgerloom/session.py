@@ -48,7 +48,7 @@ def scratch_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session without that setting
     gets a folder of its own; on a cluster a machine-local folder would lose data with its node.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -275,3 +275,9 @@ def test_work_and_caps(spark, sets, rows):
         assert sweep[cap]["p90"] == pytest.approx(np.percentile(list(degree.values()), 90))
     found = [sweep[c]["found"] for c in (10, 20, 30, 50, 0)]
     assert found == sorted(found) and sweep[0]["recall_pct"] == 100.0
+
+
+def test_holdout_covers_every_pair(scored):
+    df, rows = scored
+    judged = E.holdout_threshold(df, "s").collect()
+    assert len(judged) == 2 and sum(r["tp"] + r["fp"] + r["fn"] + r["tn"] for r in judged) == len(rows)
