@@ -98,6 +98,12 @@ def _q(select: str) -> str:
     return f"with {_RAW.strip()}\n{select}"
 
 
+def _mean(total: str, count: str) -> str:
+    """An exact mean to two places, half away from zero; a DOUBLE mean cannot hold half a cent."""
+    cents = f"cast(cast({total} as decimal(20,2)) * 100 as hugeint)"
+    return f"cast(sign({cents}) * ((2 * abs({cents}) + {count}) // (2 * {count})) as double) / 100"
+
+
 def _prices(day: str) -> str:
     return _q(f"""
 select product_code, product_name, category, price, effective_from, effective_to,
@@ -116,7 +122,7 @@ def _breakdown(columns: str, where: str = "true") -> str:
 def _kpi(where: str) -> str:
     return _q(f"""
 select count(*) as total_lines, cast(sum(net_amount) as decimal(24,2)) as total_net_revenue,
-  cast(round(cast(sum(net_amount) as double) / count(*), 2) as decimal(24,2)) as avg_line_revenue,
+  {_mean("sum(net_amount)", "count(*)")} as avg_line_revenue,
   cast(sum(quantity) as decimal(24,2)) as total_quantity
 from slice where {where}""")
 
@@ -155,9 +161,9 @@ union all select 'dim_product', count(*) from dim_product
 union all select 'dim_date', count(*) from dim_date
 union all select 'fact_sales', count(*) from fact"""),
     "scd2_fact": _q("select * from fact"),
-    "scd2_version_check": _q("""
+    "scd2_version_check": _q(f"""
 select p.product_sk, p.product_code, product_name, category, valid_from, valid_to, count(f.line_no) as lines_joined,
-  cast(round(cast(sum(f.unit_price) as double) / nullif(count(f.line_no), 0), 2) as decimal(24,2)) as avg_price
+  {_mean("sum(f.unit_price)", "nullif(count(f.line_no), 0)")} as avg_price
 from products p left join fact f using (product_sk)
 where p.product_code in (select product_code from products group by 1 having count(*) > 1)
 group by 1, 2, 3, 4, 5, 6"""),
