@@ -18,6 +18,8 @@ from ledgerloom.session import materialise, scratch_path, spread
 from ledgerloom.sources import tables as S
 from ledgerloom.streaming import arrivals
 
+NIGHT_SECONDS = 1200.0
+
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     title, body = T.clean_title(F.col("title")), T.strip_blanks(T.clean_body(F.col("body")))
@@ -159,6 +161,19 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wall time of each stage against a nightly budget of twenty minutes."""
+    return profile.stage_timings(spark, {
+        "hashed": lambda done: hashed(S.notices(spark, sf_dir)),
+        "signed": lambda done: with_signatures(done["hashed"]),
+        "index": lambda done: banding.bucket_index(done["signed"]),
+        "candidates": lambda done: banding.capped_candidates(done["signed"]),
+        "screened": lambda done: matching.screen(done["candidates"], done["signed"]),
+        "verified": lambda done: matching.verify(done["screened"].select("id_a", "id_b"), done["signed"]),
+        "cards": lambda done: cards.card_map(done["signed"]),
+    }, NIGHT_SECONDS)
+
+
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cards.card_map(N.signed_notices(spark, sf_dir))
 
@@ -265,6 +280,7 @@ QUERIES: dict[str, Query] = {
     "screen_pairs": screen_pairs,
     "verify_pairs": verify_pairs,
     "stage_counts": stage_counts,
+    "stage_timings": stage_timings,
     "components": components,
     "cards": card_list,
     "card_members": card_members,
