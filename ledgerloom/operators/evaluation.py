@@ -228,6 +228,14 @@ def listed_pairs(signed: DataFrame, bands: int, rows: int, across: str | None =
     return pairs_within(members.where(F.col("bucket_size") <= limit), across, keep_size=True)
 
 
+def unlisted(signed: DataFrame, bands: int = BANDS, rows: int = ROWS_PER_BAND, limit: int = LISTED_BUCKET) -> DataFrame:
+    """Comparisons in buckets too large to list, one row, from their sizes alone."""
+    size = F.col("n")
+    sizes = buckets(signed, bands, rows).groupBy(*BUCKET).agg(F.count("*").alias("n")).where(size > limit)
+    total = F.coalesce(F.sum(size * (size - 1) / 2), F.lit(0)).cast("bigint")
+    return sizes.agg(total.alias("unlisted_comparisons"))
+
+
 def banding_grid(scored: DataFrame, signed: DataFrame, configs: tuple = CONFIGS, limit: int = LISTED_BUCKET) -> DataFrame:
     """Recall, work and buckets of each banding.
 
@@ -393,13 +401,17 @@ def retrieval_summary(
     name: str, signed: DataFrame, labelled: DataFrame, across: str | None, cap: int | None = None,
     bands: int = BANDS, rows: int = ROWS_PER_BAND,
 ) -> DataFrame:
-    """One row on a retrieval variant: pairs, recall and the spread of work."""
+    """One row on a retrieval variant: pairs, recall and the spread of work.
+
+    Without a cap, comparisons of buckets too large to list are counted in ``unlisted_comparisons``.
+    """
     limit = LISTED_BUCKET if cap is None else cap
     found = materialise(listed_pairs(signed, bands, rows, across, limit), "variant")
     work = work_distribution(work_per_notice(found, signed.select("notice_id")))
     recall = candidate_recall(labelled, found)
+    left_out = F.lit(0).cast("bigint") if cap is not None else unlisted(signed, bands, rows).scalar()
     return work.select(
-        F.lit(name).alias("variant"), "*",
+        F.lit(name).alias("variant"), "*", left_out.alias("unlisted_comparisons"),
         *[recall.select(c).scalar().alias(c) for c in ("duplicates", "found", "recall_pct")],
     )
 

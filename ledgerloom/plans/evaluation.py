@@ -112,7 +112,9 @@ def label_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cap_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets, pairs = _signed_and_scored(spark, sf_dir)
     found = E.listed_pairs(sets, banding.BANDS, banding.ROWS_PER_BAND, "portal_id")
-    return E.cap_sweep(found, sets.select("notice_id"), pairs)
+    swept = E.cap_sweep(found, sets.select("notice_id"), pairs)
+    left_out = F.when(F.col("cap") == 0, E.unlisted(sets).scalar()).otherwise(F.lit(0).cast("bigint"))
+    return swept.withColumn("unlisted_comparisons", left_out)
 
 
 def _variants(spark: SparkSession, sf_dir: str, wanted: list[tuple[str, bool, str | None, int | None]]) -> list[DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.operators.evaluation import CAPS, CONFIGS, RATIOS, SIZES
+from ledgerloom.operators.evaluation import CAPS, CONFIGS, LISTED_BUCKET, RATIOS, SIZES
 from ledgerloom.operators.matching import TAU
 from ledgerloom.plans.notice_sql import _ALL, _WORK, _bands, _q, _signatures
 
@@ -85,6 +85,12 @@ def _work(pairs: str, name: str) -> str:
 
 _SUMMARY = f"count(*) as notices, cast(sum(work) // 2 as bigint) as total_pairs, max(work) as max_work, {_WORK}"
 _WORKED = _work("capped", "worked")
+
+
+def _unlisted(sizes: str) -> str:
+    return f"(select cast(coalesce(sum(n * (n - 1) // 2), 0) as bigint) from {sizes} where n > {LISTED_BUCKET})"
+
+
 _RAW_BANDS = _signatures("raw_field_grams", "rsigs") + "," + _bands("rsigs", "rbands")
 _VARIANTS = {
     "raw, all pairs": "select id_a, id_b from rbands_met", "clean, all pairs": "select id_a, id_b from bands_met",
@@ -161,7 +167,7 @@ select k, id_a, id_b, is_same, round(similarity, 6) as similarity, round(estimat
   round(estimate - similarity, 6) as error, round(abs(similarity - {TAU}), 6) as distance from est_errors where not agrees""", extra=_ESTIMATES),
     "banding_grid": _q(" union all ".join(f"""
 select {b} as bands, {r} as rows, round(pow(1.0::double / {b}, 1.0::double / {r}), 6) as inflection,
-  round(tp / (tp + fn)::double * 100, 6) as recall_pct, work_pairs, total_buckets, largest_bucket, pool_pairs, 0::bigint as unlisted_comparisons,
+  round(tp / (tp + fn)::double * 100, 6) as recall_pct, work_pairs, total_buckets, largest_bucket, pool_pairs, {_unlisted(f"g{b}_sizes")} as unlisted_comparisons,
   round((1 - pool_pairs / (m * (m - 1) / 2.0::double)) * 100, 6) as reduction_pct
 from (select count(*) filter (retrieved and is_same) as tp, count(*) filter (not retrieved and is_same) as fn, count(*) filter (retrieved) as work_pairs
       from hits where bands = {b}),
@@ -195,10 +201,11 @@ select part, cast(sum(n) as bigint) as notices, cast(sum(tw) as bigint) as total
 where part is not null group by 1""", extra=_WORKED),
     "cap_sweep": _q(f"""
 select cap, {_SUMMARY}, any_value(duplicates) as duplicates, any_value(found) as found,
-  round(any_value(found / duplicates::double) * 100, 6) as recall_pct
+  round(any_value(found / duplicates::double) * 100, 6) as recall_pct,
+  case when cap = 0 then {_unlisted("bands_sizes")} else 0 end as unlisted_comparisons
 from cap_work join cap_found using (cap) group by cap""", extra=_CAP_CTES),
     "mitigation_matrix": _q(" union all ".join(
-        f"select '{name}' as variant, s.*, r.* from (select {_SUMMARY} from w{i}) s, {_recall(f'v{i}')} r" for i, name in enumerate(_VARIANTS)),
+        f"select '{name}' as variant, {_unlisted('rbands_sizes' if name.startswith('raw') else 'bands_sizes')} as unlisted_comparisons, s.*, r.* from (select {_SUMMARY} from w{i}) s, {_recall(f'v{i}')} r" for i, name in enumerate(_VARIANTS)),
         extra=_VARIANT_CTES),
     "before_after": _q(f"""
 , one as (select s.*, r.* from (select {_SUMMARY} from w0) s, {_recall('v0')} r),
