@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import toxicity
+from ledgerloom.llm import exact_dedup, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -12,3 +12,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents scored under 0.5 by a model learned from ``labels``."""
     model = toxicity.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text: the one with the largest id."""
+    return exact_dedup.without_copies(docs)
