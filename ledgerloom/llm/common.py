@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python step holds at a time; a single longer text is handled alone.
@@ -48,3 +48,22 @@ def row_keys(docs: DataFrame) -> DataFrame:
     Only for rows that were written to storage; a plan with a shuffle may number them anew.
     """
     return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
+def running(rows: DataFrame, by: list[str], bucket: Column, order: list[Column], value: Column, name: str) -> DataFrame:
+    """``rows`` with ``name``: the sum of ``value`` over the rows before it in its group.
+
+    ``bucket`` cuts a group into parts that follow the order.  Parts are summed first, the few sums run through a
+    window, and each part is then numbered on its own, so a group of any size is spread over its parts.  Columns in
+    ``by`` hold no null.
+    """
+    cut = rows.withColumn("_bucket", bucket).withColumn("_value", value)
+    sums = cut.groupBy(*by, "_bucket").agg(F.sum("_value").alias("_sum"))
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(*by, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        cut.join(bases, [*by, "_bucket"])
+        .withColumn(name, F.col("_base") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        .drop("_bucket", "_value", "_base")
+    )

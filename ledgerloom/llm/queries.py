@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, toxicity
+from ledgerloom.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
 from ledgerloom.llm.common import id_residue, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,35 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(table(spark, sf_dir, "documents"), mixing.Target(repetitions=1.5))
+    return mix.select(
+        F.col("id").alias("doc_id"), F.when(~F.col("unnamed"), F.col("source")).alias("source"), "block", F.col("tokens").alias("n_tokens"),
+        "start", "quota", (F.col("start") / F.col("quota")).alias("place"),
+    )
+
+
+def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.sharded(table(spark, sf_dir, "documents"), [1.0] * 16, [1.0] * 17)
+    return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_columns(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def packed_columns(placed: DataFrame) -> DataFrame:
+    return placed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), F.col("sequence").alias("sequence_id"), "offset"
+    )
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"), shingle=3, distance=2).select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -29,6 +59,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_temperature_mixing": op2_temperature_mixing,
+    "op4_rendezvous_sharding": op4_rendezvous_sharding,
+    "op6_vector_packing": op6_vector_packing,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -38,4 +72,44 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op2_temperature_mixing": r"""
+        WITH rows AS (
+            SELECT doc_id, source, greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1)::BIGINT AS n_tokens FROM documents
+        ), totals AS (
+            SELECT source, sum(n_tokens)::BIGINT AS total FROM rows GROUP BY source
+        ), bounds AS (
+            SELECT max(total)::DOUBLE AS most, max(total)::DOUBLE / min(total) AS spread FROM totals
+        ), exponent AS (
+            SELECT most, CASE WHEN spread <= 1.5 THEN 0 ELSE ceil((1 - ln(1.5) / ln(spread)) * 10000) / 10000 END AS a FROM bounds
+        ), quotas AS (
+            SELECT source, total, round(total * pow(most / total, 1 - a))::BIGINT AS quota FROM totals, exponent
+        ), blocks AS (
+            SELECT doc_id, r.source, n_tokens, total, quota, unnest(range(ceil(quota / total)::BIGINT))::INT AS block
+            FROM rows r JOIN quotas q ON r.source IS NOT DISTINCT FROM q.source
+        ), placed AS (
+            SELECT doc_id, source, block, n_tokens, quota, (block * total + coalesce(sum(n_tokens) OVER (
+                PARTITION BY source, block ORDER BY md5('0:' || block || ':' || coalesce(doc_id::VARCHAR, '')), n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+            ), 0))::BIGINT AS start FROM blocks
+        )
+        SELECT *, start / quota AS place FROM placed WHERE start < quota
+    """,
+    "op4_rendezvous_sharding": """
+        WITH crc AS (
+            SELECT list(list_reduce(list_prepend(i, range(8)), (c, k) -> CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS entries
+            FROM range(256) t(i)
+        ), keyed AS (
+            SELECT doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, '') AS key FROM documents
+        ), draws AS (
+            SELECT key, k, -ln((('0x' || substr(md5(key || ':' || (k // 4)), 1 + 8 * (k % 4), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE) AS draw
+            FROM (SELECT DISTINCT key FROM keyed), range(17) t(k)
+        ), won AS (
+            SELECT key, arg_min(k, draw) FILTER (k < 16) AS shard, arg_min(k, draw) AS grown FROM draws GROUP BY key
+        )
+        SELECT doc_id, (octet_length(encode(text)) + 1)::BIGINT AS size, xor(list_reduce(
+                   list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), h -> ('0x' || h)::BIGINT)),
+                   (c, b) -> xor(c >> 8, entries[(xor(c, b) & 255) + 1])
+               ), 4294967295)::BIGINT AS text_crc32, 'key' AS law, shard::INT AS shard,
+               row_number() OVER (PARTITION BY shard ORDER BY substr(md5(keyed.key || ':-1'), 1, 3), doc_id) - 1 AS slot, grown::INT AS grown_shard
+        FROM keyed JOIN won USING (key), crc
+    """,
 }
