@@ -26,6 +26,8 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # many small stores: no disk set aside beforehand
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -52,7 +54,8 @@ def _seen(spark: SparkSession, keys: DataFrame, path: str, batch_bytes: int) ->
     """Run what has landed through the keyed state; ``digest, kept, copies`` as the state ends."""
     work = scratch_path(spark, "exact-dedup")
     session = spark.newSession()
-    for key, value in STATE.items():
+    shared = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")}
+    for key, value in (STATE | shared).items():
         session.conf.set(key, value)
 
     def store(updates: DataFrame, batch: int) -> None:

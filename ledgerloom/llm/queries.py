@@ -95,7 +95,7 @@ ORACLES: dict[str, str] = {
     """,
     "op4_rendezvous_sharding": """
         WITH crc AS (
-            SELECT list(list_reduce(list_prepend(i, range(8)), (c, k) -> CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS entries
+            SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS entries
             FROM range(256) t(i)
         ), keyed AS (
             SELECT doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, '') AS key FROM documents
@@ -106,8 +106,8 @@ ORACLES: dict[str, str] = {
             SELECT key, arg_min(k, draw) FILTER (k < 16) AS shard, arg_min(k, draw) AS grown FROM draws GROUP BY key
         )
         SELECT doc_id, (octet_length(encode(text)) + 1)::BIGINT AS size, xor(list_reduce(
-                   list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), h -> ('0x' || h)::BIGINT)),
-                   (c, b) -> xor(c >> 8, entries[(xor(c, b) & 255) + 1])
+                   list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
+                   lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])
                ), 4294967295)::BIGINT AS text_crc32, 'key' AS law, shard::INT AS shard,
                row_number() OVER (PARTITION BY shard ORDER BY substr(md5(keyed.key || ':-1'), 1, 3), doc_id) - 1 AS slot, grown::INT AS grown_shard
         FROM keyed JOIN won USING (key), crc
