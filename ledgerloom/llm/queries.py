@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
+from ledgerloom.llm import exact_dedup, mixing, neighbours, packing, sharding, simhash, toxicity
 from ledgerloom.llm.common import id_residue, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.sharded(table(spark, sf_dir, "documents"), [1.0] * 16, [1.0] * 17)
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -60,6 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_temperature_mixing": op2_temperature_mixing,
+    "op3_multiprobe_neighbours": op3_multiprobe_neighbours,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op6_vector_packing": op6_vector_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
