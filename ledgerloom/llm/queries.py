@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, mixing, neighbours, packing, sharding, simhash, toxicity
+from ledgerloom.llm import exact_dedup, mixing, neighbours, packing, personal, sharding, simhash, toxicity
 from ledgerloom.llm.common import id_residue, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,15 @@ def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in personal.KINDS]
+    return personal.found(docs, personal.learn(docs)).select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_columns(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -67,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op2_temperature_mixing": op2_temperature_mixing,
     "op3_multiprobe_neighbours": op3_multiprobe_neighbours,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
+    "op5_semi_markov_pii": op5_semi_markov_pii,
     "op6_vector_packing": op6_vector_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
