@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, mixing, neighbours, packing, personal, sharding, simhash, toxicity
+from ledgerloom.llm import exact_dedup, language, mixing, neighbours, packing, personal, sharding, simhash, toxicity
 from ledgerloom.llm.common import id_residue, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def packed_columns(placed: DataFrame) -> DataFrame:
     )
 
 
+def op8_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identified(docs, language.learn(docs)).select(
+        F.col("id").alias("doc_id"), (id_residue("id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"), shingle=3, distance=2).select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
@@ -78,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_semi_markov_pii": op5_semi_markov_pii,
     "op6_vector_packing": op6_vector_packing,
+    "op8_cross_parsing_language": op8_cross_parsing_language,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
 }
