@@ -93,7 +93,8 @@ def decisions(
     keys = spark.read.parquet(path)
     hits = materialise(_seen(spark, keys, path, batch_bytes).where("copies > 1"), "hits")
 
-    texts = rows.select(digest(text).alias("digest"), text.alias("text")).join(hits.select("digest"), "digest", "left_semi")
+    # the share of copies among the rows does not shrink with the corpus, so hits are never a broadcast's size for long
+    texts = rows.select(digest(text).alias("digest"), text.alias("text")).join(hits.select("digest").hint("merge"), "digest", "left_semi")
     differing = materialise(
         texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").select("digest"), "differing"
     )
@@ -122,4 +123,4 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     except AnalysisException:
         docs = materialise(docs, "content")
     dropped = decisions(docs, id_col, text_col).where("not kept").select("file", "row")
-    return located(docs).join(dropped, ["file", "row"], "left_anti").select("doc.*")
+    return located(docs).join(dropped.hint("merge"), ["file", "row"], "left_anti").select("doc.*")
