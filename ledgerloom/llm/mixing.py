@@ -40,9 +40,8 @@ def n_tokens(text: Column | str) -> Column:
 def source_totals(rows: DataFrame) -> DataFrame:
     """``unnamed, source, tokens, share, most``; rows without a source are one of their own."""
     totals = materialise(rows.groupBy("unnamed", "source").agg(F.sum("tokens").alias("tokens")), "mix-sources")
-    whole_mix = totals.agg(F.sum("tokens").cast("double").alias("_all"), F.max("tokens").cast("double").alias("most"))
-    # a single row beside the sources
-    return totals.join(F.broadcast(whole_mix)).withColumn("share", F.col("tokens") / F.col("_all")).drop("_all")
+    mix = totals.agg(F.sum("tokens").cast("double").alias("n"), F.max("tokens").cast("double").alias("most")).first()
+    return totals.select("*", F.lit(mix["most"]).alias("most"), (F.col("tokens") / F.lit(mix["n"])).alias("share"))
 
 
 def exponent(totals: DataFrame, target: Target) -> float:
@@ -82,8 +81,8 @@ def exponent(totals: DataFrame, target: Target) -> float:
 def weighted(totals: DataFrame, a: float, target: Target) -> DataFrame:
     """``unnamed, source, tokens, weight, quota``: shares of the mix and token budgets, which are what is realised."""
     power = totals.select("*", F.pow("share", F.lit(a)).alias("_p"))
-    total = power.agg(F.sum("_p").alias("_sum"))
-    out = power.join(F.broadcast(total)).withColumn("weight", F.col("_p") / F.col("_sum"))
+    total = power.agg(F.sum("_p").alias("n")).first()["n"]
+    out = power.withColumn("weight", F.col("_p") / F.lit(total))
     if target.budget is None:
         quota = F.round(F.col("tokens") * F.pow(F.col("most") / F.col("tokens"), F.lit(1 - a)))
     else:

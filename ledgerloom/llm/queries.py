@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, language, mixing, neighbours, packing, personal, sharding, simhash, toxicity
+from ledgerloom.llm import exact_dedup, language, licenses, mixing, neighbours, packing, personal, sharding, simhash, toxicity
 from ledgerloom.llm.common import id_residue, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,9 +41,9 @@ def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in personal.KINDS]
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return personal.found(docs, personal.learn(docs)).select(
-        F.col("id").alias("doc_id"), *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans")
+        F.col("id").alias("doc_id"), *[count(kind) for kind in personal.KINDS], F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans")
     )
 
 
@@ -57,6 +57,15 @@ def packed_columns(placed: DataFrame) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts = F.transform("places", lambda p: p["start"].cast("long"))
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op8_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identified(docs, language.learn(docs)).select(
@@ -85,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_semi_markov_pii": op5_semi_markov_pii,
     "op6_vector_packing": op6_vector_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_cross_parsing_language": op8_cross_parsing_language,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
