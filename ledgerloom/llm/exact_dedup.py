@@ -95,8 +95,10 @@ def decisions(
 
     # the share of copies among the rows does not shrink with the corpus, so hits are never a broadcast's size for long
     texts = rows.select(digest(text).alias("digest"), text.alias("text")).join(hits.select("digest").hint("merge"), "digest", "left_semi")
+    # written, so that a digest with very many rows may be split in the join and is combined before it is shuffled again
+    hit_texts = materialise(texts, "hit-texts")
     differing = materialise(
-        texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").select("digest"), "differing"
+        hit_texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").select("digest"), "differing"
     )
     alone = F.col("h.copies").isNull()
     same = keys.alias("k").join(hits.alias("h"), "digest", "left").select(
