@@ -44,9 +44,10 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Rules:
-    """Words looked up per file, and the share of a template's weight that must stand in place."""
+    """Words looked up per file; of the weight of a template's ``rarest`` words, the share that must stand in place."""
 
-    looked_up: int = 8
+    looked_up: int = 24
+    rarest: int = 8
     share: float = 0.5
 
 
@@ -131,7 +132,7 @@ def _share(text: list[str], key: list[str], idf: dict[str, float], rules: Rules)
 
     Among the template's words that the file looks up, the rarest proposes the beginnings.
     """
-    total = sum(idf[w] for w in set(text))
+    total = sum(sorted((idf[w] for w in set(text)), reverse=True)[: rules.rarest])
     index, rare = F.col("index"), F.col("rare")
     own = F.array_intersect(rare, _strings(sorted(set(text))))
     postings = F.create_map(*[x for w in sorted(set(text)) for x in (F.lit(w), F.array(*[F.lit(k) for k, v in enumerate(text) if v == w]))])
