@@ -9,7 +9,8 @@ from ledgerloom.session import materialise
 
 BANDS = 32
 ROWS_PER_BAND = 4
-BUCKET_CAP = 150
+# From this many members on, clustering compares a bucket through its head and rare shingles instead of in full.
+PAIRED_BUCKET = 150
 BUCKET = ["band_id", "bucket"]
 
 
@@ -79,18 +80,27 @@ def pairs_within(members: DataFrame, across: str | None = None, keep_size: bool
 
 
 def capped_candidates(
-    signed: DataFrame, cap: int = BUCKET_CAP, across: str | None = "portal_id",
+    signed: DataFrame, cap: int, across: str | None = "portal_id",
     bands: int = BANDS, rows: int = ROWS_PER_BAND,
 ) -> DataFrame:
-    """Candidate pairs under the stop-bucket rule: a bucket with more than ``cap`` notices is skipped
-    whole, its size counted before the portal rule.  The cap is what this operator is; clustering
-    (``matching.linked``) treats the buckets above it by an exact other way instead.
+    """Candidate pairs under the published stop-bucket rule: a bucket with more than ``cap`` notices is skipped
+    whole, its size counted before the portal rule.  The cap is what this operator is, so it has no default;
+    ``skipped`` says what it leaves out, and clustering (``matching.linked``) leaves nothing out.
     """
     keep = [across] if across else []
     members = shared_buckets(buckets(signed, bands, rows, keep)).where(F.col("bucket_size") <= cap)
     return pairs_within(members, across)
 
 
+def skipped(signed: DataFrame, caps: tuple[int, ...], across: str | None = "portal_id", bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """Buckets and comparisons that each cap leaves out; a cap of 0 is none."""
+    over = bucket_crowds(signed, across, bands, rows).select("n", "comparisons", F.explode(F.array(*[F.lit(c) for c in caps])).alias("cap"))
+    left = (F.col("cap") > 0) & (F.col("n") > F.col("cap"))
+    return over.groupBy("cap").agg(
+        F.count_if(left).alias("skipped_buckets"), F.coalesce(F.sum(F.when(left, F.col("comparisons"))), F.lit(0)).alias("skipped_comparisons")
+    )
+
+
 def collide(a: Column, b: Column, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> Column:
     """Whether two signatures agree on every row of at least one band."""
     same = F.zip_with(band_slices(a, bands, rows), band_slices(b, bands, rows), lambda x, y: x == y)
@@ -98,14 +108,27 @@ def collide(a: Column, b: Column, bands: int = BANDS, rows: int = ROWS_PER_BAND)
 
 
 def expand_probes(index: DataFrame, probes: DataFrame) -> DataFrame:
-    """Distinct notices that share a bucket with each probe, other than the probe itself.
+    """Per probe: comparisons with the other notices of its buckets, and the first and last id among these.
 
-    ``probes`` has ``probe_id`` beside band and bucket hash.
+    ``probes`` has ``probe_id`` beside band and bucket hash.  Two ids at either end of every bucket are enough to leave
+    out the probe itself, so a bucket of any size adds one row to each of its probes.
     """
-    return (
-        probes.join(index, ["band_id", "bucket_hash"])
-        .where(F.col("probe_id") != F.col("notice_id"))
-        .select("probe_id", "notice_id").distinct()
+    key = ["band_id", "bucket_hash"]
+    ends = index.groupBy(*key).agg(F.count("*").alias("n"), F.min("notice_id").alias("lo"), F.max("notice_id").alias("hi"))
+    id_ = F.col("notice_id")
+    inner = index.join(ends, key).groupBy(*key).agg(
+        F.max("n").alias("n"), F.max("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min(F.when(id_ > F.col("lo"), id_)).alias("lo2"), F.max(F.when(id_ < F.col("hi"), id_)).alias("hi2"),
+    )
+    probe = F.col("probe_id")
+    own = probes.join(index.withColumnRenamed("notice_id", "probe_id").withColumn("inside", F.lit(1)), [*key, "probe_id"], "left")
+    met = own.join(inner, key).select(
+        "probe_id", (F.col("n") - F.coalesce("inside", F.lit(0))).alias("others"),
+        F.when(probe == F.col("lo"), F.col("lo2")).otherwise(F.col("lo")).alias("lo"),
+        F.when(probe == F.col("hi"), F.col("hi2")).otherwise(F.col("hi")).alias("hi"),
+    )
+    return met.where("others > 0").groupBy("probe_id").agg(
+        F.sum("others").alias("comparisons"), F.min("lo").alias("first_id"), F.max("hi").alias("last_id")
     )
 
 
@@ -120,6 +143,50 @@ def copies_of(signed: DataFrame) -> DataFrame:
     )
 
 
+def crowds(signed: DataFrame, across: str | None = None, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """Per group of notices in a bucket (of one portal, with ``across``): the bucket's size ``n`` and what each member of
+    the group is compared with there, ``others``.  Everything follows from sizes, so no pair is ever listed."""
+    if across is None:
+        sizes = buckets(signed, bands, rows).groupBy(*BUCKET).agg(F.count("*").alias("n"))
+        return sizes.select(*BUCKET, "n", F.col("n").alias("own"), (F.col("n") - 1).alias("others"))
+    own = buckets(signed, bands, rows, [across]).groupBy(*BUCKET, across).agg(F.count("*").alias("own"))
+    per_bucket = own.groupBy(*BUCKET).agg(F.sum("own").alias("n"))
+    return own.join(per_bucket, BUCKET).select(*BUCKET, across, "n", "own", (F.col("n") - F.col("own")).alias("others"))
+
+
+def comparisons(signed: DataFrame, across: str | None = None, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """Per notice and shared bucket: the bucket's size and the notices it is compared with."""
+    keys = [*BUCKET, *([across] if across else [])]
+    shared = crowds(signed, across, bands, rows).where("n > 1").select(*keys, "n", "others")
+    return buckets(signed, bands, rows, [across] if across else []).join(shared, keys)
+
+
+def bucket_crowds(signed: DataFrame, across: str | None = None, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """Per bucket: size, groups, and the comparisons it implies, each pair of notices counted once a bucket."""
+    return crowds(signed, across, bands, rows).groupBy(*BUCKET).agg(
+        F.max("n").alias("n"), F.count("*").alias("groups"), (F.sum(F.col("own") * F.col("others")) / 2).cast("bigint").alias("comparisons")
+    )
+
+
+def smallest_shared(pairs: DataFrame, signed: DataFrame, across: str | None = None, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """``pairs`` with ``min_bucket``: the size of the smallest bucket both ends are in, null if there is none or
+    if both come from one portal.  The pairs' own bands meet the table of bucket sizes."""
+    ends = pairs.select("id_a", "id_b").distinct()
+    side = lambda end: signed.select(
+        F.col("notice_id").alias(f"id_{end}"), F.col("signature").alias(f"s_{end}"), (F.col(across) if across else F.lit(0)).alias(f"p_{end}")
+    )
+    met = ends.join(side("a"), "id_a").join(side("b"), "id_b")
+    if across:
+        met = met.where("p_a <> p_b")
+    same = F.zip_with(band_slices(F.col("s_a"), bands, rows), band_slices(F.col("s_b"), bands, rows), lambda x, y: F.when(x == y, x))
+    shared = met.select("id_a", "id_b", F.posexplode(same)).where("col is not null").select(
+        "id_a", "id_b", F.col("pos").alias("band_id"), F.col("col").alias("bucket")
+    )
+    sizes = buckets(signed, bands, rows).groupBy(*BUCKET).agg(F.count("*").alias("n")).where("n > 1")
+    least = shared.join(sizes, BUCKET).groupBy("id_a", "id_b").agg(F.min("n").alias("min_bucket"))
+    return pairs.join(least, ["id_a", "id_b"], "left")
+
+
 def bucket_sizes(signed: DataFrame, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
     """Per band: buckets, shared buckets, the largest one, and the comparisons they imply."""
     sizes = buckets(signed, bands, rows).groupBy(*BUCKET).agg(F.count("*").alias("n"))

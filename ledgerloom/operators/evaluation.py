@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.similarity import (
     ALPHA, composite, estimated_jaccard, inflection, rows_for_error, s_curve, standard_error,
 )
-from ledgerloom.operators.banding import (
-    BANDS, BUCKET, ROWS_PER_BAND, buckets, collide, pairs_within, shared_buckets, stored_members,
-)
+from ledgerloom.operators.banding import BANDS, ROWS_PER_BAND, bucket_crowds, collide, comparisons, skipped, smallest_shared
 from ledgerloom.operators.matching import TAU, both_sides
 from ledgerloom.operators.ordered import cumulative, folded_by_value, percentiles, union_all
 from ledgerloom.session import materialise
@@ -25,8 +23,6 @@ RATIOS = (10, 50, 100, 200)
 CAPS = (300, 250, 200, 150, 125, 100, 75, 50, 30, 20, 10)
 CLASS_SHARES = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 WORK_SHARES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
-# Pairs are listed for buckets up to this size; larger buckets are reported by their counts.
-LISTED_BUCKET = 1000
 
 
 def _int(condition: Column) -> Column:
@@ -222,56 +218,26 @@ def with_collisions(scored: DataFrame, signed: DataFrame, configs: tuple = CONFI
     return materialise(joined.select(*scored.columns, F.inline(per_config)), "collisions")
 
 
-def listed_pairs(signed: DataFrame, bands: int, rows: int, across: str | None = None, limit: int = LISTED_BUCKET) -> DataFrame:
-    """Distinct candidate pairs with the smallest shared bucket, for buckets up to ``limit`` notices."""
-    members = shared_buckets(buckets(signed, bands, rows, [across] if across else []))
-    return pairs_within(members.where(F.col("bucket_size") <= limit), across, keep_size=True)
-
-
-def unlisted(signed: DataFrame, bands: int = BANDS, rows: int = ROWS_PER_BAND, limit: int = LISTED_BUCKET) -> DataFrame:
-    """Comparisons in buckets too large to list, one row, from their sizes alone."""
-    size = F.col("n")
-    sizes = buckets(signed, bands, rows).groupBy(*BUCKET).agg(F.count("*").alias("n")).where(size > limit)
-    total = F.coalesce(F.sum(size * (size - 1) / 2), F.lit(0)).cast("bigint")
-    return sizes.agg(total.alias("unlisted_comparisons"))
-
-
-def banding_grid(scored: DataFrame, signed: DataFrame, configs: tuple = CONFIGS, limit: int = LISTED_BUCKET) -> DataFrame:
-    """Recall, work and buckets of each banding.
-
-    ``pool_pairs`` counts the distinct pairs of buckets up to ``limit`` notices; comparisons of
-    larger buckets are counted from their sizes in ``unlisted_comparisons``.
-    """
+def banding_grid(scored: DataFrame, signed: DataFrame, configs: tuple = CONFIGS) -> DataFrame:
+    """Recall, work and buckets of each banding; ``comparisons`` count a pair once for every bucket it shares."""
     hits = with_collisions(scored, signed, configs)
     judged = hits.groupBy("bands", "rows").agg(
         F.count_if(F.col("retrieved") & F.col("is_same")).alias("tp"),
         F.count_if(~F.col("retrieved") & F.col("is_same")).alias("fn"),
         F.count_if(F.col("retrieved")).alias("work_pairs"),
     )
-    corpus = signed.agg(F.count("*").alias("m"))
-    m = corpus.scalar()
-    size = F.col("bucket_size")
-    parts = []
-    for n, r in configs:
-        members = stored_members(signed, n, r)
-        per_bucket = members.groupBy(*BUCKET).agg(F.count("*").alias("bucket_size"))
-        shared = per_bucket.agg(
-            F.count("*").alias("shared"), F.coalesce(F.sum(size), F.lit(0)).alias("in_shared"),
-            F.coalesce(F.max(size), F.lit(1)).alias("largest_bucket"),
-            F.coalesce(F.sum(F.when(size > limit, size * (size - 1) / 2)), F.lit(0)).cast("bigint").alias("unlisted_comparisons"),
-        )
-        pool = pairs_within(members.where(size <= limit)).agg(F.count("*").alias("pool_pairs"))
-        # Every notice is in one bucket per band, so the rows outside shared buckets are buckets of one.
-        parts.append(shared.select(
-            F.lit(n).alias("bands"), F.lit(r).alias("rows"), (m * n - F.col("in_shared") + F.col("shared")).alias("total_buckets"),
-            "largest_bucket", "unlisted_comparisons", pool.scalar().alias("pool_pairs"),
-        ))
+    m = signed.agg(F.count("*").alias("m")).scalar()
+    parts = [
+        bucket_crowds(signed, None, n, r).agg(
+            F.count("*").alias("total_buckets"), F.max("n").alias("largest_bucket"), F.sum("comparisons").alias("comparisons")
+        ).select(F.lit(n).alias("bands"), F.lit(r).alias("rows"), "*")
+        for n, r in configs
+    ]
     possible = m * (m - 1) / 2
     return judged.join(union_all(parts), ["bands", "rows"]).select(
         "bands", "rows", inflection(F.col("bands"), F.col("rows")).alias("inflection"),
         (_ratio(F.col("tp"), F.col("tp") + F.col("fn")) * 100).alias("recall_pct"), "work_pairs",
-        "total_buckets", "largest_bucket", "pool_pairs", "unlisted_comparisons",
-        ((1 - F.col("pool_pairs") / possible) * 100).alias("reduction_pct"),
+        "total_buckets", "largest_bucket", "comparisons", ((1 - F.col("comparisons") / possible) * 100).alias("reduction_pct"),
     )
 
 
@@ -312,12 +278,10 @@ def cost_table(hits: DataFrame, by: list[str], tau: float = TAU, ratios: tuple[i
     )
 
 
-def candidate_recall(labelled: DataFrame, candidates: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Share of the labelled duplicates that are among the candidates."""
-    marked = labelled.where("is_same").join(
-        candidates.select("id_a", "id_b", F.lit(1).alias("hit")), ["id_a", "id_b"], "left"
-    )
-    return marked.groupBy(*by).agg(F.count("*").alias("duplicates"), F.count("hit").alias("found")).withColumn(
+def candidate_recall(labelled: DataFrame, signed: DataFrame, across: str | None = "portal_id", bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """Share of the labelled duplicates that meet in some bucket, whatever its size."""
+    met = smallest_shared(labelled.where("is_same").select("id_a", "id_b"), signed, across, bands, rows)
+    return met.agg(F.count("*").alias("duplicates"), F.count("min_bucket").alias("found")).withColumn(
         "recall_pct", _ratio(F.col("found"), F.col("duplicates")) * 100
     )
 
@@ -325,16 +289,24 @@ def candidate_recall(labelled: DataFrame, candidates: DataFrame, by: list[str] =
 # ---- work and skew --------------------------------------------------------------------------
 
 
-def work_per_notice(pairs: DataFrame, notices: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Comparisons each notice takes part in, zeros included (``by`` must be columns of both)."""
-    ends = pairs.select(*by, F.explode(F.array("id_a", "id_b")).alias("notice_id"))
-    counted = ends.groupBy(*by, "notice_id").agg(F.count("*").alias("work"))
-    return notices.join(counted, [*by, "notice_id"], "left").withColumn("work", F.coalesce("work", F.lit(0)))
+def work_per_notice(
+    signed: DataFrame, across: str | None = "portal_id", caps: tuple[int, ...] = (0,), bands: int = BANDS, rows: int = ROWS_PER_BAND
+) -> DataFrame:
+    """``cap, notice_id, portal_id, work``: comparisons of each notice in buckets up to a cap (0: all), zeros included.
+
+    A pair that shares several buckets is compared in each.  One pass serves all caps.
+    """
+    met = comparisons(signed, across, bands, rows)
+    sums = met.groupBy("notice_id").agg(*[
+        F.sum("others" if cap == 0 else F.when(F.col("n") <= cap, F.col("others"))).alias(f"w{cap}") for cap in caps
+    ])
+    levels = F.inline(F.array(*[F.struct(F.lit(cap).alias("cap"), F.coalesce(f"w{cap}", F.lit(0)).alias("work")) for cap in caps]))
+    return signed.select("notice_id", "portal_id").join(sums, "notice_id", "left").select("notice_id", "portal_id", levels)
 
 
 def work_distribution(work: DataFrame, by: list[str] = ()) -> DataFrame:
     spread = work.groupBy(*by).agg(
-        F.count("*").alias("notices"), (F.sum("work") / 2).cast("bigint").alias("total_pairs"), F.max("work").alias("max_work")
+        F.count("*").alias("notices"), (F.sum("work") / 2).cast("bigint").alias("comparisons"), F.max("work").alias("max_work")
     )
     shares = percentiles(work, "work", WORK_SHARES, by)
     if by:
@@ -377,43 +349,25 @@ def concentration(work: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def cap_sweep(pairs: DataFrame, notices: DataFrame, labelled: DataFrame, caps: tuple[int, ...] = CAPS) -> DataFrame:
-    """Pairs, recall and work under each bucket cap, and under none (``cap`` 0).
-
-    ``pairs`` carries each pair's smallest shared bucket, so a cap is a filter on one stored table.
-    """
-    levels = F.array(*[F.lit(c) for c in (0, *caps)])
-    stored = materialise(pairs, "pairs")
-    long = stored.select("id_a", "id_b", "min_bucket", F.explode(levels).alias("cap")).where(
-        "cap = 0 or min_bucket <= cap"
-    )
-    every = notices.select("notice_id", F.explode(levels).alias("cap"))
-    work = work_distribution(materialise(work_per_notice(long, every, ["cap"]), "work"), ["cap"])
-    hits = labelled.where("is_same").select("id_a", "id_b").join(stored, ["id_a", "id_b"], "left")
-    found = hits.select(F.explode(levels).alias("cap"), "min_bucket").groupBy("cap").agg(
-        F.count("*").alias("duplicates"),
-        F.count_if(F.col("min_bucket").isNotNull() & ((F.col("cap") == 0) | (F.col("min_bucket") <= F.col("cap")))).alias("found"),
+def cap_sweep(signed: DataFrame, labelled: DataFrame, caps: tuple[int, ...] = CAPS, across: str | None = "portal_id") -> DataFrame:
+    """Work, recall, and what is skipped under each bucket cap, and under none (``cap`` 0); all from bucket sizes."""
+    every = (0, *caps)
+    work = work_distribution(materialise(work_per_notice(signed, across, every), "work"), ["cap"])
+    met = smallest_shared(labelled.where("is_same").select("id_a", "id_b"), signed, across)
+    levels = F.explode(F.array(*[F.lit(c) for c in every])).alias("cap")
+    found = met.select(levels, "min_bucket").groupBy("cap").agg(
+        F.count("*").alias("duplicates"), F.count_if(F.col("min_bucket").isNotNull() & ((F.col("cap") == 0) | (F.col("min_bucket") <= F.col("cap")))).alias("found"),
     )
-    return work.join(found, "cap").withColumn("recall_pct", _ratio(F.col("found"), F.col("duplicates")) * 100)
+    return work.join(found, "cap").join(skipped(signed, every, across), "cap").withColumn("recall_pct", _ratio(F.col("found"), F.col("duplicates")) * 100)
 
 
 def retrieval_summary(
-    name: str, signed: DataFrame, labelled: DataFrame, across: str | None, cap: int | None = None,
-    bands: int = BANDS, rows: int = ROWS_PER_BAND,
+    name: str, signed: DataFrame, labelled: DataFrame, across: str | None, bands: int = BANDS, rows: int = ROWS_PER_BAND
 ) -> DataFrame:
-    """One row on a retrieval variant: pairs, recall and the spread of work.
-
-    Without a cap, comparisons of buckets too large to list are counted in ``unlisted_comparisons``.
-    """
-    limit = LISTED_BUCKET if cap is None else cap
-    found = materialise(listed_pairs(signed, bands, rows, across, limit), "variant")
-    work = work_distribution(work_per_notice(found, signed.select("notice_id")))
-    recall = candidate_recall(labelled, found)
-    left_out = F.lit(0).cast("bigint") if cap is not None else unlisted(signed, bands, rows).scalar()
-    return work.select(
-        F.lit(name).alias("variant"), "*", left_out.alias("unlisted_comparisons"),
-        *[recall.select(c).scalar().alias(c) for c in ("duplicates", "found", "recall_pct")],
-    )
+    """One row on a retrieval variant: comparisons, recall and the spread of work."""
+    work = work_distribution(work_per_notice(signed, across, (0,), bands, rows))
+    recall = candidate_recall(labelled, signed, across, bands, rows)
+    return work.select(F.lit(name).alias("variant"), "*", *[recall.select(c).scalar().alias(c) for c in ("duplicates", "found", "recall_pct")])
 
 
 def before_after(before: DataFrame, after: DataFrame, measures: list[str]) -> DataFrame:

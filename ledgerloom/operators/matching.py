@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.similarity import ALPHA, composite, jaccard, matching_rows
-from ledgerloom.operators.banding import BANDS, BUCKET, BUCKET_CAP, ROWS_PER_BAND, buckets, copies_of, pairs_within, shared_buckets
+from ledgerloom.operators.banding import BANDS, BUCKET, PAIRED_BUCKET, ROWS_PER_BAND, buckets, copies_of, pairs_within, shared_buckets
 from ledgerloom.operators.components import min_labels
 from ledgerloom.operators.signatures import reachable
 from ledgerloom.session import materialise
@@ -110,7 +110,7 @@ def rare_shingles(reps: DataFrame, tau: float) -> DataFrame:
 
 
 def linked(
-    signed: DataFrame, cap: int = BUCKET_CAP, screen_at: float = SCREEN, tau: float = TAU, alpha: float = ALPHA,
+    signed: DataFrame, cap: int = PAIRED_BUCKET, screen_at: float = SCREEN, tau: float = TAU, alpha: float = ALPHA,
     across: bool = True, bands: int = BANDS, rows: int = ROWS_PER_BAND,
     seeds: DataFrame | None = None, fresh: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:

@@ -18,7 +18,7 @@ from ledgerloom.sources import tables as S
 SCORES = ("raw_similarity", "similarity")
 TAUS = {"raw_similarity": 0.4659, "similarity": TAU}
 BIG_PORTALS = ["src0", "src1", "src2", "src3", "src4", "src5"]
-MEASURES = ["total_pairs", "max_work", "p50", "p90", "p95", "p99", "found", "recall_pct"]
+MEASURES = ["comparisons", "max_work", "p50", "p90", "p95", "p99", "found", "recall_pct"]
 
 
 def _each_score(operator) -> Query:  # noqa: ANN001
@@ -76,24 +76,21 @@ def cost_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cost_by_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cost of two bucket caps over the labelled pairs."""
+    """The cost of three bucket caps over the labelled pairs."""
     sets, pairs = _signed_and_scored(spark, sf_dir)
-    found = materialise(E.listed_pairs(sets, banding.BANDS, banding.ROWS_PER_BAND, "portal_id"), "pairs")
-    hits = pairs.join(found, ["id_a", "id_b"], "left").select(
-        "is_same", "similarity", "min_bucket", F.explode(F.array(F.lit(50), F.lit(150))).alias("cap")
+    hits = banding.smallest_shared(pairs, sets, "portal_id").select(
+        "is_same", "similarity", "min_bucket", F.explode(F.array(F.lit(10), F.lit(50), F.lit(150))).alias("cap")
     ).withColumn("retrieved", F.coalesce(F.col("min_bucket") <= F.col("cap"), F.lit(False)))
     return E.cost_table(hits, ["cap"])
 
 
 def candidate_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets, pairs = _signed_and_scored(spark, sf_dir)
-    return E.candidate_recall(pairs, banding.capped_candidates(sets))
+    return E.candidate_recall(pairs, sets)
 
 
 def _work(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = N.signed_notices(spark, sf_dir)
-    ids = sets.select("notice_id", "portal_id")
-    return materialise(E.work_per_notice(banding.capped_candidates(sets), ids), "work")
+    return materialise(E.work_per_notice(N.signed_notices(spark, sf_dir)).drop("cap"), "work")
 
 
 def label_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,31 +108,24 @@ def label_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cap_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets, pairs = _signed_and_scored(spark, sf_dir)
-    found = E.listed_pairs(sets, banding.BANDS, banding.ROWS_PER_BAND, "portal_id")
-    swept = E.cap_sweep(found, sets.select("notice_id"), pairs)
-    left_out = F.when(F.col("cap") == 0, E.unlisted(sets).scalar()).otherwise(F.lit(0).cast("bigint"))
-    return swept.withColumn("unlisted_comparisons", left_out)
+    return E.cap_sweep(sets, pairs)
 
 
-def _variants(spark: SparkSession, sf_dir: str, wanted: list[tuple[str, bool, str | None, int | None]]) -> list[DataFrame]:
+def _variants(spark: SparkSession, sf_dir: str, wanted: list[tuple[str, bool, str | None]]) -> list[DataFrame]:
     clean, pairs = _signed_and_scored(spark, sf_dir)
     raw = N.signed_notices(spark, sf_dir, cleaned=False)
-    return [
-        E.retrieval_summary(name, clean if cleaned else raw, pairs, across, cap) for name, cleaned, across, cap in wanted
-    ]
+    return [E.retrieval_summary(name, clean if cleaned else raw, pairs, across) for name, cleaned, across in wanted]
 
 
 def mitigation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(_variants(spark, sf_dir, [
-        ("raw, all pairs", False, None, None), ("clean, all pairs", True, None, None),
-        ("raw, across portals", False, "portal_id", None), ("clean, across portals", True, "portal_id", None),
+        ("raw, all pairs", False, None), ("clean, all pairs", True, None),
+        ("raw, across portals", False, "portal_id"), ("clean, across portals", True, "portal_id"),
     ]))
 
 
 def before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, after = _variants(spark, sf_dir, [
-        ("before", False, None, None), ("after", True, "portal_id", banding.BUCKET_CAP),
-    ])
+    before, after = _variants(spark, sf_dir, [("before", False, None), ("after", True, "portal_id")])
     return E.before_after(materialise(before, "before"), materialise(after, "after"), MEASURES)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.operators.evaluation import CAPS, CONFIGS, LISTED_BUCKET, RATIOS, SIZES
+from ledgerloom.operators.evaluation import CAPS, CONFIGS, RATIOS, SIZES
 from ledgerloom.operators.matching import TAU
 from ledgerloom.plans.notice_sql import _ALL, _WORK, _bands, _q, _signatures
 
@@ -77,28 +77,21 @@ select {by}, stage, tp, fp, fn, tn, ratio, ratio * fp + fn as cost from (
   (values {ratios}) r(ratio)"""
 
 
-def _work(pairs: str, name: str) -> str:
-    return f"""
-{name}_d as (select notice_id, count(*) as work from (select id_a as notice_id from {pairs} union all select id_b from {pairs}) group by 1),
-{name} as materialized (select notice_id, portal_id, coalesce(work, 0) as work from notices left join {name}_d using (notice_id))"""
-
-
-_SUMMARY = f"count(*) as notices, cast(sum(work) // 2 as bigint) as total_pairs, max(work) as max_work, {_WORK}"
-_WORKED = _work("capped", "worked")
-
+def _work(crowd: str, others: str, name: str) -> str:
+    return f"{name} as materialized (select notice_id, portal_id, cast(sum({others}) as bigint) as work from {crowd} group by 1, 2)"
 
-def _unlisted(sizes: str) -> str:
-    return f"(select cast(coalesce(sum(n * (n - 1) // 2), 0) as bigint) from {sizes} where n > {LISTED_BUCKET})"
 
+_SUMMARY = f"count(*) as notices, cast(sum(work) // 2 as bigint) as comparisons, max(work) as max_work, {_WORK}"
+_WORKED = _work("bands_crowd", "n - own", "worked")
 
 _RAW_BANDS = _signatures("raw_field_grams", "rsigs") + "," + _bands("rsigs", "rbands")
 _VARIANTS = {
-    "raw, all pairs": "select id_a, id_b from rbands_met", "clean, all pairs": "select id_a, id_b from bands_met",
-    "raw, across portals": "select id_a, id_b from rbands_met where cross_portal",
-    "clean, across portals": "select id_a, id_b from bands_met where cross_portal",
+    "raw, all pairs": ("rbands", "true", "n - 1"), "clean, all pairs": ("bands", "true", "n - 1"),
+    "raw, across portals": ("rbands", "cross_portal", "n - own"), "clean, across portals": ("bands", "cross_portal", "n - own"),
 }
 _VARIANT_CTES = _RAW_BANDS + "".join(
-    f",\nv{i} as materialized ({sql})," + _work(f"v{i}", f"w{i}") for i, sql in enumerate(_VARIANTS.values()))
+    f",\nv{i} as materialized (select id_a, id_b from {name}_met where {where})," + _work(f"{name}_crowd", others, f"w{i}")
+    for i, (name, where, others) in enumerate(_VARIANTS.values()))
 
 
 def _recall(pairs: str) -> str:
@@ -109,9 +102,10 @@ def _recall(pairs: str) -> str:
 
 _CAP_CTES = "caps(cap) as (values (0)," + ",".join(f"({c})" for c in CAPS) + """),
 cross_pairs as materialized (select id_a, id_b, min_bucket from bands_met where cross_portal),
-cap_ends as (select cap, notice_id, count(*) as work from caps join (
-    select id_a as notice_id, min_bucket from cross_pairs union all select id_b, min_bucket from cross_pairs) on cap = 0 or min_bucket <= cap group by 1, 2),
-cap_work as (select cap, notice_id, coalesce(work, 0) as work from (select cap, notice_id from caps, notices) left join cap_ends using (cap, notice_id)),
+cap_work as (select cap, notice_id, cast(sum(case when cap = 0 or n <= cap then n - own else 0 end) as bigint) as work from caps, bands_crowd group by 1, 2),
+cap_left as (select cap, count(*) filter (cap > 0 and n > cap) as skipped_buckets,
+    cast(coalesce(sum(c) filter (cap > 0 and n > cap), 0) as bigint) as skipped_comparisons
+  from caps, (select band_id, bucket_hash, any_value(n) as n, sum(n - own) // 2 as c from bands_crowd group by 1, 2) group by 1),
 cap_found as (select cap, count(*) as duplicates, count(*) filter (min_bucket is not null and (cap = 0 or min_bucket <= cap)) as found
   from caps, (select l.id_a, min_bucket from (select * from scored where is_same) l left join cross_pairs c on c.id_a = l.id_a and c.id_b = l.id_b) group by 1)"""
 
@@ -167,12 +161,12 @@ select k, id_a, id_b, is_same, round(similarity, 6) as similarity, round(estimat
   round(estimate - similarity, 6) as error, round(abs(similarity - {TAU}), 6) as distance from est_errors where not agrees""", extra=_ESTIMATES),
     "banding_grid": _q(" union all ".join(f"""
 select {b} as bands, {r} as rows, round(pow(1.0::double / {b}, 1.0::double / {r}), 6) as inflection,
-  round(tp / (tp + fn)::double * 100, 6) as recall_pct, work_pairs, total_buckets, largest_bucket, pool_pairs, {_unlisted(f"g{b}_sizes")} as unlisted_comparisons,
-  round((1 - pool_pairs / (m * (m - 1) / 2.0::double)) * 100, 6) as reduction_pct
+  round(tp / (tp + fn)::double * 100, 6) as recall_pct, work_pairs, total_buckets, largest_bucket, comparisons,
+  round((1 - comparisons / (m * (m - 1) / 2.0::double)) * 100, 6) as reduction_pct
 from (select count(*) filter (retrieved and is_same) as tp, count(*) filter (not retrieved and is_same) as fn, count(*) filter (retrieved) as work_pairs
       from hits where bands = {b}),
-  (select count(*) as total_buckets, max(n) as largest_bucket from (select band_id, bucket_hash, count(*) as n from g{b} group by 1, 2)),
-  (select count(*) as pool_pairs from g{b}_met), (select count(*) as m from notices)""" for b, r in CONFIGS), extra=_HITS),
+  (select count(*) as total_buckets, max(n) as largest_bucket, cast(sum(n * (n - 1) // 2) as bigint) as comparisons
+    from (select band_id, bucket_hash, count(*) as n from g{b} group by 1, 2)), (select count(*) as m from notices)""" for b, r in CONFIGS), extra=_HITS),
     "retrieval_curve": _q("""
 select bands, rows, bin::int as bin, coalesce(pairs, 0) as pairs, round(retrieved_share, 6) as retrieved_share,
   round(1 - pow(1 - pow((bin + 0.5::double) / 10, rows), bands), 6) as theory_score, round(theory_fields, 6) as theory_fields
@@ -183,8 +177,8 @@ from (select distinct bands, rows, bin from hits, range(10) r(bin)) left join (
     "cost_table": _q(_costs("bands, rows", "hits"), extra=_HITS),
     "cost_by_cap": _q(_costs("cap", "cap_hits"), extra="""
 cap_hits as (select s.is_same, s.similarity, cap, coalesce(min_bucket <= cap, false) as retrieved
-  from scored s left join (select * from bands_met where cross_portal) m using (id_a, id_b), (values (50), (150)) c(cap))"""),
-    "candidate_recall": _q("select * from " + _recall("capped")),
+  from scored s left join (select * from bands_met where cross_portal) m using (id_a, id_b), (values (10), (50), (150)) c(cap))"""),
+    "candidate_recall": _q("select * from " + _recall("(select id_a, id_b from bands_met where cross_portal)")),
     "work_distribution": _q(f"select {_SUMMARY} from worked", extra=_WORKED),
     "work_top20": _q("""
 select row_number() over (order by work desc, notice_id)::int as rank, notice_id, portal_id, work from worked
@@ -202,19 +196,19 @@ where part is not null group by 1""", extra=_WORKED),
     "cap_sweep": _q(f"""
 select cap, {_SUMMARY}, any_value(duplicates) as duplicates, any_value(found) as found,
   round(any_value(found / duplicates::double) * 100, 6) as recall_pct,
-  case when cap = 0 then {_unlisted("bands_sizes")} else 0 end as unlisted_comparisons
-from cap_work join cap_found using (cap) group by cap""", extra=_CAP_CTES),
+  any_value(skipped_buckets) as skipped_buckets, any_value(skipped_comparisons) as skipped_comparisons
+from cap_work join cap_found using (cap) join cap_left using (cap) group by cap""", extra=_CAP_CTES),
     "mitigation_matrix": _q(" union all ".join(
-        f"select '{name}' as variant, {_unlisted('rbands_sizes' if name.startswith('raw') else 'bands_sizes')} as unlisted_comparisons, s.*, r.* from (select {_SUMMARY} from w{i}) s, {_recall(f'v{i}')} r" for i, name in enumerate(_VARIANTS)),
+        f"select '{name}' as variant, s.*, r.* from (select {_SUMMARY} from w{i}) s, {_recall(f'v{i}')} r" for i, name in enumerate(_VARIANTS)),
         extra=_VARIANT_CTES),
     "before_after": _q(f"""
 , one as (select s.*, r.* from (select {_SUMMARY} from w0) s, {_recall('v0')} r),
-two as (select s.*, r.* from (select {_SUMMARY} from worked) s, {_recall('capped')} r),
-b as (unpivot (select total_pairs::double as total_pairs, max_work::double as max_work, p50, p90, p95, p99, found::double as found, recall_pct from one)
+two as (select s.*, r.* from (select {_SUMMARY} from w3) s, {_recall('v3')} r),
+b as (unpivot (select comparisons::double as comparisons, max_work::double as max_work, p50, p90, p95, p99, found::double as found, recall_pct from one)
   on columns(*) into name measure value before),
-a as (unpivot (select total_pairs::double as total_pairs, max_work::double as max_work, p50, p90, p95, p99, found::double as found, recall_pct from two)
+a as (unpivot (select comparisons::double as comparisons, max_work::double as max_work, p50, p90, p95, p99, found::double as found, recall_pct from two)
   on columns(*) into name measure value after)
 select measure, round(before, 6) as before, round(after, 6) as after,
   round(case when before <> 0 then (after - before) / before * 100 end, 6) as change_pct from b join a using (measure)""",
-        extra=_VARIANT_CTES + "," + _WORKED).replace(")\n, one", "),\none"),
+        extra=_VARIANT_CTES).replace(")\n, one", "),\none"),
 }

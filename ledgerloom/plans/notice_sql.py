@@ -94,6 +94,8 @@ def _bands(signature: str, name: str, bands: int = 32, rows: int = 4) -> str:
   select notice_id, portal_id, cast(band_id as int) as band_id,
     array_to_string(list_transform(sig[band_id * {rows} + 1:band_id * {rows} + {rows}], lambda v: format('{{:016x}}', v)), '_') as bucket_hash
   from {signature} join notices using (notice_id), range({bands}) r(band_id)),
+{name}_crowd as materialized (
+  select *, count(*) over (partition by band_id, bucket_hash) as n, count(*) over (partition by band_id, bucket_hash, portal_id) as own from {name}),
 {name}_sizes as materialized (select band_id, bucket_hash, count(*) as n from {name} group by 1, 2 having count(*) > 1),
 {name}_met as materialized (
   select a.notice_id as id_a, b.notice_id as id_b, min(n) as min_bucket, any_value(a.portal_id <> b.portal_id) as cross_portal
@@ -231,14 +233,16 @@ select id_a, id_b, round(t, 6) as title_estimate, round(b, 6) as body_estimate,
     "bucket_sizes": _q("""
 select band_id, count(*) as buckets, count(*) filter (n > 1) as shared_buckets, max(n) as largest, cast(sum(n * (n - 1) // 2) as bigint) as comparisons
 from (select band_id, bucket_hash, count(*) as n from bands group by 1, 2) group by 1"""),
-    "lsh_candidates_all": _q("select id_a, id_b, min_bucket from bands_met"),
-    "lsh_candidates_capped": _q("select id_a, id_b from capped"),
+    "lsh_candidates_all": _q("""
+select band_id, bucket_hash, any_value(n) as notices, count(distinct portal_id) as portals, any_value(n) * (any_value(n) - 1) // 2 as comparisons,
+  cast(sum(n - own) // 2 as bigint) as cross_portal from bands_crowd where n > 1 group by 1, 2"""),
+    "lsh_candidates_capped": _q("select id_a, id_b from bands_met where cross_portal and min_bucket <= 10"),
     "pair_collision": _q("""
 select id_a, id_b, exists (select 1 from bands x join bands y using (band_id, bucket_hash) where x.notice_id = id_a and y.notice_id = id_b) as collides
 from pool"""),
     "probe_expansion": _q("""
-select probe_id, count(*) as candidates, min(other) as first_id, max(other) as last_id from (
-  select id_a as probe_id, id_b as other from bands_met union all select id_b, id_a from bands_met) group by 1"""),
+select x.notice_id as probe_id, count(*) as comparisons, min(y.notice_id) as first_id, max(y.notice_id) as last_id
+from bands x join bands y using (band_id, bucket_hash) where x.notice_id <> y.notice_id group by 1"""),
     "screen_pairs": _q(f"select id_a, id_b, round(screen_score, 6) as screen_score from agree semi join capped using (id_a, id_b) where screen_score >= {SCREEN}"),
     "verify_pairs": _q("""
 select id_a, id_b, round(title_sim, 6) as title_sim, round(body_sim, 6) as body_sim, round(similarity, 6) as similarity
@@ -250,6 +254,8 @@ union all select 'buckets', count(*) from (select distinct band_id, bucket_hash
 union all select 'candidate_pairs', count(*) from capped
 union all select 'screened_pairs', count(*) from agree semi join capped using (id_a, id_b) where screen_score >= {SCREEN}
 union all select 'verified_pairs', count(*) from verified semi join capped using (id_a, id_b)
+union all select 'skipped_buckets', count(*) from bands_sizes where n > 150
+union all select 'skipped_comparisons', cast(coalesce(sum(n - own) // 2, 0) as bigint) from bands_crowd where n > 150
 union all select 'cards', count(distinct root_id) from roots
 union all select 'cards_with_duplicates', count(*) from (select root_id from roots group by 1 having count(*) > 1)"""),
     "components": _q("select notice_id, portal_id, root_id from roots join notices using (notice_id)"),
@@ -257,11 +263,9 @@ union all select 'cards_with_duplicates', count(*) from (select root_id from roo
 select 'CARD-' || root_id as card_id, root_id as canonical_notice_id, member_count, portal_count, title, lang from (
   select root_id, count(*) as member_count, count(distinct portal_id) as portal_count from roots join notices using (notice_id) group by 1) r
 join notices n on n.notice_id = root_id"""),
-    "card_members": _q("""
-select 'CARD-' || root_id as card_id, 0 as chunk, string_agg(notice_id::varchar, ',' order by notice_id) as member_notices from roots group by root_id"""),
+    "card_members": _q("select 'CARD-' || root_id as card_id, notice_id from roots"),
     "card_portals": _q("""
-select 'CARD-' || root_id as card_id, 0 as chunk, string_agg(distinct portal_id, ',' order by portal_id) as portals
-from roots join notices using (notice_id) group by root_id"""),
+select 'CARD-' || root_id as card_id, portal_id, count(*) as members from roots join notices using (notice_id) group by 1, 2"""),
     "incremental_batch": _q("""
 select notice_id, card_id, false as arrived from old_cards union all select notice_id, card_id, true from new_cards""", extra=_INCREMENTAL),
     "incremental_stream": _q("select notice_id, card_id from old_cards union all select notice_id, card_id from new_cards", extra=_INCREMENTAL),

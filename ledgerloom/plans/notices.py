@@ -75,13 +75,24 @@ def lsh_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return banding.bucket_index(with_signatures(hashed(S.notices(spark, sf_dir))))
 
 
+# The published stop-bucket size, and the smallest one of the published sweep.
+STOP_BUCKET, LEAST_CAP = 150, 10
+
+
 def candidates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of any two portals; a bucket is paired in full up to the listing bound (see the README)."""
-    return E.listed_pairs(N.signed_notices(spark, sf_dir), banding.BANDS, banding.ROWS_PER_BAND)
+    """Every shared bucket with the candidate pairs it stands for; ``lsh_bands`` has the members."""
+    sets = N.signed_notices(spark, sf_dir)
+    both = banding.crowds(sets, "portal_id").where("n > 1").groupBy(*banding.BUCKET).agg(
+        F.max("n").alias("notices"), F.count("*").alias("portals"), (F.sum(F.col("own") * F.col("others")) / 2).cast("bigint").alias("cross_portal")
+    )
+    return both.select(
+        "band_id", banding.bucket_text(F.col("bucket")).alias("bucket_hash"), "notices", "portals",
+        (F.col("notices") * (F.col("notices") - 1) / 2).cast("bigint").alias("comparisons"), "cross_portal",
+    )
 
 
 def candidates_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return banding.capped_candidates(N.signed_notices(spark, sf_dir))
+    return banding.capped_candidates(N.signed_notices(spark, sf_dir), LEAST_CAP)
 
 
 def pair_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,44 +126,41 @@ def bucket_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probe_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every notice's candidates by way of the stored bucket index, as counts and id range."""
-    sets = N.signed_notices(spark, sf_dir)
-    index = stored_index(spark, sets)
-    own = index.join(
-        index.groupBy("band_id", "bucket_hash").agg(F.count("*").alias("n")).where(f"n between 2 and {E.LISTED_BUCKET}"),
-        ["band_id", "bucket_hash"], "left_semi",
-    )
-    met = banding.expand_probes(own, own.withColumnRenamed("notice_id", "probe_id"))
-    return met.groupBy("probe_id").agg(
-        F.count("*").alias("candidates"), F.min("notice_id").alias("first_id"), F.max("notice_id").alias("last_id")
-    )
+    """Every notice's comparisons by way of the stored bucket index, and the range of ids it meets."""
+    index = stored_index(spark, N.signed_notices(spark, sf_dir))
+    return banding.expand_probes(index, index.withColumnRenamed("notice_id", "probe_id"))
 
 
 def screen_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = N.signed_notices(spark, sf_dir)
-    return matching.screen(banding.capped_candidates(sets), sets)
+    return matching.screen(banding.capped_candidates(sets, STOP_BUCKET), sets)
 
 
 def verify_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = N.signed_notices(spark, sf_dir)
-    kept = matching.screen(banding.capped_candidates(sets), sets).select("id_a", "id_b")
+    kept = matching.screen(banding.capped_candidates(sets, STOP_BUCKET), sets).select("id_a", "id_b")
     return matching.verify(kept, sets)
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many notices, shingles, buckets, pairs and cards each stage yields."""
+    """How many notices, shingles, buckets, pairs and cards each stage yields, and what the stop-bucket rule leaves out.
+
+    Pairs are those of the published pipeline, which skips large buckets; cards leave nothing out.
+    """
     sets = N.signed_notices(spark, sf_dir)
-    pairs = materialise(banding.capped_candidates(sets), "candidates")
+    pairs = materialise(banding.capped_candidates(sets, STOP_BUCKET), "candidates")
     screened = materialise(matching.screen(pairs, sets), "screened")
     verified = materialise(matching.verify(screened.select("id_a", "id_b"), sets), "verified")
     mapping = materialise(cards.card_map(sets), "map")
     sizes = mapping.groupBy("root_id").agg(F.count("*").alias("n"))
     grams = sets.agg(F.sum(F.size("title_set") + F.size("body_set")))
+    left_out = banding.skipped(sets, (STOP_BUCKET,))
     counts = [
         ("notices", sets.agg(F.count("*"))), ("shingles", grams),
         ("buckets", banding.buckets(sets).groupBy(*banding.BUCKET).agg(F.count("*").alias("n")).agg(F.count("*"))),
         ("candidate_pairs", pairs.agg(F.count("*"))), ("screened_pairs", screened.agg(F.count("*"))),
-        ("verified_pairs", verified.agg(F.count("*"))), ("cards", sizes.agg(F.count("*"))),
+        ("verified_pairs", verified.agg(F.count("*"))),
+        ("skipped_buckets", left_out.select("skipped_buckets")), ("skipped_comparisons", left_out.select("skipped_comparisons")), ("cards", sizes.agg(F.count("*"))),
         ("cards_with_duplicates", sizes.agg(F.count_if(F.col("n") > 1))),
     ]
     return union_all([
@@ -167,7 +175,7 @@ def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hashed": lambda done: hashed(S.notices(spark, sf_dir)),
         "signed": lambda done: with_signatures(done["hashed"]),
         "index": lambda done: banding.bucket_index(done["signed"]),
-        "candidates": lambda done: banding.capped_candidates(done["signed"]),
+        "candidates": lambda done: banding.capped_candidates(done["signed"], STOP_BUCKET),
         "screened": lambda done: matching.screen(done["candidates"], done["signed"]),
         "verified": lambda done: matching.verify(done["screened"].select("id_a", "id_b"), done["signed"]),
         "cards": lambda done: cards.card_map(done["signed"]),
@@ -185,12 +193,12 @@ def card_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def card_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = materialise(cards.card_map(N.signed_notices(spark, sf_dir)), "map")
-    return cards.card_members(mapping).select("card_id", "chunk", F.array_join(F.col("member_notices").cast("array<string>"), ",").alias("member_notices"))
+    return cards.card_members(mapping)
 
 
 def card_portals(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = materialise(cards.card_map(N.signed_notices(spark, sf_dir)), "map")
-    return cards.card_portals(mapping).select("card_id", "chunk", F.array_join("portals", ",").alias("portals"))
+    return cards.card_portals(mapping)
 
 
 def _base_and_arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -99,8 +99,13 @@ def test_candidates_with_and_without_cap(sets, rows):
     for cap in (3, 150):
         found = {(r["id_a"], r["id_b"]) for r in banding.capped_candidates(sets, cap).collect()}
         assert found == set(band_pairs(rows, cap=cap))
-    everyone = {(r["id_a"], r["id_b"]): r["min_bucket"] for r in E.listed_pairs(sets, 32, 4).collect()}
-    assert everyone == band_pairs(rows, across=False)
+
+
+@pytest.mark.parametrize("across", [True, False])
+def test_smallest_shared_bucket_of_every_pair(spark, sets, rows, across):
+    every = [(a, b) for a in rows for b in rows if a < b]
+    found = banding.smallest_shared(spark.createDataFrame(every, "id_a bigint, id_b bigint"), sets, "portal_id" if across else None).collect()
+    assert {(r["id_a"], r["id_b"]): r["min_bucket"] for r in found if r["min_bucket"]} == band_pairs(rows, across=across)
 
 
 def test_bucket_of_exactly_the_cap_is_kept(spark):
@@ -143,12 +148,28 @@ def test_components(spark):
     assert min_labels(text.where("false")).count() == 0
 
 
-def test_large_cards_are_spread_over_rows(spark):
+def test_members_and_portals_are_rows(spark):
     mapping = spark.createDataFrame([(i, f"p{i % 7}", 0) for i in range(50)], "notice_id bigint, portal_id string, root_id bigint")
-    chunks = [r["member_notices"] for r in cards.card_members(mapping, limit=10).collect()]
-    assert len(chunks) > 1 and sorted(i for c in chunks for i in c) == list(range(50))
-    whole = cards.card_members(mapping).collect()
-    assert len(whole) == 1 and whole[0]["member_notices"] == list(range(50))
+    assert sorted(r["notice_id"] for r in cards.card_members(mapping).collect()) == list(range(50))
+    assert {r["portal_id"]: r["members"] for r in cards.card_portals(mapping).collect()} == {f"p{k}": 8 if k == 0 else 7 for k in range(7)}
+
+
+def test_bucket_of_over_a_thousand_notices(spark):
+    """Work, recall, probes and clusters of one wording on three portals; nothing is left out and no pair listed."""
+    copies = [(i, f"p{i % 3}", "one title here", "the very same body of words") for i in range(1001)]
+    sets = signed(spark.createDataFrame(copies, NOTICE))
+    per_portal = {f"p{k}": sum(i % 3 == k for i in range(1001)) for k in range(3)}
+    work = E.work_per_notice(sets, "portal_id", (0, 1000)).collect()
+    assert all(r["work"] == (32 * (1001 - per_portal[r["portal_id"]]) if r["cap"] == 0 else 0) for r in work)
+    labelled = spark.createDataFrame([(0, 1, True), (0, 3, True)], "id_a bigint, id_b bigint, is_same boolean")
+    assert E.candidate_recall(labelled, sets).first()["found"] == 1 and E.candidate_recall(labelled, sets, None).first()["found"] == 2
+    left = banding.skipped(sets, (0, 1000), None).collect()
+    assert {r["cap"]: (r["skipped_buckets"], r["skipped_comparisons"]) for r in left} == {0: (0, 0), 1000: (32, 32 * 1001 * 500)}
+    index = banding.bucket_index(sets)
+    probes = {r["probe_id"]: r for r in banding.expand_probes(index, index.withColumnRenamed("notice_id", "probe_id")).collect()}
+    assert all(r["comparisons"] == 32_000 for r in probes.values())
+    assert (probes[0]["first_id"], probes[0]["last_id"], probes[1000]["last_id"], probes[5]["first_id"]) == (1, 1000, 999, 0)
+    assert {r["root_id"] for r in cards.card_map(sets).collect()} == {0}
 
 
 BODY = "build a long road from the north gate to the south gate over two bridges"
@@ -261,20 +282,32 @@ def test_separated_classes_use_the_middle_of_the_gap(spark):
     assert row["threshold"] == pytest.approx(0.6) and row["macro_f1"] == 1.0
 
 
+def band_work(rows, cap):
+    buckets = {}
+    for i, row in rows.items():
+        for band in range(32):
+            buckets.setdefault((band, tuple(row["signature"][4 * band: 4 * band + 4])), []).append(i)
+    work, left = {i: 0 for i in rows}, [0, 0]
+    for members in buckets.values():
+        others = {i: sum(rows[i]["portal_id"] != rows[j]["portal_id"] for j in members) for i in members}
+        if cap and len(members) > cap:
+            left = [left[0] + 1, left[1] + sum(others.values()) // 2]
+        else:
+            for i in members:
+                work[i] += others[i]
+    return work, left
+
+
 def test_work_and_caps(spark, sets, rows):
-    pairs = E.listed_pairs(sets, 32, 4, "portal_id")
     labelled = spark.createDataFrame([(a, b, True) for a, b in true_edges(rows)], "id_a bigint, id_b bigint, is_same boolean")
-    sweep = {r["cap"]: r for r in E.cap_sweep(pairs, sets.select("notice_id"), labelled).collect()}
-    for cap in (0, 10, 20, 300):
-        expected = band_pairs(rows, cap=cap or None)
-        degree = {i: 0 for i in rows}
-        for a, b in expected:
-            degree[a] += 1
-            degree[b] += 1
-        assert sweep[cap]["total_pairs"] == len(expected) and sweep[cap]["max_work"] == max(degree.values())
-        assert sweep[cap]["p90"] == pytest.approx(np.percentile(list(degree.values()), 90))
-    found = [sweep[c]["found"] for c in (10, 20, 30, 50, 0)]
-    assert found == sorted(found) and sweep[0]["recall_pct"] == 100.0
+    sweep = {r["cap"]: r for r in E.cap_sweep(sets, labelled, (20, 10, 3)).collect()}
+    for cap in (0, 3, 10, 20):
+        work, left = band_work(rows, cap)
+        assert sweep[cap]["comparisons"] == sum(work.values()) // 2 and sweep[cap]["max_work"] == max(work.values())
+        assert sweep[cap]["p90"] == pytest.approx(np.percentile(list(work.values()), 90))
+        assert [sweep[cap]["skipped_buckets"], sweep[cap]["skipped_comparisons"]] == left
+    found = [sweep[c]["found"] for c in (3, 10, 20, 0)]
+    assert found == sorted(found) and sweep[0]["recall_pct"] == 100.0 and sweep[3]["skipped_buckets"] > 0
 
 
 def test_holdout_covers_every_pair(scored):
