@@ -26,7 +26,9 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-    # many small stores: no disk set aside beforehand
+    # many small stores: little memory for each one's writes, no disk set aside beforehand
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
