@@ -15,7 +15,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from ledgerloom.plans import catalogue  # noqa: E402
-from ledgerloom.session import local_session  # noqa: E402
+from ledgerloom.session import local_session, remove_scratch  # noqa: E402
 
 HEADLINE = [
     "dedup_lines", "scd2_fact", "monthly_revenue", "reconcile", "category_revenue", "dash_kpi", "dash_top_products",
@@ -36,6 +36,7 @@ def main() -> None:
         started = time.perf_counter()
         catalogue.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+        remove_scratch(spark)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     scale = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

@@ -85,7 +85,8 @@ def best_threshold(scored: DataFrame, score: str) -> DataFrame:
 def holdout_threshold(scored: DataFrame, score: str, parts: int = 2) -> DataFrame:
     """Thresholds judged on pairs they were not chosen on: each part of the pairs, split by pair hash,
     is judged with the best threshold of all the other parts."""
-    part = F.pmod(F.xxhash64("id_a", "id_b"), F.lit(parts)).cast("int")
+    digest = F.md5(F.concat_ws(":", F.col("id_a").cast("string"), F.col("id_b").cast("string")).cast("binary"))
+    part = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % parts).cast("int")
     split = scored.withColumn("part", part)
     judged = []
     for held in range(parts):

@@ -35,14 +35,17 @@ class Slice:
 
 
 def sliced(fact: DataFrame, stores: DataFrame, products: DataFrame, dates: DataFrame, where: Slice) -> DataFrame:
-    """Fact rows summed per store, product and day, joined to the three dimensions and filtered."""
+    """Fact rows summed per store, product and day, joined to the three dimensions and filtered.
+
+    A row without a match in a dimension stays, without that dimension's fields.
+    """
     daily = fact.groupBy("store_id", "product_sk", "date_key").agg(
         F.count("*").alias("n"), F.sum("net_amount").alias("net"), F.sum("quantity").alias("qty")
     )
     return (
-        daily.join(stores.select("store_id", "store_name"), "store_id")
-        .join(products.select("product_sk", "product_code", "product_name", "category"), "product_sk")
-        .join(dates.select("date_key", "month_str", "day_name", "day_of_week"), "date_key")
+        daily.join(stores.select("store_id", "store_name"), "store_id", "left")
+        .join(products.select("product_sk", "product_code", "product_name", "category"), "product_sk", "left")
+        .join(dates.select("date_key", "month_str", "day_name", "day_of_week"), "date_key", "left")
         .where(where.predicate())
     )
 
@@ -56,6 +59,16 @@ def kpis(rows: DataFrame) -> DataFrame:
     )
 
 
+def kpi_gap(rows: DataFrame, fact: DataFrame) -> DataFrame:
+    """Lines and revenue of a report against the fact table; an unfiltered report has no difference."""
+    total = fact.agg(F.count("*").alias("fact_lines"), F.sum("net_amount").cast(AMOUNT).alias("fact_revenue"))
+    shown = kpis(rows)
+    return total.select(
+        shown.select("total_lines").scalar().alias("report_lines"), "fact_lines",
+        shown.select("total_net_revenue").scalar().alias("report_revenue"), "fact_revenue",
+    ).withColumn("difference", (F.col("report_revenue") - F.col("fact_revenue")).cast(AMOUNT))
+
+
 def breakdown(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.sum("net").cast(AMOUNT).alias("net_revenue"))
 

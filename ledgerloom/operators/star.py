@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lines import is_revenue, net_amount
-from ledgerloom.sources.tables import DISCOUNT_CODE, DISCOUNT_KEY, FIRST_DAY, OPEN_END, UNKNOWN_KEY
+from ledgerloom.sources.tables import DISCOUNT_CODE, DISCOUNT_KEY, FIRST_DAY, OPEN_END, UNKNOWN_CODE, UNKNOWN_KEY
 
 SPREAD = 4096
 
@@ -21,17 +21,19 @@ def dim_store(stores: DataFrame) -> DataFrame:
 
 
 def dim_product(products: DataFrame) -> DataFrame:
-    """Product versions plus one sentinel row for bill-level discounts; safe to run again."""
-    sentinel = products.sparkSession.range(1).select(
-        F.lit(DISCOUNT_KEY).cast(products.schema["product_sk"].dataType).alias("product_sk"),
-        F.lit(DISCOUNT_CODE).alias("product_code"),
-        F.lit("Bill-Level Discount").alias("product_name"),
-        F.lit("Promotions & Discounts").alias("category"),
-        F.to_date(F.lit(FIRST_DAY)).alias("valid_from"),
-        F.to_date(F.lit(OPEN_END)).alias("valid_to"),
+    """Product versions plus a row for bill-level discounts and one for codes without a valid version; safe to run again."""
+    key = products.schema["product_sk"].dataType
+    special = F.array(*[
+        F.struct(F.lit(sk).cast(key).alias("product_sk"), F.lit(code).alias("product_code"), F.lit(name).alias("product_name"), F.lit(category).alias("category"))
+        for sk, code, name, category in (
+            (DISCOUNT_KEY, DISCOUNT_CODE, "Bill-Level Discount", "Promotions & Discounts"), (UNKNOWN_KEY, UNKNOWN_CODE, "Unknown Product", "Unknown"),
+        )
+    ])
+    sentinels = products.sparkSession.range(1).select(F.inline(special)).withColumns(
+        {"valid_from": F.to_date(F.lit(FIRST_DAY)), "valid_to": F.to_date(F.lit(OPEN_END))}
     )
-    kept = products.where(F.col("product_sk") != DISCOUNT_KEY)
-    return kept.select(*sentinel.columns).unionByName(sentinel)
+    kept = products.where(~F.col("product_sk").isin(DISCOUNT_KEY, UNKNOWN_KEY))
+    return kept.select(*sentinels.columns).unionByName(sentinels)
 
 
 def calendar_columns(day: Column) -> list[Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.plans import evaluation, evaluation_sql, notice_sql, notices, retail, retail_sql
+from ledgerloom.plans import evaluation, evaluation_sql, notice_sql, notices, retail, retail_sql, roundtrips
 
 Query = retail.Query
 PLACES = 6
@@ -28,6 +28,6 @@ def _settling(query: Query) -> Query:
     return lambda spark, sf_dir: settled(query(spark, sf_dir))
 
 
-_NAMED: dict[str, Query] = {**retail.QUERIES, **notices.QUERIES, **evaluation.QUERIES}
+_NAMED: dict[str, Query] = {**retail.QUERIES, **notices.QUERIES, **evaluation.QUERIES, **roundtrips.QUERIES}
 QUERIES: dict[str, Query] = {name: _settling(query) for name, query in _NAMED.items()}
-ORACLES: dict[str, str] = {**retail_sql.ORACLES, **notice_sql.ORACLES, **evaluation_sql.ORACLES}
+ORACLES: dict[str, str] = {**retail_sql.ORACLES, **notice_sql.ORACLES, **evaluation_sql.ORACLES, **roundtrips.ORACLES}

@@ -23,7 +23,7 @@ MEASURES = ["comparisons", "max_work", "p50", "p90", "p95", "p99", "found", "rec
 
 def _each_score(operator) -> Query:  # noqa: ANN001
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pairs = N.scored(spark, sf_dir)
+        pairs = N.scored(spark, sf_dir, raw=True)
         return union_all([operator(pairs, score) for score in SCORES])
 
     return run
@@ -34,7 +34,7 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = N.scored(spark, sf_dir)
+    pairs = N.scored(spark, sf_dir, raw=True)
     return union_all([
         E.confusion(pairs, F.col(score) >= tau).select(F.lit(score).alias("score"), "*") for score, tau in TAUS.items()
     ])
@@ -42,7 +42,7 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def anchor_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two scorers on the pair of each class they disagree about most."""
-    pairs = N.scored(spark, sf_dir)
+    pairs = N.scored(spark, sf_dir, raw=True)
     gap = F.round(F.abs(F.col("raw_similarity") - F.col("similarity")), 9)
     anchors = pairs.groupBy("is_same").agg(
         F.max(F.struct(gap.alias("gap"), (-F.col("id_a")).alias("a"), (-F.col("id_b")).alias("b"))).alias("m")
@@ -147,7 +147,7 @@ QUERIES: dict[str, Query] = {
     "confusion": confusion,
     "roc_auc": _each_score(E.roc_auc),
     "pr_auc": _each_score(E.pr_auc),
-    "curve_points": lambda s, d: E.curve_points(N.scored(s, d), "raw_similarity"),
+    "curve_points": lambda s, d: E.curve_points(N.scored(s, d, raw=True), "raw_similarity"),
     "quality_auc": quality_auc,
     "class_profile": _each_score(E.class_profile),
     "anchor_pairs": anchor_pairs,

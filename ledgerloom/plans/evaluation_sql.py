@@ -32,12 +32,12 @@ _PR = """round(sum((pos / p::double) * (case when tp + fp = 0 then 0 else tp / (
   + case when tp - pos + fp - neg = 0 then 1 else (tp - pos) / (tp - pos + fp - neg)::double end) / 2), 6)"""
 
 
-def _best(score: str, sweep: str) -> str:
+def _best(score: str, sweep: str, source: str = "scored") -> str:
     return f"""
 select '{score}' as score, round(b, 6) as best_score, round(f, 6) as macro_f1, round(lo, 6) as highest_different, round(hi, 6) as lowest_same,
   round(case when lo < hi then (lo + hi) / 2 else b end, 6) as threshold
 from (select min(threshold) as b, max(f1) as f from {sweep} where f1 = (select max(f1) from {sweep})),
-  (select max({score}) filter (not is_same) as lo, min({score}) filter (is_same) as hi from scored)"""
+  (select max({score}) filter (not is_same) as lo, min({score}) filter (is_same) as hi from {source})"""
 
 
 def _confusion(score: str, tau: float) -> str:
@@ -56,6 +56,23 @@ select '{score}' as score, is_same, count(*) as pairs, round(min({score}), 6) as
   round(max({score}), 6) as max, round(stddev_pop({score}), 6) as std from scored group by is_same"""
 
 
+def _held(score: str, short: str, part: int) -> str:
+    """The part's pairs judged with the threshold of the other part."""
+    return f"""
+select '{score}' as score, {part} as part, tp, fp, fn, tn, {_RATES}, round(threshold, 6) as threshold from (
+  select threshold, count(*) filter ({score} >= threshold and is_same) as tp, count(*) filter ({score} >= threshold and not is_same) as fp,
+    count(*) filter ({score} < threshold and is_same) as fn, count(*) filter ({score} < threshold and not is_same) as tn
+  from parted, (select case when lo < hi then (lo + hi) / 2 else b end as threshold
+    from (select min(threshold) as b from h{part}_{short} where f1 = (select max(f1) from h{part}_{short})),
+      (select max({score}) filter (not is_same) as lo, min({score}) filter (is_same) as hi from others{part}))
+  where part = {part} group by threshold)"""
+
+
+_PARTED = """
+parted as materialized (select *, (('0x' || substr(md5(id_a || ':' || id_b), 1, 8))::bigint % 2)::int as part from scored),
+others0 as (select * from parted where part <> 0), others1 as (select * from parted where part <> 1)"""
+_HOLDOUT = _PARTED + "".join("," + _sweep(f"others{k}", score, f"h{k}_{short}") for k in (0, 1) for score, short in (("raw_similarity", "raw"), ("similarity", "comp")))
+
 _GRIDS = ",".join(_bands("sigs", f"g{b}", b, r) for b, r in CONFIGS)
 _HITS = _GRIDS + ",\nhits as materialized (" + " union all ".join(
     f"""select s.*, {b} as bands, {r} as rows, exists (select 1 from g{b} x join g{b} y using (band_id, bucket_hash)
@@ -132,6 +149,8 @@ select count(*) as pairs, count(*) filter (is_same) as same, count(*) filter (no
 from labelled"""),
     "threshold_sweep": _q(f"select round(threshold, 6) as threshold, tp, fp, fn, tn, {_RATES} from sw_comp", extra=_SWEEPS),
     "best_threshold": _q(" union all ".join(_best(*b) for b in _BOTH), extra=_SWEEPS),
+    "holdout_threshold": _q(" union all ".join(
+        _held(score, short, k) for k in (0, 1) for score, short in (("raw_similarity", "raw"), ("similarity", "comp"))), extra=_HOLDOUT),
     "confusion": _q(_confusion("raw_similarity", _RAW_TAU) + " union all " + _confusion("similarity", TAU)),
     "roc_auc": _q(" union all ".join(f"select '{s}' as score, {_ROC} as roc_auc from {w}" for s, w in _BOTH), extra=_SWEEPS),
     "pr_auc": _q(" union all ".join(f"select '{s}' as score, {_PR} as pr_auc from {w}" for s, w in _BOTH), extra=_SWEEPS),

@@ -41,16 +41,18 @@ def labelled(sets: DataFrame) -> DataFrame:
     return joined.select("id_a", "id_b", same.alias("is_same"))
 
 
-def scored(spark: SparkSession, sf_dir: str, sets: DataFrame | None = None) -> DataFrame:
-    """Labelled pairs with the raw and the composite similarity, stored."""
+def scored(spark: SparkSession, sf_dir: str, sets: DataFrame | None = None, raw: bool = False) -> DataFrame:
+    """Labelled pairs with the composite similarity, stored; with ``raw`` also the similarity of the uncleaned texts,
+    whose shingles are made once, for notices that occur in a pair."""
     notices = S.notices(spark, sf_dir)
     sets = materialise(hashed(notices), "sets") if sets is None else sets
     pairs = materialise(labelled(sets), "labelled")
     composite = exact_scores(pairs, sets)
-    raw = spread(notices).select("notice_id", hash_grams(raw_shingles()).alias("raw_set"))
-    with_raw = both_sides(composite, raw, ["raw_set"]).withColumn(
-        "raw_similarity", jaccard(F.col("raw_set_a"), F.col("raw_set_b"))
-    )
+    if not raw:
+        return materialise(composite.select("id_a", "id_b", "is_same", "title_sim", "body_sim", "similarity"), "scored")
+    wanted = pairs.select(F.explode(F.array("id_a", "id_b")).alias("notice_id")).distinct()
+    raw_sets = materialise(spread(notices.join(wanted, "notice_id", "left_semi")).select("notice_id", hash_grams(raw_shingles()).alias("raw_set")), "raw-sets")
+    with_raw = both_sides(composite, raw_sets, ["raw_set"]).withColumn("raw_similarity", jaccard(F.col("raw_set_a"), F.col("raw_set_b")))
     return materialise(
         with_raw.select("id_a", "id_b", "is_same", "raw_similarity", "title_sim", "body_sim", "similarity"), "scored"
     )

@@ -240,6 +240,8 @@ select band_id, bucket_hash, any_value(n) as notices, count(distinct portal_id)
     "pair_collision": _q("""
 select id_a, id_b, exists (select 1 from bands x join bands y using (band_id, bucket_hash) where x.notice_id = id_a and y.notice_id = id_b) as collides
 from pool"""),
+    "bucket_lookup": _q("""
+select band_id, bucket_hash, notice_id from bands semi join (select band_id, bucket_hash from bands where notice_id % 20 = 0) using (band_id, bucket_hash)"""),
     "probe_expansion": _q("""
 select x.notice_id as probe_id, count(*) as comparisons, min(y.notice_id) as first_id, max(y.notice_id) as last_id
 from bands x join bands y using (band_id, bucket_hash) where x.notice_id <> y.notice_id group by 1"""),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,19 +43,29 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session without that setting
-    gets a folder of its own; on a cluster a machine-local folder would lose data with its node.
+    The session names it in ``spark.checkpoint.dir``; its configuration is only read.  Without that setting a session
+    whose driver and executors are one process gets a folder of its own; any other would lose data with a node.
     """
+    app = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return f"{configured.rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
+        configured = _own_folders.setdefault(app, "") or tempfile.mkdtemp(prefix="ledgerloom-")
+        _own_folders[app] = configured
+    return f"{configured.rstrip('/')}/ledgerloom-{app}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; results that still read them must be stored before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,8 +1,7 @@
 """Point-of-sale export files: three CSV dialects and Parquet days, read into one schema.
 
-Columns are read as text by header name and cast afterwards: a schema given to the CSV reader is
-matched by position and would silently null a re-ordered file.  A byte-order mark is dropped by the
-reader.  Store, business date and re-send number come from the file's name, never from its content.
+Cells are read as text and found through the header of their own file: the CSV reader itself takes one
+header for all files and the rest by position.  A byte-order mark is dropped by the reader.  Store, business date and re-send number come from the file's name, never from its content.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 # Fixed value: the naming contract of the exports.
 FILE_NAME = r"SALES_(S[0-9]+)_([0-9]{4})([0-9]{2})([0-9]{2})(?:__R([0-9]+))?"
 MONEY = "decimal(12,2)"
+MOST_COLUMNS = 24
 LINE_COLUMNS = ["bill_no", "line_no", "product_code", "qty", "unit_price", "line_type", "ts"]
 
 
@@ -74,18 +74,33 @@ def _typed(rows: DataFrame, stamp: Column) -> DataFrame:
 
 
 def read_csv_dialect(spark: SparkSession, root: str, dialect: Dialect) -> DataFrame:
-    """All CSV exports of one dialect under ``root``."""
+    """All CSV exports of one dialect under ``root``; files may order their columns differently and hold further ones.
+
+    A header is the line that names all columns; a file without one is an error.
+    """
     paths = [f"{root}/*SALES_{store}_*" for store in dialect.stores]
-    rows = (
-        spark.read.option("header", True)
+    cells = [f"c{k}" for k in range(MOST_COLUMNS)]
+    lines = (
+        spark.read.schema(", ".join(f"{c} string" for c in cells))
         .option("sep", dialect.separator)
         .option("pathGlobFilter", "*.csv")
         .option("ignoreMissingFiles", True)
         .csv(existing(spark, paths))
-        .withColumnsRenamed(dialect.renames)
-        .select(*LINE_COLUMNS, F.col("_metadata.file_path").alias("file_path"))
+        .select(F.array(*cells).alias("cells"), F.col("_metadata.file_path").alias("file_path"))
     )
-    return _typed(rows, dialect.parse_stamp(F.col("ts")))
+    own = {new: old for old, new in dialect.renames.items()}
+    place = {c: F.array_position("cells", own.get(c, c)) for c in LINE_COLUMNS}
+    header = F.lit(True)
+    for at in place.values():
+        header = header & (at > 0)
+    headers = lines.where(header).groupBy("file_path").agg(*[F.min(at).alias(f"at_{c}") for c, at in place.items()])
+    met = lines.where(~header).join(headers, "file_path", "left")
+
+    def cell(name: str) -> Column:
+        missing = F.raise_error(F.concat(F.lit("no header in "), F.col("file_path")))
+        return F.when(F.col(f"at_{name}").isNull(), missing).otherwise(F.get("cells", F.col(f"at_{name}") - 1)).alias(name)
+
+    return _typed(met.select(*[cell(c) for c in LINE_COLUMNS], "file_path"), dialect.parse_stamp(F.col("ts")))
 
 
 def read_parquet_days(spark: SparkSession, root: str) -> DataFrame:

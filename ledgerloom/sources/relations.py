@@ -28,9 +28,10 @@ def relation(spark: SparkSession, name: str, jdbc: dict[str, str] | None = None,
     return reader.load()
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """CREATE OR REPLACE TABLE ... AS SELECT."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """CREATE OR REPLACE TABLE ... AS SELECT, in the warehouse or in a folder of its own."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def read_notices(spark: SparkSession, paths: str | list[str]) -> DataFrame:

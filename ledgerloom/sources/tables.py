@@ -14,6 +14,7 @@ FIRST_DAY = "1995-01-01"
 MONEY = "decimal(12,2)"
 DISCOUNT_CODE = "DISCOUNT"
 DISCOUNT_KEY = 0
+UNKNOWN_CODE = "UNKNOWN"
 UNKNOWN_KEY = -1
 TITLE_PART = r"^[^\n.!?]*"
 
@@ -106,15 +107,15 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One list price per product version and calendar year, 1995 to 2001."""
+    """One list price per product version and calendar year, for the years in which lines were sold."""
     price = F.col("p_retailprice").cast(MONEY)
     base = products(spark, sf_dir).join(
         table(spark, sf_dir, "part").select(product_code(F.col("p_partkey")).alias("product_code"), "p_retailprice"),
         "product_code",
     )
-    return base.select(
-        "product_sk", "p_retailprice", F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("y")
-    ).select(
+    sold = table(spark, sf_dir, "lineitem").agg(F.year(F.min("l_shipdate")).alias("lo"), F.year(F.max("l_shipdate")).alias("hi"))
+    years = F.sequence(sold.select("lo").scalar(), sold.select("hi").scalar())
+    return base.select("product_sk", "p_retailprice", F.explode(years).alias("y")).select(
         "product_sk",
         F.make_date("y", F.lit(1), F.lit(1)).alias("effective_from"),
         F.make_date("y", F.lit(12), F.lit(31)).alias("effective_to"),

@@ -65,7 +65,7 @@ def test_version_join_takes_the_valid_version_once(spark, products):
 
 def test_sentinel_is_added_once(products):
     twice = star.dim_product(star.dim_product(products))
-    assert twice.where(F.col("product_sk") == DISCOUNT_KEY).count() == 1 and twice.count() == 4
+    assert twice.where(F.col("product_sk") == DISCOUNT_KEY).count() == 1 and twice.count() == 5
 
 
 def test_calendar(spark):
@@ -147,6 +147,31 @@ def test_slices_compose(spark, products):
     assert kpi(weekday="Monday")["total_net_revenue"] == 9 and kpi(month="2023-01")["total_net_revenue"] is None
 
 
+def test_reports_keep_unknown_codes_and_days(spark, products):
+    stores = spark.createDataFrame([("S01", "one")], "store_id string, store_name string")
+    sold = frame(spark, [line("B1", 1, "P1", "1", "5", "SALE"), line("B2", 1, "P9", "2", "5", "SALE"), line("B3", 1, "P2", "1", "4", "SALE", "2003-07-01"),
+                         line("B4", 1, None, "1", "-1", "DISCOUNT"), line("B5", 1, "P2", "1", "3", "SALE", store="S99")])
+    fact = star.fact_sales(sold, products)
+    rows = reporting.sliced(fact, stores, star.dim_product(products), star.dim_date_for(sold), reporting.Slice())
+    assert reporting.kpis(rows).first()["total_lines"] == 5
+    gap = reporting.kpi_gap(rows, fact).first()
+    assert gap["report_lines"] == gap["fact_lines"] == 5 and gap["difference"] == 0
+    assert {r["category"]: r["net_revenue"] for r in reporting.breakdown(rows, "category").collect()}["Unknown"] == 14
+
+
+def test_every_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "SALES_S01_20241014.csv").write_text(
+        "bill_no,line_no,product_code,qty,unit_price,line_type,ts\nB1,1,P1,2,10.50,SALE,2024-10-14T13:45:02\n")
+    (tmp_path / "SALES_S02_20241014.csv").write_text(
+        "line_no,bill_no,till,unit_price,qty,line_type,ts,product_code\n7,B2,t1,99.00,3,SALE,2024-10-14T13:45:02,P2\n")
+    rows = {r["bill_no"]: r for r in pos_exports.read_exports(spark, str(tmp_path)).collect()}
+    assert (rows["B2"]["line_no"], rows["B2"]["qty"], rows["B2"]["unit_price"], rows["B2"]["product_code"]) == (7, 3, 99, "P2")
+    assert (rows["B1"]["line_no"], rows["B1"]["qty"], rows["B1"]["unit_price"]) == (1, 2, D("10.50")) and len(rows) == 2
+    (tmp_path / "SALES_S03_20241014.csv").write_text("B3,1,P1,2,10.50,SALE,2024-10-14T13:45:02\n")
+    with pytest.raises(Exception, match="no header in"):
+        pos_exports.read_exports(spark, str(tmp_path)).collect()
+
+
 def test_dialects_names_and_resends(spark, tmp_path):
     (tmp_path / "SALES_S01_20241014.csv").write_text(
         "bill_no,line_no,product_code,qty,unit_price,line_type,ts\nB1,1,P1,2,10.50,SALE,2024-10-14T13:45:02\n"
