@@ -9,14 +9,17 @@ Groups hold thousands of pieces, so what the last sequence of each leaves open i
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -24,10 +27,14 @@ from tokenizers import Tokenizer
 from ledgerloom.llm.common import blocks, whole
 from ledgerloom.session import materialise
 
-#: Chunks between white space whose ids a worker remembers.
-REMEMBERED = 400_000
-#: Strings that the tokenizer reads as one token, and control characters that it does not read as white space.
-SPECIAL = ("<|startoftext|>", "<|endoftext|>", "\x1c", "\x1d", "\x1e", "\x1f")
+#: Words and marks whose ids a worker remembers, and chunks between white space made up of these.
+REMEMBERED, CHUNKS = 700_000, 300_000
+#: What the tokenizer takes as one word or mark, and the strings that it reads as one token.
+WORD_OR_MARK = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+#: Texts with any of these go to the tokenizer as they are: separators that are not its white space, a letter whose lower
+#: case depends on its place, and scripts in which the versions of Unicode in use might disagree.
+APART = re.compile("[\x1c-\x1f\u03a3\u0530-\U0010ffff]")
 
 
 @dataclass(frozen=True)
@@ -40,28 +47,50 @@ class Capacity:
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian bytes; remembers the ids of chunks between white space.
+    """Token ids of whole texts as little-endian bytes, remembered by word.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its chunks in turn.
+    The tokenizer lower-cases, drops white space, and joins nothing across words and marks, so a text's ids are those of
+    its words and marks in turn.  Unknown ones are encoded together, with a blank between.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _directly(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn_words(self, new: list[str]) -> None:
+        found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+        ids, owner = np.array(found.ids, dtype="<u4").tobytes(), np.array(found.word_ids)
+        edges = [0, *(4 * (np.flatnonzero(np.diff(owner)) + 1)).tolist(), len(ids)]
+        if len(edges) == len(new) + 1:
+            self.words.update((w, ids[a:b]) for w, a, b in zip(new, edges, edges[1:], strict=False))
+        else:  # a mark that meets its neighbours in another way
+            self.words.update((w, self._directly(w)) for w in new)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [None if any(s in t for s in SPECIAL) else t.split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        new = list({c for words in chunks if words for c in words if c not in known})
+        split: list[list[str] | None] = []
+        for text in texts:
+            if APART.search(text) or any(s in text for s in SPECIAL):
+                split.append(None)
+            else:
+                split.append((text if is_normalized("NFC", text) else normalize("NFC", text)).lower().split())
+        if len(self.words) > REMEMBERED:
+            self.words, self.chunks = {}, {}
+        if len(self.chunks) > CHUNKS:
+            self.chunks = {}
+        words, chunks = self.words, self.chunks
+        fresh = list(set().union(*[own for own in split if own]).difference(chunks))
+        parts = [[c] if c.isalpha() else WORD_OR_MARK.findall(c) for c in fresh]
+        new = list(set().union(*parts).difference(words))
         for start in range(0, len(new), 20_000):
-            known.update(zip(new[start : start + 20_000], self._bytes(new[start : start + 20_000]), strict=True))
-        get = known.__getitem__
-        return [self._bytes([t])[0] if words is None else b"".join(map(get, words)) for t, words in zip(texts, chunks, strict=True)]
+            self._learn_words(new[start : start + 20_000])
+        for chunk, own in zip(fresh, parts, strict=True):
+            chunks[chunk] = words[own[0]] if len(own) == 1 else b"".join([words[p] for p in own])
+        get = chunks.__getitem__
+        return [self._directly(t) if own is None else b"".join(map(get, own)) for t, own in zip(texts, split, strict=True)]
 
 
 @lru_cache(maxsize=1)
