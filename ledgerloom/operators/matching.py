@@ -117,10 +117,13 @@ def linked(
     """Representatives and verified links between them, sufficient for exact clusters.
 
     ``seeds`` are links known beforehand.  ``fresh`` restricts new links to those with at least one
-    end in it (a table of ``notice_id``), as an incremental run needs.
+    end in it (a table of ``notice_id``), as an incremental run needs; then only the buckets of such notices count.
     """
     reps = materialise(representatives(signed).where(reachable(alpha) >= tau), "reps")
-    members = materialise(shared_buckets(buckets(reps, bands, rows)), "members")
+    banded = buckets(reps, bands, rows)
+    if fresh is not None:
+        banded = banded.join(banded.join(fresh, "notice_id", "left_semi").select(*BUCKET).distinct(), BUCKET, "left_semi")
+    members = materialise(shared_buckets(banded), "members")
     small = members.where(F.col("bucket_size") <= cap)
     large = members.where(F.col("bucket_size") > cap)
     heads = large.groupBy(*BUCKET).agg(F.min("notice_id").alias("id_a"))

@@ -203,7 +203,12 @@ def incremental_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = materialise(
         cards.card_map(stored).select("notice_id", cards.card_name(F.col("root_id")).alias("card_id")), "before"
     )
-    mapped, _ = cards.arrive(stored, before, signed(late))
+    arrived = signed(late)
+    index = materialise(banding.buckets(stored).select("band_id", "bucket", "notice_id"), "index")
+    met = materialise(cards.touched(index, arrived), "touched")
+    mapped, _ = cards.arrive(
+        materialise(stored.join(met, "notice_id", "left_semi"), "met"), before.join(met, "notice_id", "left_semi"), arrived
+    )
     return before.select("notice_id", "card_id", F.lit(False).alias("arrived")).unionByName(
         mapped.select("notice_id", "card_id", F.lit(True).alias("arrived"))
     )
@@ -215,7 +220,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "arrivals")
     store = arrivals.CardStore(spark, scratch_path(spark, "store"))
     for part in (base, late):
-        part.select("notice_id", "portal_id", "title", "body").coalesce(1).write.mode("append").parquet(folder)
+        part.select("notice_id", "portal_id", "title", "body").write.mode("append").parquet(folder)
         arrivals.run_available(spark, folder, store)
     return store.card_map().select("notice_id", "card_id")
 

@@ -20,12 +20,29 @@ REGION_STORES = ("S01", "S05", "S06", "S09", "S12")
 EARLY, LATE = "1997-03-15", "1999-10-15"
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+MONTHS = ["year", "month"]
+
+
+def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.dedup_lines(S.raw_sales_lines(spark, sf_dir))
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.fact_sales(lines(spark, sf_dir), S.products(spark, sf_dir))
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated lines, landed by month once per application and read from there."""
+    columns = S.raw_sales_lines(spark, sf_dir).columns
+    return lake.once(spark, f"lines {sf_dir}", MONTHS, lambda: deduplicated(spark, sf_dir)).select(*columns)
+
+
+def fact(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
+    """The fact table, landed likewise; with ``month`` (``yyyy-MM``) only that month's folder is read."""
+    def build() -> DataFrame:
+        rows = star.fact_sales(lines(spark, sf_dir), S.products(spark, sf_dir))
+        return rows.withColumns({"year": F.date_format("date_key", "yyyy"), "month": F.date_format("date_key", "MM")})
+
+    rows = lake.once(spark, f"fact {sf_dir}", MONTHS, build)
+    if month is not None:
+        rows = rows.where((F.col("year") == month[:4]) & (F.col("month") == month[5:7]))
+    return rows.drop(*MONTHS)
 
 
 def region_lines(spark: SparkSession, sf_dir: str, raw: DataFrame) -> DataFrame:
@@ -78,10 +95,11 @@ def export_columns(df: DataFrame) -> DataFrame:
 
 
 def landed(spark: SparkSession, sf_dir: str) -> str:
-    """Land the deduplicated lines by year, month and region store; returns the lake's folder."""
-    base = scratch_path(spark, "lake")
-    lake.land(region_lines(spark, sf_dir, lines(spark, sf_dir)), base)
-    return base
+    """The lake of deduplicated lines by year, month and region store, landed once per application; its folder."""
+    label = f"lake {sf_dir}"
+    rows = lambda: region_lines(spark, sf_dir, lines(spark, sf_dir)).withColumn("store", F.col("store_id"))
+    lake.once(spark, label, lake.PARTITIONS, rows)
+    return lake.landed_path(spark, label)
 
 
 def store_month(rows: DataFrame) -> DataFrame:
@@ -114,10 +132,9 @@ def pruning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def slice_rows(where: reporting.Slice) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sold = materialise(lines(spark, sf_dir), "lines")
         return reporting.sliced(
-            star.fact_sales(sold, S.products(spark, sf_dir)), star.dim_store(S.stores(spark, sf_dir)),
-            star.dim_product(S.products(spark, sf_dir)), star.dim_date_for(sold), where,
+            fact(spark, sf_dir, where.month), star.dim_store(S.stores(spark, sf_dir)),
+            star.dim_product(S.products(spark, sf_dir)), star.dim_date_for(S.raw_sales_lines(spark, sf_dir)), where,
         )
 
     return run
@@ -137,25 +154,24 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def variance_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = S.raw_sales_lines(spark, sf_dir)
-    kept = materialise(L.dedup_lines(raw), "lines")
+    kept = lines(spark, sf_dir)
     month = F.date_format("business_date", "yyyy-MM").alias("month")
     revenue = lambda df, name: df.where(L.is_revenue()).groupBy(month).agg(F.sum(L.net_amount()).alias(name))
     resent = revenue(raw, "r").join(revenue(kept, "k"), "month", "left").select(
         "month", (F.col("r") - F.coalesce("k", F.lit(0))).alias("resent_revenue")
     )
-    sold = star.fact_sales(kept, S.products(spark, sf_dir))
-    report = reporting.reconcile(S.finance_book(spark, sf_dir), reporting.monthly_revenue(sold))
+    report = reporting.reconcile(S.finance_book(spark, sf_dir), reporting.monthly_revenue(fact(spark, sf_dir)))
     return reporting.variance_causes(report, L.store_day_gaps(kept), L.bill_rounded_revenue(kept), resent)
 
 
 def rerun_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the lake three times from scratch into the same place and compare the later results with the first."""
     base = scratch_path(spark, "rerun")
-    lake.land(region_lines(spark, sf_dir, lines(spark, sf_dir)), base)
+    lake.land(region_lines(spark, sf_dir, deduplicated(spark, sf_dir)), base)
     first = materialise(lake.scan(spark, base), "first-run")
     compared = []
     for run in (2, 3):
-        lake.land(region_lines(spark, sf_dir, lines(spark, sf_dir)), base)
+        lake.land(region_lines(spark, sf_dir, deduplicated(spark, sf_dir)), base)
         compared.append(materialise(profile.same_rows(first, lake.scan(spark, base)), "rerun").select(F.lit(run).alias("run"), "*"))
     return union_all(compared)
 
@@ -163,7 +179,7 @@ def rerun_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHECKSUM_COLUMNS = ["bill_no", "line_no", "product_code", "qty", "unit_price", "line_type", "business_date", "store_id"]
 
 QUERIES: dict[str, Query] = {
-    "dedup_lines": lambda s, d: export_columns(lines(s, d)),
+    "dedup_lines": lambda s, d: export_columns(deduplicated(s, d)),
     "dedup_audit": lambda s, d: L.dedup_audit(S.raw_sales_lines(s, d)),
     "normalise_dialects": lambda s, d: export_columns(exports(s, d)),
     "file_name_facts": lambda s, d: exports(s, d).groupBy(
@@ -184,8 +200,8 @@ QUERIES: dict[str, Query] = {
     "scd2_version_check": lambda s, d: star.version_check(fact(s, d), S.products(s, d)),
     "line_type_audit": lambda s, d: L.line_type_audit(lines(s, d)),
     "naive_vs_revenue": lambda s, d: L.naive_vs_revenue(lines(s, d)),
-    "price_as_of_early": lambda s, d: reporting.prices_as_of(S.price_revisions(s, d), S.products(s, d), fact(s, d), EARLY),
-    "price_as_of_late": lambda s, d: reporting.prices_as_of(S.price_revisions(s, d), S.products(s, d), fact(s, d), LATE),
+    "price_as_of_early": lambda s, d: reporting.prices_as_of(S.price_revisions(s, d), S.products(s, d), fact(s, d, EARLY[:7]), EARLY),
+    "price_as_of_late": lambda s, d: reporting.prices_as_of(S.price_revisions(s, d), S.products(s, d), fact(s, d, LATE[:7]), LATE),
     "category_revenue": lambda s, d: star.category_revenue(lines(s, d), S.stores(s, d), S.products(s, d)),
     "dash_kpi": lambda s, d: reporting.kpis(ALL(s, d)),
     "dash_by_store": lambda s, d: reporting.breakdown(ALL(s, d), "store_id", "store_name"),

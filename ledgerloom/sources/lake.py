@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import scratch_root
+
 PARTITIONS = ["year", "month", "store"]
 
 
@@ -26,6 +31,19 @@ def land(lines: DataFrame, base: str, max_records: int = 5_000_000) -> None:
     )
 
 
+def landed_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_root(spark)}/landed/{hashlib.md5(label.encode()).hexdigest()}"
+
+
+def once(spark: SparkSession, label: str, columns: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """A table landed under ``columns`` the first time this application asks for ``label``, and read from there."""
+    path = landed_path(spark, label)
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        build().hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*columns).parquet(path)
+    return spark.read.parquet(path)
+
+
 def scan(spark: SparkSession, base: str) -> DataFrame:
     """The whole lake with its partition columns; a filter on them prunes files."""
     return spark.read.parquet(base)

@@ -1,8 +1,9 @@
 """Arriving notices as a stream: each micro-batch is carded against everything stored so far.
 
-State is three append-only tables partitioned by batch.  A batch overwrites its own partition only,
-so a retried batch leaves one copy, and a notice that already has a card is skipped whichever batch
-it comes in.
+State is four append-only tables partitioned by batch: signed notices, the bucket index, the map to cards, and aliases.
+A batch bands its own notices, looks their buckets up in the index, and reads only the stored notices found there.  It
+replaces its own partitions, so a retried batch leaves one copy, and a notice that already has a card is skipped
+whichever batch it comes in.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import cards
+from ledgerloom.operators import banding, cards
 from ledgerloom.operators.signatures import hashed, with_signatures
 from ledgerloom.session import materialise
 
@@ -18,6 +19,7 @@ SIGNED_SCHEMA = (
     "notice_id bigint, portal_id string, text_key string, title_set array<bigint>, body_set array<bigint>, "
     "signature array<bigint>, batch_id bigint"
 )
+INDEX_SCHEMA = "band_id int, bucket array<bigint>, notice_id bigint, batch_id bigint"
 MAP_SCHEMA = "notice_id bigint, card_id string, created_at timestamp, batch_id bigint"
 ALIAS_SCHEMA = "card_id string, same_as string, batch_id bigint"
 
@@ -39,6 +41,9 @@ class CardStore:
     def signed(self) -> DataFrame:
         return self._read("signed", SIGNED_SCHEMA)
 
+    def index(self) -> DataFrame:
+        return self._read("index", INDEX_SCHEMA)
+
     def card_map(self) -> DataFrame:
         return self._read("card_map", MAP_SCHEMA)
 
@@ -46,32 +51,29 @@ class CardStore:
         return self._read("aliases", ALIAS_SCHEMA)
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        (
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(f"{self.base}/{name}")
-        )
+        df.write.mode("overwrite").parquet(f"{self.base}/{name}/batch_id={batch_id}")
 
     def add(self, notices: DataFrame, batch_id: int) -> None:
         """Card one batch.  The map is written last: it is what marks a notice as done."""
         before = F.col("batch_id") != batch_id
-        known = materialise(self.card_map().where(before).select("notice_id", "card_id"), "known")
-        stored = self.signed().where(before).drop("batch_id").join(known.select("notice_id"), "notice_id", "left_semi")
+        known = self.card_map().where(before).select("notice_id", "card_id")
         once = notices.groupBy("notice_id").agg(F.min(F.struct("portal_id", "title", "body")).alias("n"))
         new = once.select("notice_id", "n.*").join(known.select("notice_id"), "notice_id", "left_anti")
         fresh = materialise(with_signatures(hashed(new)), "fresh")
-        mapped, aliases = cards.arrive(materialise(stored, "stored"), known, fresh)
+        # A batch that broke off may have left rows without a card; they come again with their own batch.
+        carded = self.index().where(before).join(known.select("notice_id"), "notice_id", "left_semi")
+        met = materialise(cards.touched(carded, fresh), "touched")
+        stored = self.signed().where(before).drop("batch_id").join(met, "notice_id", "left_semi")
+        mapped, aliases = cards.arrive(materialise(stored, "stored"), known.join(met, "notice_id", "left_semi"), fresh)
         self._write(fresh, "signed", batch_id)
+        self._write(banding.buckets(fresh).select("band_id", "bucket", "notice_id"), "index", batch_id)
         self._write(aliases, "aliases", batch_id)
         self._write(mapped.withColumn("created_at", F.current_timestamp()), "card_map", batch_id)
 
 
 def run_available(spark: SparkSession, folder: str, store: CardStore) -> None:
     """Card whatever is new in ``folder``; the stream's checkpoint remembers what was seen."""
-    source = (
-        spark.readStream.schema("notice_id bigint, portal_id string, title string, body string")
-        .option("maxFilesPerTrigger", 1).parquet(folder)
-    )
+    source = spark.readStream.schema("notice_id bigint, portal_id string, title string, body string").parquet(folder)
     query = (
         source.writeStream.foreachBatch(lambda batch, batch_id: store.add(batch, batch_id))
         .option("checkpointLocation", f"{store.base}/stream").trigger(availableNow=True).start()

@@ -115,7 +115,7 @@ def test_bucket_of_exactly_the_cap_is_kept(spark):
 
 
 def test_verified_pairs(sets, rows):
-    pairs = matching.screen(banding.capped_candidates(sets), sets).select("id_a", "id_b")
+    pairs = matching.screen(banding.capped_candidates(sets, 150), sets).select("id_a", "id_b")
     found = {(r["id_a"], r["id_b"]) for r in matching.verify(pairs, sets).collect()}
     assert found == set(true_edges(rows))
 
@@ -178,7 +178,9 @@ BODY = "build a long road from the north gate to the south gate over two bridges
 def arriving(spark, base, new):
     stored = signed(spark.createDataFrame(base, NOTICE))
     given = cards.card_map(stored).select("notice_id", cards.card_name(F.col("root_id")).alias("card_id"))
-    mapped, aliases = cards.arrive(stored, given, signed(spark.createDataFrame(new, NOTICE)))
+    fresh = signed(spark.createDataFrame(new, NOTICE))
+    met = cards.touched(banding.buckets(stored), fresh.join(given, "notice_id", "left_anti"))
+    mapped, aliases = cards.arrive(stored.join(met, "notice_id", "left_semi"), given, fresh)
     return ({r["notice_id"]: r["card_id"] for r in mapped.collect()},
             {r["card_id"]: r["same_as"] for r in aliases.collect()})
 
@@ -209,6 +211,21 @@ def test_stream_is_safe_to_repeat(spark, tmp_path):
     assert {r["notice_id"]: r["card_id"] for r in store.card_map().collect()} == before and store.card_map().count() == 3
 
 
+def test_a_batch_leaves_the_store_as_it_is_and_reads_what_it_meets(spark, tmp_path):
+    store = arrivals.CardStore(spark, str(tmp_path / "store"))
+    other = [(100 + i, f"p{i % 3}", f"title {i} alone", f"body {i} of other words number {i * 7}") for i in range(30)]
+    store.add(spark.createDataFrame([(10, "p0", "road works north", BODY), (11, "p1", "road works north", BODY), *other], NOTICE), 0)
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "store").rglob("*.parquet")}
+    new = spark.createDataFrame([(5, "p2", "road works north", BODY)], NOTICE)
+    met = {r["notice_id"] for r in cards.touched(store.index(), signed(new)).collect()}
+    assert met == {10, 11}
+    store.add(new, 1)
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items())
+    assert store.card_map().where("notice_id = 5").first()["card_id"] == "CARD-10" and store.index().where("batch_id = 1").count() == 32
+    store.add(new.where("false"), 1)
+    assert store.card_map().where("batch_id = 1").count() == 0 and store.aliases().where("batch_id = 1").count() == 0
+
+
 def test_index_lookup(spark, sets, rows, tmp_path):
     banding.store_index(banding.bucket_index(sets), str(tmp_path / "index"))
     index = spark.read.parquet(str(tmp_path / "index")).withColumn("band_id", F.col("band_id").cast("int"))
