@@ -134,4 +134,5 @@ def realised(
     source = docs[f"`{source_col}`"]
     held = docs.join(last, (source.isNull() == last["_unnamed"]) & (F.coalesce(source, F.lit("")) == last["_source"]))
     times = last["_blocks"] + F.when(_key(seed, last["_blocks"], docs[f"`{id_col}`"]) <= last["_last"], 1).otherwise(0)
-    return held.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).where("_copy > 0").select(*[docs[f"`{c}`"] for c in docs.columns])
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    return held.where(times > 0).select(F.struct(*columns).alias("doc"), F.explode(F.sequence(F.lit(1), times))).select("doc.*")

@@ -66,8 +66,8 @@ def test_blocks_are_permutations_within_the_budget(spark):
 
 
 def test_realised_rows_are_the_picked_ones(spark, edge):
-    for docs in (sources(spark, {"a": 90, "b": 20, "c": 31}), edge):
-        target = mixing.Target(repetitions=1.7)
+    some = sources(spark, {"a": 90, "b": 20, "c": 31})
+    for docs, target in ((some, mixing.Target(1.7)), (edge, mixing.Target(1.7)), (some, mixing.Target(1.2, budget=240))):
         picks = sorted((r.id for r in mixing.mixed(docs, target).collect()), key=str)
         out = mixing.realised(docs, target)
         assert out.schema == docs.schema
