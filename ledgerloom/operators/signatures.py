@@ -29,13 +29,16 @@ cloudpickle.register_pickle_by_value(hashing)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def shingle_columns(cleaned: bool = True) -> tuple[Column, Column]:
-    """Title and body n-grams of a notice, from cleaned text or from the text as it came."""
+def _fields(cleaned: bool) -> tuple[Column, Column]:
     title, body = F.col("title"), F.col("body")
     if cleaned:
-        title, body = T.clean_title(title), T.clean_body(body)
-    else:
-        title, body = F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
+        return T.clean_title(title), T.clean_body(body)
+    return F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
+
+
+def shingle_columns(cleaned: bool = True) -> tuple[Column, Column]:
+    """Title and body n-grams of a notice, from cleaned text or from the text as it came."""
+    title, body = _fields(cleaned)
     return T.word_grams(T.tokens(title), T.TITLE_GRAM), T.word_grams(T.tokens(body), T.BODY_GRAM)
 
 
@@ -50,11 +53,7 @@ def hashed(notices: DataFrame, cleaned: bool = True, keep: list[str] = ()) -> Da
 
     Token arrays are made in their own projection so that every later expression reads them once.
     """
-    title, body = F.col("title"), F.col("body")
-    if cleaned:
-        title, body = T.clean_title(title), T.clean_body(body)
-    else:
-        title, body = F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
+    title, body = _fields(cleaned)
     words = spread(notices).select(
         "notice_id", "portal_id", *keep, T.tokens(title).alias("tw"), T.tokens(body).alias("bw")
     )

@@ -94,6 +94,11 @@ def test_coefficients_are_fixed():
     a, b = coefficients("title")
     assert a.dtype == np.uint64 and len(a) == 512 and bool((a & np.uint64(1)).all())
     assert not np.array_equal(a, coefficients("body")[0])
+    first = {n: [[int(v) for v in part[:3]] for part in coefficients(n)] for n in ("title", "body")}
+    assert first == {
+        "title": [[2297359619001564597, 1396682528897996047, 1973689801170867273], [1064902540256928541, 2141000865387175162, 834137264395293700]],
+        "body": [[1277741186154202589, 1830179236967386335, 2066822225386588533], [1035772707314828550, 1035191704480820331, 1041103688052929574]],
+    }
 
 
 def test_dates_and_money(spark):
