@@ -28,7 +28,7 @@ from ledgerloom.llm.common import blocks, whole
 from ledgerloom.session import materialise
 
 #: Words and marks whose ids a worker remembers, and chunks between white space made up of these.
-REMEMBERED, CHUNKS = 700_000, 300_000
+REMEMBERED, CHUNKS = 450_000, 200_000
 #: What the tokenizer takes as one word or mark, and the strings that it reads as one token.
 WORD_OR_MARK = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
