@@ -18,6 +18,8 @@ from ledgerloom.session import materialise
 
 # Fixed values of the published experiments.
 SIZES = (32, 64, 128, 256, 512)
+# Beside the published sizes, some that are small enough to err across the threshold.
+COARSE_SIZES = (4, 8, 16, *SIZES)
 CONFIGS = ((8, 16), (16, 8), (32, 4), (64, 2))
 RATIOS = (10, 50, 100, 200)
 CAPS = (300, 250, 200, 150, 125, 100, 75, 50, 30, 20, 10)

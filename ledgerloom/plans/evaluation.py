@@ -50,9 +50,9 @@ def anchor_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.compare_on(pairs, anchors, TAUS)
 
 
-def _estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = materialise(with_signatures(hashed(S.notices(spark, sf_dir)), max(E.SIZES), interleaved=False), "wide")
-    return E.estimates_by_size(N.scored(spark, sf_dir, wide), wide)
+def _estimates(spark: SparkSession, sf_dir: str, sizes: tuple[int, ...] = E.SIZES) -> DataFrame:
+    wide = materialise(with_signatures(hashed(S.notices(spark, sf_dir)), max(sizes), interleaved=False), "wide")
+    return E.estimates_by_size(N.scored(spark, sf_dir, wide), wide, sizes)
 
 
 def _signed_and_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +152,7 @@ QUERIES: dict[str, Query] = {
     "class_profile": _each_score(E.class_profile),
     "anchor_pairs": anchor_pairs,
     "estimator_error_by_k": lambda s, d: E.estimator_errors(_estimates(s, d)),
-    "estimator_disagreements": lambda s, d: E.estimator_disagreements(_estimates(s, d)),
+    "estimator_disagreements": lambda s, d: E.estimator_disagreements(_estimates(s, d, E.COARSE_SIZES)),
     "banding_grid": banding_grid,
     "retrieval_curve": retrieval_curve,
     "cost_table": cost_table,

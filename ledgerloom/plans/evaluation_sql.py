@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.operators.evaluation import CAPS, CONFIGS, RATIOS, SIZES
+from ledgerloom.operators.evaluation import CAPS, COARSE_SIZES, CONFIGS, RATIOS, SIZES
 from ledgerloom.operators.matching import TAU
 from ledgerloom.plans.notice_sql import _ALL, _WORK, _bands, _q, _signatures
 
@@ -126,19 +126,21 @@ cap_left as (select cap, count(*) filter (cap > 0 and n > cap) as skipped_bucket
 cap_found as (select cap, count(*) as duplicates, count(*) filter (min_bucket is not null and (cap = 0 or min_bucket <= cap)) as found
   from caps, (select l.id_a, min_bucket from (select * from scored where is_same) l left join cross_pairs c on c.id_a = l.id_a and c.id_b = l.id_b) group by 1)"""
 
-_WIDE = _signatures("grams", "wide", max(SIZES))
-
 
 def _field(side: str, k: int) -> str:
     x, y = f"x.{side}[:{k}]", f"y.{side}[:{k}]"
     return f"case when list_max({x}) = 0 or list_max({y}) = 0 then 0 else len(list_filter(list_zip({x}, {y}), lambda z: z[1] = z[2])) / {k}.0::double end"
 
 
-_ESTIMATES = _WIDE + ",\nestimates as materialized (" + " union all ".join(
-    f"select {k} as k, s.*, 0.5::double * ({_field('tsig', k)}) + 0.5::double * ({_field('bsig', k)}) as estimate "
-    "from scored s join wide x on x.notice_id = id_a join wide y on y.notice_id = id_b" for k in SIZES) + f"""),
+def _estimates(sizes: tuple[int, ...]) -> str:
+    return _signatures("grams", "wide", max(sizes)) + ",\nestimates as materialized (" + " union all ".join(
+        f"select {k} as k, s.*, 0.5::double * ({_field('tsig', k)}) + 0.5::double * ({_field('bsig', k)}) as estimate "
+        "from scored s join wide x on x.notice_id = id_a join wide y on y.notice_id = id_b" for k in sizes) + f"""),
 est_errors as (select *, abs(estimate - similarity) as error, (estimate >= {TAU}) = (similarity >= {TAU}) as agrees from estimates)"""
 
+
+_ESTIMATES = _estimates(SIZES)
+
 _QUALITY = _sweep("docq", "n_chars", "sw_q")
 
 ORACLES: dict[str, str] = {
@@ -177,7 +179,7 @@ select k, count(*) as pairs, round(avg(error), 6) as mae, round(sqrt(avg(error *
 from est_errors group by k""", extra=_ESTIMATES),
     "estimator_disagreements": _q(f"""
 select k, id_a, id_b, is_same, round(similarity, 6) as similarity, round(estimate, 6) as estimate,
-  round(estimate - similarity, 6) as error, round(abs(similarity - {TAU}), 6) as distance from est_errors where not agrees""", extra=_ESTIMATES),
+  round(estimate - similarity, 6) as error, round(abs(similarity - {TAU}), 6) as distance from est_errors where not agrees""", extra=_estimates(COARSE_SIZES)),
     "banding_grid": _q(" union all ".join(f"""
 select {b} as bands, {r} as rows, round(pow(1.0::double / {b}, 1.0::double / {r}), 6) as inflection,
   round(tp / (tp + fn)::double * 100, 6) as recall_pct, work_pairs, total_buckets, largest_bucket, comparisons,
