@@ -42,14 +42,6 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BY
         yield batch.slice(start)
 
 
-def row_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``: a number per row that is the same whenever the rows are read again.
-
-    Only for rows that were written to storage; a plan with a shuffle may number them anew.
-    """
-    return docs.withColumn("_row", F.monotonically_increasing_id())
-
-
 def running(rows: DataFrame, by: list[str], bucket: Column, order: list[Column], value: Column, name: str) -> DataFrame:
     """``rows`` with ``name``: the sum of ``value`` over the rows before it in its group.
 
