@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerloom.operators.evaluation import CAPS, COARSE_SIZES, CONFIGS, RATIOS, SIZES
 from ledgerloom.operators.matching import TAU
-from ledgerloom.plans.notice_sql import _ALL, _WORK, _bands, _q, _signatures
+from ledgerloom.plans.notice_sql import _WORK, _bands, _q, _signatures
 
 _RAW_TAU = 0.4659
 

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import parsing
 from ledgerloom.functions import text as T
-from ledgerloom.functions.similarity import composite, estimated_jaccard, jaccard
+from ledgerloom.functions.similarity import composite, estimated_jaccard
 from ledgerloom.operators import banding, cards, matching, profile
-from ledgerloom.operators import evaluation as E
 from ledgerloom.operators.ordered import union_all
 from ledgerloom.operators.signatures import hashed, raw_shingles, shingle_columns, signed, with_signatures
 from ledgerloom.plans import notice_inputs as N
