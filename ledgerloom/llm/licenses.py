@@ -1,9 +1,9 @@
 """Licence scans with a positional index of rare words; DataFrame operations only.
 
-Licence texts are indexed by word: which template holds it at which positions.  A file's licence words are ranked by
-inverse document frequency over all files, and only its rarest ones are looked up.  For a template, the places of the
-file's rarest word there propose where the template would begin; a proposal stays if the template's other rare words
-stand at the same distance, and if one of the words that the licence cannot do without, its key phrase, stands there word
+Each key phrase, the words that a licence cannot do without, has an anchor: its rarest word by inverse document frequency
+over all files.  A file is indexed at the anchors of all phrases whose words it holds, however many these are.  The
+places of an anchor propose where its phrase, and with it the template, would begin; a proposal stays if the phrase stands
+there word for word, and the template's other words, weighted by rarity, are then looked at in their own places, word
 for word.  Everything happens inside the file's own row, so files that share a licence line are never gathered.
 """
 
@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +46,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Rules:
-    """Words looked up per file; of the weight of a template's ``rarest`` words, the share that must stand in place."""
+    """Of the weight of a template's ``rarest`` words, the share that must stand in place."""
 
-    looked_up: int = 24
     rarest: int = 8
     share: float = 0.5
 
@@ -71,17 +72,25 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[dict[
     return counts, counts.pop("", 0)
 
 
-def _stands(places: Column, words: Sequence[str], start: Column) -> Column:
+def _stands(words: Sequence[str], start: Column) -> Column:
     """Whether ``words`` stand one after the other from ``start``."""
     out = F.lit(True)
     for k, w in enumerate(words):
-        out = out & F.array_contains(F.element_at(places, F.lit(w)), start + k)
+        out = out & (F.get("words", start + k) == w)
     return out
 
 
-def _places(words: Sequence[str]) -> Column:
-    starts = F.filter(F.element_at("index", F.lit(words[0])), lambda s: _stands(F.col("index"), words, s))
-    return F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(len(words)).alias("length")))
+def _anchor(phrase: str, idf: dict[str, float]) -> str:
+    return max(phrase.split(), key=lambda w: (idf[w], w))
+
+
+def _starts(phrase: str, idf: dict[str, float]) -> Column:
+    """Every place where ``phrase`` begins, proposed by its anchor; none if the file lacks one of its words."""
+    words, anchor = phrase.split(), _anchor(phrase, idf)
+    offsets = F.array(*[F.lit(q) for q, w in enumerate(words) if w == anchor])
+    proposed = F.flatten(F.transform(F.element_at("index", F.lit(anchor)), lambda p: F.transform(offsets, lambda q: p - q)))
+    standing = F.filter(F.array_distinct(proposed), lambda o: _stands(words, o))
+    return F.when(F.array_contains("keys", F.lit(phrase)), standing).otherwise(F.array().cast("array<int>"))
 
 
 def scanned(docs: DataFrame, idf: dict[str, float], rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,29 +101,24 @@ def scanned(docs: DataFrame, idf: dict[str, float], rules: Rules = Rules(), id_c
     Null and empty texts have no words; repeated rows and null ids keep a row each; other columns are not read.
     """
     vocabulary = _vocabulary()
-    weight = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, float(idf[w]))])
     step = docs.select(F.col(id_col).alias("id"), words_of(whole(text_col)).alias("words"))
     step = step.select("id", "words", F.size("words").cast("long").alias("n_words"), F.array_intersect("words", _strings(vocabulary)).alias("present"))
     keys = sorted({p for _, _, p in TEMPLATES} | {p for _, p in BASE})
     holds = {p: F.forall(_strings(sorted(set(p.split()))), lambda w: F.array_contains("present", w)) for p in keys}
     step = step.withColumn("keys", F.filter(F.array(*[F.when(holds[p], F.lit(p)) for p in keys]), lambda p: p.isNotNull()))
 
-    ranked = F.array_sort(F.transform("present", lambda w: F.struct((-F.element_at(weight, w)).alias("cost"), w.alias("word"))))
-    step = step.withColumn("rare", F.when(F.size("keys") > 0, F.transform(F.slice(ranked, 1, rules.looked_up), lambda r: r["word"])).otherwise(F.array().cast("array<string>")))
-    wanted = F.array_union("rare", F.array_distinct(F.flatten(F.transform("keys", lambda p: F.split(p, " ")))))
-    step = step.withColumn("wanted", F.when(F.size("keys") > 0, wanted).otherwise(F.array().cast("array<string>")))
+    anchors = F.create_map(*[F.lit(x) for p in keys for x in (p, _anchor(p, idf))])
+    step = step.withColumn("wanted", F.array_distinct(F.transform("keys", lambda p: F.element_at(anchors, p))))
     at = F.filter(
         F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda h: F.array_contains("wanted", h["word"])
     )
     step = step.withColumn("hits", F.when(F.size("keys") > 0, at))
     index = F.map_from_arrays("wanted", F.transform("wanted", lambda w: F.transform(F.filter("hits", lambda h: h["word"] == w), lambda h: h["at"])))
-    step = step.select("id", "n_words", "keys", "rare", F.when(F.size("keys") > 0, index).alias("index"))
+    step = step.select("id", "n_words", "keys", F.when(F.size("keys") > 0, F.col("words")).alias("words"), F.when(F.size("keys") > 0, index).alias("index"))
+    step = step.select("id", "n_words", "words", *[_starts(p, idf).alias(p) for p in keys])
 
-    none = F.array().cast("array<struct<start:int,length:int>>")
-    base = []
-    for _, phrase in BASE:
-        base.append(F.when(F.array_contains("keys", F.lit(phrase)), _places(phrase.split())).otherwise(none))
-    shares = [F.when(F.array_contains("keys", F.lit(key)), _share(text.split(), key.split(), idf, rules)).otherwise(F.lit(0.0)) for _, text, key in TEMPLATES]
+    base = [F.arrays_zip(F.col(p).alias("start"), F.array_repeat(F.lit(len(p.split())), F.size(p)).alias("length")) for _, p in BASE]
+    shares = [_share(text.split(), key, idf, rules) for _, text, key in TEMPLATES]
     step = step.select("id", "n_words", F.array(*base).alias("base"), F.array(*shares).alias("shares"))
 
     labels = [F.when(F.size(F.col("base")[k]) > 0, F.lit(label)) for k, (label, _) in enumerate(BASE)]
@@ -127,30 +131,20 @@ def scanned(docs: DataFrame, idf: dict[str, float], rules: Rules = Rules(), id_c
     )
 
 
-def _share(text: list[str], key: list[str], idf: dict[str, float], rules: Rules) -> Column:
-    """The largest share of a template's weight that stands in place, over all places where its key phrase does too.
-
-    Among the template's words that the file looks up, the rarest proposes the beginnings.
-    """
+def _share(text: list[str], key: str, idf: dict[str, float], rules: Rules) -> Column:
+    """The largest share of a template's weight that stands in place, over all places where its key phrase does."""
     total = sum(sorted((idf[w] for w in set(text)), reverse=True)[: rules.rarest])
-    index, rare = F.col("index"), F.col("rare")
-    own = F.array_intersect(rare, _strings(sorted(set(text))))
-    postings = F.create_map(*[x for w in sorted(set(text)) for x in (F.lit(w), F.array(*[F.lit(k) for k, v in enumerate(text) if v == w]))])
-    weight = F.create_map(*[F.lit(x) for w in sorted(set(text)) for x in (w, float(idf[w] / total))])
-    first = F.element_at(own, 1)
-    proposed = F.flatten(F.transform(F.element_at(postings, first), lambda q: F.transform(F.element_at(index, first), lambda p: p - q)))
-    key_at = [k for k in range(len(text)) if text[k : k + len(key)] == key][0]
-    verified = F.filter(F.array_distinct(proposed), lambda o: _stands(index, key, o + key_at))
-
-    def in_place(o: Column) -> Column:
-        looked = F.aggregate(
-            own, F.lit(0.0),
-            lambda total_so_far, w: total_so_far + F.when(F.exists(F.element_at(postings, w), lambda q: F.array_contains(F.element_at(index, w), o + q)), F.element_at(weight, w)).otherwise(0.0),
-        )
-        kept = sum((F.when(~F.array_contains(own, F.lit(w)), F.lit(float(idf[w] / total))).otherwise(0.0) for w in sorted(set(key))), F.lit(0.0))
-        return F.least(looked + kept, F.lit(1.0))
-
-    return F.coalesce(F.when(F.size(own) > 0, F.array_max(F.transform(verified, in_place))), F.lit(0.0))
+    phrase = key.split()
+    key_at = [k for k in range(len(text)) if text[k : k + len(phrase)] == phrase][0]
+
+    def in_place(s: Column) -> Column:
+        out = F.lit(0.0)
+        for w in sorted(set(text)):
+            there = [F.get("words", s + (k - key_at)) == w for k, v in enumerate(text) if v == w]
+            out = out + F.when(reduce(or_, there), F.lit(float(idf[w] / total))).otherwise(0.0)
+        return F.least(out, F.lit(1.0))
+
+    return F.coalesce(F.array_max(F.transform(F.col(key), in_place)), F.lit(0.0))
 
 
 def scan(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -166,6 +166,16 @@ def test_licences(spark, edge):
     assert licenses.scan(edge).count() == len(edge_rows())
 
 
+def test_every_notice_of_a_file_is_found(spark):
+    bsd, mit = licenses.TEMPLATES[7][1], licenses.TEMPLATES[1][1]
+    wordings = [t for _, t, _ in licenses.TEMPLATES]
+    texts = [f"{bsd}. {mit}. all rights reserved", f"{bsd}. {mit}. licensed under cc by nc 4 0", " x ".join(wordings), " x ".join(wordings[::-1]), "the of " * 300 + " x ".join(wordings * 3), bsd]
+    rows = {r.id: r.labels for r in licenses.scan(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert rows[0] == ["bsd", "mit", "reserved"] and rows[1] == ["bsd", "cc-by-nc", "mit"] and rows[5] == ["bsd"]
+    every = sorted({label for label, _, _ in licenses.TEMPLATES})
+    assert rows[2] == rows[3] == rows[4] == every
+
+
 def slow_phrases(train, text):
     at = count = 0
     while at < len(text):
