@@ -35,15 +35,13 @@ QUOTES = "\"“”„«»‹›"
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the fit: labelled rows read per class, terms kept, and what makes a term.
+    """Bound of the fit: labelled rows read per class; and what makes a term.
 
-    A term or stem stands in at least ``min_texts`` toxic texts and in ``min_share`` of those read.
+    A term or stem stands in at least ``min_texts`` toxic texts, at ``min_log_odds`` against clean ones; all that do are kept.
     """
 
     rows_per_class: int = 12_000
-    max_terms: int = 200
     min_texts: int = 5
-    min_share: float = 0.03
     min_log_odds: float = 4.0
     stem_lengths: tuple[int, ...] = (4, 5, 6)
     stem_words: int = 4
@@ -275,20 +273,19 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
         if not n.get(0) or not n.get(1):
             return Model(SEED_TERMS, (), window=fit.window)
         word = F.explode(F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+")))
-        words = sample.select(word.alias("word"), "toxic").where(F.length("word").between(4, 20)).groupBy("word").agg(
+        words = sample.select(word.alias("word"), "toxic").where("word <> ''").groupBy("word").agg(
             F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("clean")
         )
 
         def odds(bad: str, clean: str) -> F.Column:
             return F.log((F.col(bad) + 0.5) / (n[1] + 1)) - F.log((F.col(clean) + 0.5) / (n[0] + 1))
 
-        least = max(fit.min_texts, fit.min_share * n[1])
-        telling = lambda df: df.where((F.col("bad") >= least) & (odds("bad", "clean") >= fit.min_log_odds))
+        telling = lambda df: df.where((F.col("bad") >= fit.min_texts) & (odds("bad", "clean") >= fit.min_log_odds))
         opening = words.select("*", F.explode(F.array(*[F.lit(k) for k in fit.stem_lengths])).alias("k")).where(F.length("word") > F.col("k"))
         stems = telling(
             opening.groupBy(F.expr("left(word, k)").alias("word")).agg(F.sum("bad").alias("bad"), F.sum("clean").alias("clean"), F.count_if(F.col("bad") > 0).alias("forms"))
         ).where(F.col("forms") >= fit.stem_words)
-        best = lambda df: {r["word"]: r["bad"] for r in df.orderBy(F.desc("bad"), "word").limit(fit.max_terms).collect()}
+        best = lambda df: {r["word"]: r["bad"] for r in df.orderBy(F.desc("bad"), "word").collect()}
         kept_stems = _specific(best(stems))
         openings = set(kept_stems)
         terms = [w for w in best(telling(words)) if not any(w[:k] in openings for k in fit.stem_lengths)]

@@ -262,6 +262,22 @@ def test_toxicity_learns_words_from_labels(spark):
     assert sorted(r.doc_id for r in toxicity.without_toxic(docs, model).collect()) == [k for k, t in marks if not t]
 
 
+def test_toxicity_keeps_every_term_that_passes_however_few_texts_share_it(spark):
+    rng = random.Random(5)
+    few = ["zk", "overlongwordofmorethantwentyletters", *{"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(220)}]
+    held = [[] for _ in range(400)]
+    for word in few:
+        for k in rng.sample(range(400), 10):  # under three hundredths of the toxic texts
+            held[k].append(word)
+    rows = [(k, f"bora tilu {'x' * k}y " + " ".join(held[k] if k < 400 else ["meka"])) for k in range(2400)]
+    marks = [(k, int(k < 400)) for k, _ in rows]
+    model = toxicity.learn(docs_of(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int"), toxicity.Fit(stem_words=1000))
+    outside = spark.createDataFrame(marks, "doc_id long, toxic int").where("toxic = 1").where(toxicity.id_residue("doc_id", 5) != 0)
+    kept = {r.doc_id for r in outside.collect()}
+    count = {w: sum(w in held[k] for k in kept) for w in few}
+    assert {w for w in few if count[w] >= 7} <= set(model.terms)
+
+
 def test_toxicity_of_edge_rows(spark, edge, labels):
     model = toxicity.learn(edge, labels)
     rows = toxicity.scored(edge, model).collect()
