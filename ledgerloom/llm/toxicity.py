@@ -230,15 +230,19 @@ def scores(features: np.ndarray, weights: tuple[float, ...]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fitted(features: np.ndarray, toxic: np.ndarray, pull: float) -> tuple[float, ...]:
-    """Logistic weights by Newton steps, drawn to ``PRIOR`` by a normal prior of precision ``pull``."""
+def _fitted(features: np.ndarray, toxic: np.ndarray, pull: float, stands_for: tuple[float, float] = (1.0, 1.0)) -> tuple[float, ...]:
+    """Logistic weights by Newton steps, drawn to ``PRIOR`` by a normal prior of precision ``pull``.
+
+    A clean and a toxic row count as often as ``stands_for`` says, so a bounded sample keeps the ratio of the classes.
+    """
+    share = np.where(toxic > 0, stands_for[1], stands_for[0])
     x = np.hstack([np.ones((len(features), 1)), np.log1p(features)])
     prior = np.array(PRIOR)
     w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - toxic) + pull * (w - prior)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w))
+        gradient = x.T @ (share * (p - toxic)) + pull * (w - prior)
+        hessian = (x * (share * p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w))
         move = np.linalg.solve(hessian, gradient)
         w = w - np.clip(move, -2, 2)
         if np.abs(move).max() < 1e-9:
@@ -246,15 +250,26 @@ def _fitted(features: np.ndarray, toxic: np.ndarray, pull: float) -> tuple[float
     return tuple(float(v) for v in w)
 
 
+def _known(labels: DataFrame, label: str, fold: tuple[int, int]) -> DataFrame:
+    return (
+        labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (id_residue("doc_id", fold[0]) != fold[1]))
+        .groupBy("doc_id").agg(F.max(label).alias("toxic"))
+    )
+
+
+def rows_stood_for(labels: DataFrame, fit: Fit, label: str = "toxic", fold: tuple[int, int] = (5, 0)) -> tuple[float, float]:
+    """How many labelled rows a row of ``labelled_sample`` stands for, by class: one, unless the class is cut."""
+    n = {r["toxic"]: r["n"] for r in _known(labels, label, fold).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    clean, toxic = (max(n.get(c, 0) / fit.rows_per_class, 1.0) for c in (0, 1))
+    return clean, toxic
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit, label: str = "toxic", fold: tuple[int, int] = (5, 0)) -> DataFrame:
     """``text, toxic``: at most ``rows_per_class`` labelled rows of each class, smallest id hash first.
 
     Rows of the held-out fold never enter.  Copies of a text count once; labels that contradict each other count as 1.
     """
-    known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (id_residue("doc_id", fold[0]) != fold[1]))
-        .groupBy("doc_id").agg(F.max(label).alias("toxic"))
-    )
+    known = _known(labels, label, fold)
     order = F.xxhash64(F.col("doc_id"))
     part = [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(fit.rows_per_class) for c in (0, 1)]
     chosen = part[0].unionByName(part[1])
@@ -295,7 +310,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
         sample.unpersist()
     data = np.array([[r[f] for f in FEATURES] for r in rows])
     toxic = np.array([r["toxic"] for r in rows], dtype=float)
-    return Model(model.terms, model.stems, _fitted(data, toxic, fit.pull), fit.window)
+    return Model(model.terms, model.stems, _fitted(data, toxic, fit.pull, rows_stood_for(labels, fit)), fit.window)
 
 
 def _specific(stems: dict[str, int], same: float = 0.95) -> list[str]:

@@ -278,6 +278,13 @@ def test_toxicity_keeps_every_term_that_passes_however_few_texts_share_it(spark)
     assert {w for w in few if count[w] >= 7} <= set(model.terms)
 
 
+def test_a_bounded_sample_keeps_the_ratio_of_the_classes(spark):
+    rows = [(k, f"n{k} {'x' * k}y " + ("bora idiot" if k % 10 < (7 if k < 300 else 1) else "bora tilu")) for k in range(2700)]
+    docs, labels = docs_of(spark, rows), spark.createDataFrame([(k, int(k < 300)) for k, _ in rows], "doc_id long, toxic int")
+    whole, bounded = (toxicity.learn(docs, labels, toxicity.Fit(rows_per_class=n, pull=0.01)) for n in (12_000, 150))
+    assert abs(whole.weights[0] - bounded.weights[0]) < 0.8  # a sample of equal classes moves it by log 9
+
+
 def test_toxicity_of_edge_rows(spark, edge, labels):
     model = toxicity.learn(edge, labels)
     rows = toxicity.scored(edge, model).collect()
