@@ -115,13 +115,22 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids
         mark = np.zeros(len(vectors), dtype=bool)
         mark[np.concatenate(parts)] = True
         mark &= ids != query_ids[q]
-        rows = np.flatnonzero(mark)
-        gap = np.sqrt(((vectors[rows] - queries[q]) ** 2).sum(axis=1))
-        if len(rows) > k:
-            near = gap <= np.partition(gap, k - 1)[k - 1]
-            rows, gap = rows[near], gap[near]
-        best = np.lexsort((ids[rows], gap))[:k]
-        yield q, rows[best], gap[best]
+        yield q, *_closest(queries[q], np.flatnonzero(mark), vectors, ids, k)
+
+
+def _closest(query: np.ndarray, rows: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    gap = np.sqrt(((vectors[rows] - query) ** 2).sum(axis=1))
+    if len(rows) > k:
+        near = gap <= np.partition(gap, k - 1)[k - 1]
+        rows, gap = rows[near], gap[near]
+    best = np.lexsort((ids[rows], gap))[:k]
+    return rows[best], gap[best]
+
+
+def every_nearest(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """As ``nearest``, among all vectors."""
+    for q in range(len(queries)):
+        yield q, *_closest(queries[q], np.flatnonzero(ids != query_ids[q]), vectors, ids, k)
 
 
 def usable(embedding: Column) -> Column:
@@ -181,16 +190,32 @@ def search(
     indexed = rows.select("id", "vector", salt(n_blocks).alias("block"), every(n_chunks).alias("chunk"))
     asked = rows.where("asks").select("id", "vector", salt(n_chunks).alias("chunk"), every(n_blocks).alias("block"))
 
-    def look(held: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(held) and len(queries):
-            hasher = Hasher(dimension, spec, spread)
-            (ids, vectors), (query_ids, points) = _distinct(held), _distinct(queries)
-            for q, at, gap in nearest(points, query_ids, vectors, ids, k, hasher):
-                found.append(pd.DataFrame({"query_id": query_ids[q], "id": ids[at], "score": gap}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64", "score": "float64"})
-
-    near = indexed.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInPandas(look, "query_id long, id long, score double")
+    def looking(exact: bool):
+        def look(held: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+            found = []
+            if len(held) and len(queries):
+                (ids, vectors), (query_ids, points) = _distinct(held), _distinct(queries)
+                if exact:
+                    hits = every_nearest(points, query_ids, vectors, ids, k)
+                else:
+                    hits = nearest(points, query_ids, vectors, ids, k, Hasher(dimension, spec, spread))
+                for q, at, gap in hits:
+                    found.append(pd.DataFrame({"query_id": query_ids[q], "id": ids[at], "score": gap}))
+            return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64", "score": "float64"})
+
+        return look
+
+    def met(queries: DataFrame, exact: bool) -> DataFrame:
+        return indexed.groupBy("block", "chunk").cogroup(queries.groupBy("block", "chunk")).applyInPandas(looking(exact), "query_id long, id long, score double")
+
+    near = materialise(met(asked, False), "near")
+    # Queries whose buckets held too few are compared with every vector.
+    enough = min(k, rows.select("id").distinct().count() - 1)
+    full = near.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= enough).select(F.col("query_id").alias("id"))
+    short = materialise(rows.where("asks").select("id").distinct().join(full, "id", "left_anti"), "short")
+    if enough and not short.isEmpty():
+        again = met(materialise(asked.join(short, "id", "left_semi"), "asked-again"), True)
+        near = near.join(short.withColumnRenamed("id", "query_id"), "query_id", "left_anti").unionByName(again)
     best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))
     return near.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 

@@ -38,6 +38,19 @@ def test_neighbours_reach_the_recall_in_many_blocks(spark):
     assert hits >= 0.9 * 300
 
 
+def test_queries_whose_buckets_are_empty_still_get_their_neighbours(spark):
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(1500, 32)).astype(np.float32)
+    data[::100] *= 100
+    table = vectors_of(spark, [(k, v.tolist()) for k, v in enumerate(data)])
+    rows = neighbours.search(table, F.col("vec_id") % 100 == 0, block_rows=500).collect()
+    wide = data.astype(float)
+    for q in range(0, 1500, 100):
+        gap = np.sqrt(((wide - wide[q]) ** 2).sum(axis=1))
+        gap[q] = np.inf
+        assert [r.id for r in sorted(rows, key=lambda r: r.rank) if r.query_id == q] == np.argsort(gap)[:10].tolist()
+
+
 def test_neighbours_leave_unusable_rows_out_and_break_ties_by_id(spark):
     nan, inf = float("nan"), float("inf")
     bad = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 0.0]), (7, [1.0, 2.0, 3.0])]
