@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python step holds at a time; a single longer text is handled alone.
 BLOCK_BYTES = 4 << 20
+#: Bits of a filter (4 MB as it is sent), whatever it stands for.
+FILTER_BITS = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,3 +62,22 @@ def running(rows: DataFrame, by: list[str], bucket: Column, order: list[Column],
         .withColumn(name, F.col("_base") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
         .drop("_bucket", "_value", "_base")
     )
+
+
+def filter_of(rows: DataFrame, checksum: Column) -> bytes:
+    """A bitmap with one bit set for each ``checksum`` (not negative) among ``rows``.
+
+    At most ``FILTER_BITS`` bits reach the driver, however many rows there are; a fuller bitmap only lets more through.
+    """
+    bit = checksum % FILTER_BITS + 1  # Spark's bitmaps count from 1
+    parts = rows.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    out, size = bytearray(FILTER_BITS // 8), 4096
+    for row in parts.collect():
+        out[(row["part"] - 1) * size : row["part"] * size] = row["bits"]
+    return bytes(out)
+
+
+def passes(bits: bytes, checksums: np.ndarray) -> np.ndarray:
+    """Whether each checksum's bit is set."""
+    at = checksums % FILTER_BITS
+    return (np.frombuffer(bits, dtype=np.uint8)[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, language, licenses, mixing, neighbours, packing, personal, sharding, simhash, toxicity
-from ledgerloom.llm.common import id_residue, table
+from ledgerloom.llm import collocations, exact_dedup, fingerprints, language, licenses, mixing, neighbours, packing, periodic, personal, sharding, simhash, toxicity
+from ledgerloom.llm.common import id_residue, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,39 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.found(table(spark, sf_dir, "documents"))
+    text = lambda name: F.lower(F.hex(name)).alias(name)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", text("edited_sha256"), text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next", "class_id"
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.found(with_periods(table(spark, sf_dir, "documents"))).withColumn("best", periodic.strongest(F.col("runs")))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The documents, those whose id's checksum ends in 0 with a tail that repeats itself."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(whole("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    step = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words")).withColumn("n", F.size("words"))
+    step = step.selectExpr("*", "cast((h div 10) % n as int) as a", "cast(1 + (n - (h div 10) % n) div (3 + (h div 10) % 8) as int) as p")
+    tail = F.transform("words", lambda w, i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return step.select("doc_id", F.when(F.col("n") > 0, F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = collocations.mined(table(spark, sf_dir, "documents"), least=100, longest=5, first=2000)
+    return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_temperature_mixing": op2_temperature_mixing,
@@ -98,6 +131,9 @@ QUERIES: dict[str, Query] = {
     "op8_cross_parsing_language": op8_cross_parsing_language,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_minhash_fingerprints": op11_minhash_fingerprints,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -146,4 +182,34 @@ ORACLES: dict[str, str] = {
                row_number() OVER (PARTITION BY shard ORDER BY substr(md5(keyed.key || ':-1'), 1, 3), doc_id) - 1 AS slot, grown::INT AS grown_shard
         FROM keyed JOIN won USING (key), crc
     """,
+    "op13_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+                )) AS piece FROM documents
+            )
+        ), totals AS (
+            SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+        ), grams AS (
+            SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 6) t(m))
+        ), f AS (
+            SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100
+        ), cuts AS (
+            SELECT lang, phrase, a, m, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m >= 2
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.m, c.a, l.a AS l, r.a AS r, n, (1000::HUGEINT * c.a * n // (l.a::HUGEINT * r.a))::BIGINT AS score,
+                   row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000::HUGEINT * c.a * n // (l.a::HUGEINT * r.a), k) AS nth
+            FROM cuts c JOIN totals USING (lang)
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+        ), ranked AS (
+            SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored s
+            WHERE nth = 1 AND NOT EXISTS (
+                SELECT 1 FROM f g WHERE g.lang = s.lang AND g.m > s.m AND g.a >= s.a AND contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ')
+            )
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
 }
