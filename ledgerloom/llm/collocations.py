@@ -158,8 +158,9 @@ def _counting(words: Broadcast, pairs: Broadcast | None, longest: int) -> Callab
         texts: dict[str, _Text] = {}
 
         def flush(lang: str) -> Iterator[pa.RecordBatch]:
-            for phrases, often in count(texts[lang]):
-                yield _rows(lang, phrases, often)
+            if texts[lang].held:
+                for phrases, often in count(texts[lang]):
+                    yield _rows(lang, phrases, often)
 
         for lang, own in _by_language(batches):
             text = texts.setdefault(lang, _Text(lang, words.value))
