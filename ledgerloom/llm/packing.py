@@ -14,6 +14,8 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import isqrt
+from struct import pack as pack_ids
 from unicodedata import is_normalized, normalize
 
 import numpy as np
@@ -27,69 +29,87 @@ from tokenizers import Tokenizer
 from ledgerloom.llm.common import blocks, whole
 from ledgerloom.session import materialise
 
-#: Words and marks whose ids a worker remembers, and chunks between white space made up of these.
-REMEMBERED, CHUNKS = 450_000, 200_000
+#: Chunks between white space that a generation of a worker's memory holds; there are two generations.
+REMEMBERED = 300_000
 #: What the tokenizer takes as one word or mark, and the strings that it reads as one token.
 WORD_OR_MARK = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 #: Texts with any of these go to the tokenizer as they are: separators that are not its white space, a letter whose lower
 #: case depends on its place, and scripts in which the versions of Unicode in use might disagree.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 APART = re.compile("[\x1c-\x1f\u03a3\u0530-\U0010ffff]")
 
 
+#: A mark that follows another one, or an underscore: the tokenizer reads both as one.
+JOINED = re.compile(r"[.,](?<=[^\w\s].|_.)\s")
+#: What byte-level vocabularies write for each byte: itself where that can be seen, else the next sign from 256 on.
+SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SIGNS = {b: b for b in SEEN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in SEEN)}
+
+
 @dataclass(frozen=True)
 class Capacity:
+    """What a sequence holds.  A piece is as long as ``tokens`` and ``attention`` (its squared length) let it be."""
+
     tokens: int = 2048
     documents: int = 1024
     attention: int = 2048 * 2048
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
     rule: str = "norm"  # or "dot"
 
+    @property
+    def piece(self) -> int:
+        return min(self.tokens, isqrt(self.attention))
+
+
+def _apart(text: str) -> bool:
+    odd = any(s in text for s in SEPARATORS) if text.isascii() else APART.search(text)
+    return bool(odd) or any(s in text for s in SPECIAL)
+
 
 class Encoder:
-    """Token ids of whole texts as little-endian bytes, remembered by word.
+    """Token ids of whole texts as little-endian bytes, remembered by chunk.
 
     The tokenizer lower-cases, drops white space, and joins nothing across words and marks, so a text's ids are those of
-    its words and marks in turn.  Unknown ones are encoded together, with a blank between.
+    its chunks between white space in turn, and a chunk's those of its words and marks.  Ids of recent chunks are kept in
+    two generations: when the young one is full it becomes the old one, and what is met again moves up, so common words
+    stay and rare ones are forgotten.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _directly(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn_words(self, new: list[str]) -> None:
-        found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
-        ids, owner = np.array(found.ids, dtype="<u4").tobytes(), np.array(found.word_ids)
-        edges = [0, *(4 * (np.flatnonzero(np.diff(owner)) + 1)).tolist(), len(ids)]
-        if len(edges) == len(new) + 1:
-            self.words.update((w, ids[a:b]) for w, a, b in zip(new, edges, edges[1:], strict=False))
-        else:  # a mark that meets its neighbours in another way
-            self.words.update((w, self._directly(w)) for w in new)
+    def _part(self, part: str) -> bytes:
+        known = self.young.get(part) or self.old.get(part)
+        if known is None:
+            signs = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(SIGNS)
+            ids = [t.id for t in self.model.tokenize(signs)]
+            known = pack_ids(f"<{len(ids)}I", *ids)
+        return known
+
+    def _chunks(self, text: str) -> list[str]:
+        text = (text if is_normalized("NFC", text) else normalize("NFC", text)).lower()
+        if not JOINED.search(text):  # a closing mark on its own is met more often than each word with one
+            text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
+        return text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for text in texts:
-            if APART.search(text) or any(s in text for s in SPECIAL):
-                split.append(None)
-            else:
-                split.append((text if is_normalized("NFC", text) else normalize("NFC", text)).lower().split())
-        if len(self.words) > REMEMBERED:
-            self.words, self.chunks = {}, {}
-        if len(self.chunks) > CHUNKS:
-            self.chunks = {}
-        words, chunks = self.words, self.chunks
-        fresh = list(set().union(*[own for own in split if own]).difference(chunks))
-        parts = [[c] if c.isalpha() else WORD_OR_MARK.findall(c) for c in fresh]
-        new = list(set().union(*parts).difference(words))
-        for start in range(0, len(new), 20_000):
-            self._learn_words(new[start : start + 20_000])
-        for chunk, own in zip(fresh, parts, strict=True):
-            chunks[chunk] = words[own[0]] if len(own) == 1 else b"".join([words[p] for p in own])
-        get = chunks.__getitem__
+        split = [None if _apart(t) else self._chunks(t) for t in texts]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        for chunk in set().union(*[own for own in split if own]).difference(young):
+            known = old.get(chunk)
+            if known is None:
+                known = self._part(chunk) if chunk.isalpha() else b"".join(map(self._part, WORD_OR_MARK.findall(chunk)))
+            young[chunk] = known
+        get = young.__getitem__
         return [self._directly(t) if own is None else b"".join(map(get, own)) for t, own in zip(texts, split, strict=True)]
 
 
@@ -100,7 +120,7 @@ def _encoder(path: str) -> Encoder:
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), closing: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``id, piece, start, length, crc`` (and ``ids``) for every piece; an empty or null text is its closing id alone."""
-    end, size = np.array([closing], dtype="<u4").tobytes(), 4 * capacity.tokens
+    end, size = np.array([closing], dtype="<u4").tobytes(), 4 * capacity.piece
     kind = pa.list_(pa.int32())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,16 +176,14 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
 def packed(cut: DataFrame, capacity: Capacity = Capacity(), group_rows: int = 16_000) -> DataFrame:
     """``cut`` (stored pieces) with ``sequence`` and ``offset``.
 
-    A piece that no capacity can hold beside another is a sequence of its own without going through a group.  A piece
-    whose attention cost alone is over that capacity has no place: that is an error of the parameters.
+    A piece that no capacity can hold beside another is a sequence of its own without going through a group.
     """
-    if capacity.tokens**2 > capacity.attention:
-        raise ValueError("a piece of full length must fit into the attention capacity")
     numbered = cut.withColumn("_row", F.monotonically_increasing_id())
-    whole_ones = numbered.where(F.col("length") >= capacity.tokens).select(
+    alone = (F.col("length") >= capacity.tokens) | (F.col("length") * F.col("length") >= capacity.attention)
+    whole_ones = numbered.where(alone).select(
         *cut.columns, (F.col("_row") + F.lit(1 << 60)).alias("sequence"), F.lit(0).cast("long").alias("offset")
     )
-    rest = numbered.where(F.col("length") < capacity.tokens)
+    rest = numbered.where(~alone)
     groups = max(1, -(-rest.count() // group_rows))
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:

@@ -2,7 +2,7 @@
 
 import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -124,7 +124,7 @@ ENCODER = packing.Encoder(TOKENIZER)
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(list(" \t\ń \x1c'sİßΣσ1aB."))), max_size=60))
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(list(".,_ \t\ń \x1c'sİßΣσ1aB."))), max_size=60))
 def test_ids_are_the_tokenizers(text):
     want = ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
     assert np.frombuffer(ENCODER.encode([text])[0], dtype="<u4").tolist() == want
@@ -177,5 +177,27 @@ def test_packing_of_many_groups_and_of_none(spark):
     n = packing.packed(cut, capacity, group_rows=500).select("sequence").distinct().count()
     assert n <= 1.08 * total / 100
     assert packing.pack(docs_of(spark, []), TOKENIZER).count() == 0
-    with pytest.raises(ValueError):
-        packing.packed(cut, packing.Capacity(tokens=100, attention=9_999))
+
+
+def test_attention_capacity_binds_through_pack(spark):
+    docs = docs_of(spark, [(k, "the cat sat " * (k % 40)) for k in range(200)])
+    wide, tight = packing.Capacity(tokens=100, documents=100), packing.Capacity(tokens=100, documents=100, attention=2_600)
+    assert (wide.piece, tight.piece) == (100, 50)
+    used = {}
+    for capacity in (wide, tight):
+        cost, tokens = Counter(), Counter()
+        for r in packing.pack(docs, TOKENIZER, capacity).collect():
+            cost[r.sequence] += r.length**2
+            tokens[r.sequence] += r.length
+        assert max(cost.values()) <= capacity.attention and max(tokens.values()) <= 100
+        used[capacity] = len(cost)
+    assert used[tight] > 1.2 * used[wide]
+
+
+def test_two_generations_remember_common_chunks(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    encoder = packing.Encoder(TOKENIZER)
+    for text in ["the cat, sat.", "a_, b", "it's the cat... the end. ", "the q r s t u v", "the cat, q", "naïve, «été». ü", ",, ,.", ". a, "]:
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == want
+        assert len(encoder.young) <= 3 + 8 and len(encoder.old) <= 3 + 8
