@@ -107,29 +107,36 @@ def collide(a: Column, b: Column, bands: int = BANDS, rows: int = ROWS_PER_BAND)
     return F.exists(same, lambda hit: hit)
 
 
-def expand_probes(index: DataFrame, probes: DataFrame) -> DataFrame:
-    """Per probe: comparisons with the other notices of its buckets, and the first and last id among these.
+def memberships(signed: DataFrame) -> DataFrame:
+    """``representative, notice_id`` for every notice: a wording is represented by the smallest notice that has it."""
+    reps = copies_of(signed).select("text_key", F.col("rep_id").alias("representative"))
+    return signed.select("notice_id", "text_key").join(reps, "text_key").select("representative", "notice_id")
 
-    ``probes`` has ``probe_id`` beside band and bucket hash.  Two ids at either end of every bucket are enough to leave
-    out the probe itself, so a bucket of any size adds one row to each of its probes.
+
+def class_index(signed: DataFrame, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """The inverted index over wordings: ``band_id, bucket, representative``.
+
+    Notices of one wording have one signature, so the index holds one row a band for all of them.
     """
-    key = ["band_id", "bucket_hash"]
-    ends = index.groupBy(*key).agg(F.count("*").alias("n"), F.min("notice_id").alias("lo"), F.max("notice_id").alias("hi"))
-    id_ = F.col("notice_id")
-    inner = index.join(ends, key).groupBy(*key).agg(
-        F.max("n").alias("n"), F.max("lo").alias("lo"), F.max("hi").alias("hi"),
-        F.min(F.when(id_ > F.col("lo"), id_)).alias("lo2"), F.max(F.when(id_ < F.col("hi"), id_)).alias("hi2"),
-    )
-    probe = F.col("probe_id")
-    own = probes.join(index.withColumnRenamed("notice_id", "probe_id").withColumn("inside", F.lit(1)), [*key, "probe_id"], "left")
-    met = own.join(inner, key).select(
-        "probe_id", (F.col("n") - F.coalesce("inside", F.lit(0))).alias("others"),
-        F.when(probe == F.col("lo"), F.col("lo2")).otherwise(F.col("lo")).alias("lo"),
-        F.when(probe == F.col("hi"), F.col("hi2")).otherwise(F.col("hi")).alias("hi"),
-    )
-    return met.where("others > 0").groupBy("probe_id").agg(
-        F.sum("others").alias("comparisons"), F.min("lo").alias("first_id"), F.max("hi").alias("last_id")
-    )
+    reps = copies_of(signed).select(F.col("rep_id").alias("notice_id"))
+    return buckets(signed.join(reps, "notice_id", "left_semi"), bands, rows).withColumnRenamed("notice_id", "representative")
+
+
+def expand_probes(index: DataFrame, members: DataFrame, probes: DataFrame) -> DataFrame:
+    """``probe_id, representative``: the distinct wordings that each probe shares a bucket with.
+
+    ``index`` is a ``class_index``, ``members`` the ``memberships``, ``probes`` a table of ``probe_id``.  Buckets are looked
+    up once for each wording that has a probe; its own wording counts if another notice has it.  Members of the
+    representatives are the candidate notices.
+    """
+    asked = members.join(probes.select(F.col("probe_id").alias("notice_id")).distinct(), "notice_id", "left_semi")
+    asking = asked.select("representative").distinct()
+    keys = index.join(asking, "representative", "left_semi").select(*BUCKET, F.col("representative").alias("asked"))
+    met = index.join(keys, BUCKET).where("asked <> representative").select("asked", "representative").distinct()
+    alone = members.join(asking, "representative", "left_semi").groupBy("representative").agg(F.count("*").alias("n"))
+    own = alone.where("n > 1").select(F.col("representative").alias("asked"), "representative")
+    by_probe = asked.select(F.col("notice_id").alias("probe_id"), F.col("representative").alias("asked"))
+    return by_probe.join(met.unionByName(own), "asked").select("probe_id", "representative")
 
 
 def copies_of(signed: DataFrame) -> DataFrame:
@@ -168,20 +175,24 @@ def bucket_crowds(signed: DataFrame, across: str | None = None, bands: int = BAN
     )
 
 
+def shared_by(pairs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """``id_a, id_b, band_id, bucket`` of every bucket that both ends of a pair are in, from their own bands."""
+    side = lambda end: signed.select(F.col("notice_id").alias(f"id_{end}"), F.col("signature").alias(f"s_{end}"))
+    met = pairs.select("id_a", "id_b").distinct().join(side("a"), "id_a").join(side("b"), "id_b")
+    same = F.zip_with(band_slices(F.col("s_a"), bands, rows), band_slices(F.col("s_b"), bands, rows), lambda x, y: F.when(x == y, x))
+    return met.select("id_a", "id_b", F.posexplode(same)).where("col is not null").select(
+        "id_a", "id_b", F.col("pos").alias("band_id"), F.col("col").alias("bucket")
+    )
+
+
 def smallest_shared(pairs: DataFrame, signed: DataFrame, across: str | None = None, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
     """``pairs`` with ``min_bucket``: the size of the smallest bucket both ends are in, null if there is none or
     if both come from one portal.  The pairs' own bands meet the table of bucket sizes."""
     ends = pairs.select("id_a", "id_b").distinct()
-    side = lambda end: signed.select(
-        F.col("notice_id").alias(f"id_{end}"), F.col("signature").alias(f"s_{end}"), (F.col(across) if across else F.lit(0)).alias(f"p_{end}")
-    )
-    met = ends.join(side("a"), "id_a").join(side("b"), "id_b")
     if across:
-        met = met.where("p_a <> p_b")
-    same = F.zip_with(band_slices(F.col("s_a"), bands, rows), band_slices(F.col("s_b"), bands, rows), lambda x, y: F.when(x == y, x))
-    shared = met.select("id_a", "id_b", F.posexplode(same)).where("col is not null").select(
-        "id_a", "id_b", F.col("pos").alias("band_id"), F.col("col").alias("bucket")
-    )
+        portal = lambda end: signed.select(F.col("notice_id").alias(f"id_{end}"), F.col(across).alias(f"p_{end}"))
+        ends = ends.join(portal("a"), "id_a").join(portal("b"), "id_b").where("p_a <> p_b").select("id_a", "id_b")
+    shared = shared_by(ends, signed, bands, rows)
     sizes = buckets(signed, bands, rows).groupBy(*BUCKET).agg(F.count("*").alias("n")).where("n > 1")
     least = shared.join(sizes, BUCKET).groupBy("id_a", "id_b").agg(F.min("n").alias("min_bucket"))
     return pairs.join(least, ["id_a", "id_b"], "left")

@@ -1,30 +1,31 @@
-"""Two-stage verification of candidate pairs, and the links clustering needs.
+"""Two-stage verification of candidate pairs, the links between all of them, and those that clustering needs.
 
-``linked`` finds enough verified links to cluster *all* notices exactly, without listing all pairs
-of a hot bucket:
+``links`` returns every verified link between different wordings, whatever the size of the buckets they share.
+``linked`` finds enough of them to cluster *all* notices exactly, without listing all pairs of a hot bucket:
 
 1. notices with the same words are one representative; how its copies link follows from its portals;
 2. buckets of up to ``cap`` representatives are paired in full, which bounds the pairs per notice;
-3. in a larger bucket every member is compared with the bucket's smallest member only;
-4. members of larger buckets that are still in different clusters are compared when they share one
-   of their rarest shingles.  Two sets whose Jaccard reaches the threshold must share one among the
-   first ``n - ceil(t * n) + 1`` shingles in any common order, so this leaves out no link.
+3. in a larger bucket every member is compared with the bucket's smallest member, then, as long as this joins anything,
+   with a member drawn by hash, if they are still in different clusters;
+4. what is then still in different clusters meets in a similarity join (``similarity_join``), which loses no link.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.similarity import ALPHA, composite, jaccard, matching_rows
-from ledgerloom.operators.banding import BANDS, BUCKET, PAIRED_BUCKET, ROWS_PER_BAND, buckets, copies_of, pairs_within, shared_buckets
+from ledgerloom.operators.banding import BANDS, BUCKET, PAIRED_BUCKET, ROWS_PER_BAND, buckets, collide, copies_of, pairs_within, shared_buckets
 from ledgerloom.operators.components import min_labels
+from ledgerloom.operators.similarity_join import agreeing, similar
 from ledgerloom.operators.signatures import reachable
 from ledgerloom.session import materialise
 
-SCREEN = 0.45
-TAU = 0.6028
+# The published thresholds of the two stages.
+SCREEN, TAU = 0.45, 0.6028
+# Rounds in which members drawn by hash are compared with their buckets.
+PIVOTS = 4
 
 
 def both_sides(pairs: DataFrame, attributes: DataFrame, columns: list[str], key: str = "notice_id") -> DataFrame:
@@ -89,24 +90,49 @@ def _allowed(pairs: DataFrame, reps: DataFrame, across: bool) -> DataFrame:
     return sides.where(portals_differ()).select("id_a", "id_b")
 
 
-def rare_shingles(reps: DataFrame, tau: float) -> DataFrame:
-    """The rarest shingles of each representative and field, as many as the threshold needs.
+def _meet(pairs: DataFrame, signed: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Pairs that share a bucket."""
+    sides = both_sides(pairs, signed, ["signature"])
+    return sides.where(collide(F.col("signature_a"), F.col("signature_b"), bands, rows)).select("id_a", "id_b")
 
-    Order: fewest holders first, then hash.  Only representatives of hot buckets come here.
+
+def _members(reps: DataFrame, cap: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    members = materialise(shared_buckets(buckets(reps, bands, rows)), "members")
+    return members.where(F.col("bucket_size") <= cap), members.where(F.col("bucket_size") > cap)
+
+
+def screened(signed: DataFrame, cap: int = PAIRED_BUCKET, screen_at: float = SCREEN, across: bool = True, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """``id_a, id_b, screen_score`` of all representatives that share a bucket of any size and pass the screen.
+
+    Buckets over ``cap`` are not paired: their members meet through the rarest rows of their signatures, of which two
+    that pass the screen share one.
     """
-    long = reps.select("notice_id", F.lit(0).alias("field"), F.explode("title_set").alias("shingle")).unionByName(
-        reps.select("notice_id", F.lit(1).alias("field"), F.explode("body_set").alias("shingle"))
-    )
-    holders = long.groupBy("field", "shingle").agg(F.count("*").alias("holders"))
-    own = W.partitionBy("notice_id", "field")
-    ranked = long.join(holders, ["field", "shingle"]).select(
-        "notice_id", "field", "shingle",
-        F.row_number().over(own.orderBy("holders", "shingle")).alias("place"),
-        F.count("*").over(own).alias("n"),
-    )
-    # A hair under the threshold, so that rounding can only lengthen the prefix.
-    needed = F.col("n") - F.ceil(F.lit(tau - 1e-9) * F.col("n")) + 1
-    return ranked.where(F.col("place") <= needed).select("notice_id", "field", "shingle")
+    reps = materialise(representatives(signed), "reps")
+    small, large = _members(reps, cap, bands, rows)
+    pairs = pairs_within(small)
+    if not large.isEmpty():
+        crowd = reps.join(large.select("notice_id").distinct(), "notice_id", "left_semi").select("notice_id", "signature")
+        pairs = pairs.unionByName(_meet(agreeing(crowd, bands * rows, screen_at), reps, bands, rows)).distinct()
+    return screen(_allowed(pairs, reps, across), reps, screen_at)
+
+
+def links(
+    signed: DataFrame, cap: int = PAIRED_BUCKET, screen_at: float = SCREEN, tau: float = TAU, alpha: float = ALPHA,
+    across: bool = True, bands: int = BANDS, rows: int = ROWS_PER_BAND,
+) -> DataFrame:
+    """``id_a, id_b, title_sim, body_sim, similarity`` of all verified links between representatives.
+
+    Every pair of wordings that shares a bucket, whatever its size, passes the screen and reaches ``tau`` is there;
+    copies of a wording are its members (``banding.memberships``).  Members of buckets over ``cap`` meet in a similarity
+    join instead of in full.
+    """
+    reps = materialise(representatives(signed).where(reachable(alpha) >= tau), "reps")
+    small, large = _members(reps, cap, bands, rows)
+    pairs = pairs_within(small)
+    if not large.isEmpty():
+        crowd = reps.join(large.select("notice_id").distinct(), "notice_id", "left_semi").select("notice_id", "title_set", "body_set")
+        pairs = pairs.unionByName(_meet(similar(crowd, tau, alpha), reps, bands, rows)).distinct()
+    return verify(screen(_allowed(pairs, reps, across), reps, screen_at).select("id_a", "id_b"), reps, tau, alpha)
 
 
 def linked(
@@ -126,12 +152,6 @@ def linked(
     members = materialise(shared_buckets(banded), "members")
     small = members.where(F.col("bucket_size") <= cap)
     large = members.where(F.col("bucket_size") > cap)
-    heads = large.groupBy(*BUCKET).agg(F.min("notice_id").alias("id_a"))
-    star = (
-        large.join(heads, BUCKET).where(F.col("notice_id") != F.col("id_a"))
-        .select("id_a", F.col("notice_id").alias("id_b")).distinct()
-    )
-    pairs = pairs_within(small).unionByName(star).distinct()
 
     def keep_fresh(found: DataFrame) -> DataFrame:
         if fresh is None:
@@ -141,31 +161,31 @@ def linked(
         b = found.join(ends.withColumnRenamed("notice_id", "id_b"), "id_b", "left_semi")
         return a.unionByName(b).distinct()
 
-    first = materialise(
-        confirmed(_allowed(keep_fresh(pairs), reps, across), reps, screen_at, tau, alpha), "links"
-    )
+    def checked(found: DataFrame) -> DataFrame:
+        return materialise(confirmed(_allowed(keep_fresh(found), reps, across), reps, screen_at, tau, alpha), "links")
+
+    heads = large.groupBy(*BUCKET).agg(F.min("notice_id").alias("id_a"))
+    star = large.join(heads, BUCKET).where("notice_id <> id_a").select("id_a", F.col("notice_id").alias("id_b"))
+    found = checked(pairs_within(small).unionByName(star).distinct())
     if large.isEmpty():
-        return reps, first
-    known = first if seeds is None else first.unionByName(seeds)
-    labels = min_labels(known).select("notice_id", F.col("label"))
-    open_rows = large.select("notice_id", *BUCKET).join(labels, "notice_id", "left").withColumn(
-        "label", F.coalesce("label", "notice_id")
-    )
-    split = open_rows.groupBy(*BUCKET).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    open_rows = materialise(open_rows.join(split.select(*BUCKET), BUCKET, "left_semi"), "open")
-    rare = rare_shingles(
-        reps.join(open_rows.select("notice_id").distinct(), "notice_id", "left_semi"), tau
-    )
-    keyed = materialise(open_rows.join(rare, "notice_id"), "keyed")
-    key = [*BUCKET, "field", "shingle"]
-    # A key whose holders are already one cluster has nothing left to compare.
-    useful = keyed.groupBy(*key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    keyed = keyed.join(useful.select(*key), key, "left_semi")
-    a = keyed.select(*key, F.col("notice_id").alias("id_a"), F.col("label").alias("label_a"))
-    b = keyed.select(*key, F.col("notice_id").alias("id_b"), F.col("label").alias("label_b"))
-    rest = (
-        a.join(b, key).where((F.col("id_a") < F.col("id_b")) & (F.col("label_a") != F.col("label_b")))
-        .select("id_a", "id_b").distinct()
-    )
-    second = confirmed(_allowed(keep_fresh(rest), reps, across), reps, screen_at, tau, alpha)
-    return reps, materialise(first.unionByName(second), "links")
+        return reps, found
+    known = seeds.select("id_a", "id_b") if seeds is not None else found.limit(0)
+    for turn in range(PIVOTS + 1):
+        labels = min_labels(found.unionByName(known)).select("notice_id", "label")
+        open_rows = large.select("notice_id", *BUCKET).join(labels, "notice_id", "left").withColumn("label", F.coalesce("label", "notice_id"))
+        split = open_rows.groupBy(*BUCKET).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+        open_rows = materialise(open_rows.join(split.select(*BUCKET), BUCKET, "left_semi"), "open")
+        if turn == PIVOTS or open_rows.isEmpty():
+            break
+        drawn = F.min_by(F.struct("notice_id", "label"), F.xxhash64("notice_id", F.lit(turn)))
+        heads = open_rows.groupBy(*BUCKET).agg(drawn.alias("head"))
+        pairs = open_rows.join(heads, BUCKET).where(F.col("label") != F.col("head.label"))
+        more = checked(pairs.select(F.least("notice_id", "head.notice_id").alias("id_a"), F.greatest("notice_id", "head.notice_id").alias("id_b")).distinct())
+        if more.isEmpty():
+            break
+        found = found.unionByName(more)
+    if open_rows.isEmpty():
+        return reps, materialise(found.distinct(), "links")
+    rest = reps.join(open_rows.select("notice_id", "label").distinct(), "notice_id").select("notice_id", "title_set", "body_set", "label")
+    apart = _meet(similar(rest, tau, alpha), reps, bands, rows)
+    return reps, materialise(found.unionByName(checked(apart)).distinct(), "links")

@@ -126,7 +126,7 @@ scored as materialized (
   join raw_grams ra on ra.notice_id = id_a join raw_grams rb on rb.notice_id = id_b)"""
 
 _MATCH = f"""
-capped as (select id_a, id_b from bands_met where cross_portal and min_bucket <= 150),
+wording as materialized (select notice_id, min(notice_id) over (partition by tw, bw) as representative from words),
 agree as (
   select p.id_a, p.id_b, len(list_filter(list_zip(a.sig, b.sig), lambda z: z[1] = z[2])) / 128.0::double as screen_score,
     0.5::double * ({jaccard("ga.tg", "gb.tg")}) + 0.5::double * ({jaccard("ga.bg", "gb.bg")}) as similarity,
@@ -134,6 +134,11 @@ agree as (
   from bands_met p join sigs a on a.notice_id = p.id_a join sigs b on b.notice_id = p.id_b
   join grams ga on ga.notice_id = p.id_a join grams gb on gb.notice_id = p.id_b where cross_portal),
 verified as materialized (select * from agree where screen_score >= {SCREEN} and similarity >= {TAU}),
+class_agree as materialized (
+  select least(x.representative, y.representative) as id_a, greatest(x.representative, y.representative) as id_b, any_value(screen_score) as screen_score,
+    any_value(title_sim) as title_sim, any_value(body_sim) as body_sim, any_value(similarity) as similarity
+  from agree join wording x on x.notice_id = id_a join wording y on y.notice_id = id_b where x.representative <> y.representative group by 1, 2),
+class_links as materialized (select * from class_agree where screen_score >= {SCREEN} and similarity >= {TAU}),
 edges as (select id_a as u, id_b as v from verified union select id_b, id_a from verified),
 reach(u, v) as (select notice_id, notice_id from notices union select r.u, e.v from reach r join edges e on e.u = r.v),
 roots as materialized (select u as notice_id, min(v) as root_id from reach group by 1)"""
@@ -234,8 +239,13 @@ select id_a, id_b, round(t, 6) as title_estimate, round(b, 6) as body_estimate,
 select band_id, count(*) as buckets, count(*) filter (n > 1) as shared_buckets, max(n) as largest, cast(sum(n * (n - 1) // 2) as bigint) as comparisons
 from (select band_id, bucket_hash, count(*) as n from bands group by 1, 2) group by 1"""),
     "lsh_candidates_all": _q("""
-select band_id, bucket_hash, any_value(n) as notices, count(distinct portal_id) as portals, any_value(n) * (any_value(n) - 1) // 2 as comparisons,
-  cast(sum(n - own) // 2 as bigint) as cross_portal from bands_crowd where n > 1 group by 1, 2"""),
+select b.band_id, b.bucket_hash, any_value(n) as notices, count(distinct representative) as wordings, count(distinct portal_id) as portals,
+  any_value(n) * (any_value(n) - 1) // 2 as comparisons, cast(sum(n - own) // 2 as bigint) as cross_portal, coalesce(any_value(verified_links), 0) as verified_links
+from bands_crowd b join wording using (notice_id) left join (
+  select x.band_id, x.bucket_hash, count(*) as verified_links from class_links join bands x on x.notice_id = id_a
+  join bands y on y.notice_id = id_b and y.band_id = x.band_id and y.bucket_hash = x.bucket_hash group by 1, 2
+) l on l.band_id = b.band_id and l.bucket_hash = b.bucket_hash
+where n > 1 group by 1, 2"""),
     "lsh_candidates_capped": _q("select id_a, id_b from bands_met where cross_portal and min_bucket <= 10"),
     "pair_collision": _q("""
 select id_a, id_b, exists (select 1 from bands x join bands y using (band_id, bucket_hash) where x.notice_id = id_a and y.notice_id = id_b) as collides
@@ -243,21 +253,20 @@ from pool"""),
     "bucket_lookup": _q("""
 select band_id, bucket_hash, notice_id from bands semi join (select band_id, bucket_hash from bands where notice_id % 20 = 0) using (band_id, bucket_hash)"""),
     "probe_expansion": _q("""
-select x.notice_id as probe_id, count(*) as comparisons, min(y.notice_id) as first_id, max(y.notice_id) as last_id
-from bands x join bands y using (band_id, bucket_hash) where x.notice_id <> y.notice_id group by 1"""),
-    "screen_pairs": _q(f"select id_a, id_b, round(screen_score, 6) as screen_score from agree semi join capped using (id_a, id_b) where screen_score >= {SCREEN}"),
+select distinct x.notice_id as probe_id, representative from bands x join bands y using (band_id, bucket_hash)
+join wording w on w.notice_id = y.notice_id where x.notice_id <> y.notice_id and x.notice_id % 20 = 0"""),
+    "class_membership": _q("select representative, notice_id from wording"),
+    "screen_pairs": _q(f"select id_a, id_b, round(screen_score, 6) as screen_score from class_agree where screen_score >= {SCREEN}"),
     "verify_pairs": _q("""
-select id_a, id_b, round(title_sim, 6) as title_sim, round(body_sim, 6) as body_sim, round(similarity, 6) as similarity
-from verified semi join capped using (id_a, id_b)"""),
+select id_a, id_b, round(title_sim, 6) as title_sim, round(body_sim, 6) as body_sim, round(similarity, 6) as similarity from class_links"""),
     "stage_counts": _q(f"""
 select 'notices' as stage, count(*) as row_count from notices
 union all select 'shingles', cast(sum(len(tg) + len(bg)) as bigint) from grams
+union all select 'wordings', count(distinct representative) from wording
 union all select 'buckets', count(*) from (select distinct band_id, bucket_hash from bands)
-union all select 'candidate_pairs', count(*) from capped
-union all select 'screened_pairs', count(*) from agree semi join capped using (id_a, id_b) where screen_score >= {SCREEN}
-union all select 'verified_pairs', count(*) from verified semi join capped using (id_a, id_b)
-union all select 'skipped_buckets', count(*) from bands_sizes where n > 150
-union all select 'skipped_comparisons', cast(coalesce(sum(n - own) // 2, 0) as bigint) from bands_crowd where n > 150
+union all select 'comparisons', cast(coalesce(sum(n - own) // 2, 0) as bigint) from bands_crowd
+union all select 'screened_links', count(*) from class_agree where screen_score >= {SCREEN}
+union all select 'verified_links', count(*) from class_links
 union all select 'cards', count(distinct root_id) from roots
 union all select 'cards_with_duplicates', count(*) from (select root_id from roots group by 1 having count(*) > 1)"""),
     "components": _q("select notice_id, portal_id, root_id from roots join notices using (notice_id)"),

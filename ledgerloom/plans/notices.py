@@ -74,19 +74,23 @@ def lsh_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return banding.bucket_index(with_signatures(hashed(S.notices(spark, sf_dir))))
 
 
-# The published stop-bucket size, and the smallest one of the published sweep.
-STOP_BUCKET, LEAST_CAP = 150, 10
+# Fixed value: the smallest size of the published sweep of stop-buckets.
+LEAST_CAP = 10
 
 
 def candidates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every shared bucket with the candidate pairs it stands for; ``lsh_bands`` has the members."""
+    """Every shared bucket of any size: its notices, wordings and portals, the comparisons it stands for, and the verified
+    links between the wordings in it.  ``lsh_bands`` has the members, ``verify_pairs`` the links."""
     sets = N.signed_notices(spark, sf_dir)
-    both = banding.crowds(sets, "portal_id").where("n > 1").groupBy(*banding.BUCKET).agg(
+    sized = banding.crowds(sets, "portal_id").where("n > 1").groupBy(*banding.BUCKET).agg(
         F.max("n").alias("notices"), F.count("*").alias("portals"), (F.sum(F.col("own") * F.col("others")) / 2).cast("bigint").alias("cross_portal")
     )
-    return both.select(
-        "band_id", banding.bucket_text(F.col("bucket")).alias("bucket_hash"), "notices", "portals",
+    wordings = banding.class_index(sets).groupBy(*banding.BUCKET).agg(F.count("*").alias("wordings"))
+    linked = banding.shared_by(matching.links(sets), sets).groupBy(*banding.BUCKET).agg(F.count("*").alias("verified_links"))
+    return sized.join(wordings, banding.BUCKET).join(linked, banding.BUCKET, "left").select(
+        "band_id", banding.bucket_text(F.col("bucket")).alias("bucket_hash"), "notices", "wordings", "portals",
         (F.col("notices") * (F.col("notices") - 1) / 2).cast("bigint").alias("comparisons"), "cross_portal",
+        F.coalesce("verified_links", F.lit(0)).cast("bigint").alias("verified_links"),
     )
 
 
@@ -113,45 +117,41 @@ def bucket_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probe_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every notice's comparisons by way of the stored bucket index, and the range of ids it meets."""
-    index = stored_index(spark, N.signed_notices(spark, sf_dir))
-    return banding.expand_probes(index, index.withColumnRenamed("notice_id", "probe_id"))
+    """The distinct wordings that each probe shares a bucket with; probes are the notices whose id is divisible by 20."""
+    sets = N.signed_notices(spark, sf_dir)
+    index = materialise(banding.class_index(sets), "class-index")
+    members = materialise(banding.memberships(sets), "memberships")
+    return banding.expand_probes(index, members, sets.where(F.col("notice_id") % 20 == 0).select(F.col("notice_id").alias("probe_id")))
 
 
 def screen_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = N.signed_notices(spark, sf_dir)
-    return matching.screen(banding.capped_candidates(sets, STOP_BUCKET), sets)
+    return matching.screened(N.signed_notices(spark, sf_dir))
 
 
 def verify_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = N.signed_notices(spark, sf_dir)
-    kept = matching.screen(banding.capped_candidates(sets, STOP_BUCKET), sets).select("id_a", "id_b")
-    return matching.verify(kept, sets)
+    return matching.links(N.signed_notices(spark, sf_dir))
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many notices, shingles, buckets, pairs and cards each stage yields, and what the stop-bucket rule leaves out.
+    """How many notices, shingles, wordings, buckets, comparisons, links and cards each stage yields; nothing is left out.
 
-    Pairs are those of the published pipeline, which skips large buckets; cards leave nothing out.
+    A comparison counts once a bucket that its notices share; screened and verified links are those between wordings.
     """
     sets = N.signed_notices(spark, sf_dir)
-    pairs = materialise(banding.capped_candidates(sets, STOP_BUCKET), "candidates")
-    screened = materialise(matching.screen(pairs, sets), "screened")
-    verified = materialise(matching.verify(screened.select("id_a", "id_b"), sets), "verified")
+    screened = materialise(matching.screened(sets), "screened")
+    verified = materialise(matching.links(sets), "verified")
     mapping = materialise(cards.card_map(sets), "map")
     sizes = mapping.groupBy("root_id").agg(F.count("*").alias("n"))
+    crowds = materialise(banding.bucket_crowds(sets, "portal_id"), "crowds")
     grams = sets.agg(F.sum(F.size("title_set") + F.size("body_set")))
-    left_out = banding.skipped(sets, (STOP_BUCKET,))
     counts = [
-        ("notices", sets.agg(F.count("*"))), ("shingles", grams),
-        ("buckets", banding.buckets(sets).groupBy(*banding.BUCKET).agg(F.count("*").alias("n")).agg(F.count("*"))),
-        ("candidate_pairs", pairs.agg(F.count("*"))), ("screened_pairs", screened.agg(F.count("*"))),
-        ("verified_pairs", verified.agg(F.count("*"))),
-        ("skipped_buckets", left_out.select("skipped_buckets")), ("skipped_comparisons", left_out.select("skipped_comparisons")), ("cards", sizes.agg(F.count("*"))),
-        ("cards_with_duplicates", sizes.agg(F.count_if(F.col("n") > 1))),
+        ("notices", sets.agg(F.count("*"))), ("shingles", grams), ("wordings", banding.copies_of(sets).agg(F.count("*"))),
+        ("buckets", crowds.agg(F.count("*"))), ("comparisons", crowds.agg(F.sum("comparisons"))),
+        ("screened_links", screened.agg(F.count("*"))), ("verified_links", verified.agg(F.count("*"))),
+        ("cards", sizes.agg(F.count("*"))), ("cards_with_duplicates", sizes.agg(F.count_if(F.col("n") > 1))),
     ]
     return union_all([
-        df.toDF("row_count").select(F.lit(name).alias("stage"), F.col("row_count").cast("bigint").alias("row_count"))
+        df.toDF("row_count").select(F.lit(name).alias("stage"), F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
         for name, df in counts
     ])
 
@@ -162,9 +162,8 @@ def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hashed": lambda done: hashed(S.notices(spark, sf_dir)),
         "signed": lambda done: with_signatures(done["hashed"]),
         "index": lambda done: banding.bucket_index(done["signed"]),
-        "candidates": lambda done: banding.capped_candidates(done["signed"], STOP_BUCKET),
-        "screened": lambda done: matching.screen(done["candidates"], done["signed"]),
-        "verified": lambda done: matching.verify(done["screened"].select("id_a", "id_b"), done["signed"]),
+        "screened": lambda done: matching.screened(done["signed"]),
+        "verified": lambda done: matching.links(done["signed"]),
         "cards": lambda done: cards.card_map(done["signed"]),
     }, NIGHT_SECONDS)
 
@@ -277,6 +276,7 @@ QUERIES: dict[str, Query] = {
     "pair_collision": pair_collision,
     "bucket_lookup": bucket_lookup,
     "probe_expansion": probe_expansion,
+    "class_membership": lambda s, d: banding.memberships(N.signed_notices(s, d)),
     "screen_pairs": screen_pairs,
     "verify_pairs": verify_pairs,
     "stage_counts": stage_counts,

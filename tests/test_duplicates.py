@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import banding, cards, matching
 from ledgerloom.operators import evaluation as E
+from ledgerloom.operators import similarity_join as SJ
 from ledgerloom.operators.components import min_labels
 from ledgerloom.operators.ordered import cumulative, folded_by_value, percentiles
 from ledgerloom.operators.signatures import signed
@@ -165,13 +166,121 @@ def test_bucket_of_over_a_thousand_notices(spark):
     assert E.candidate_recall(labelled, sets).first()["found"] == 1 and E.candidate_recall(labelled, sets, None).first()["found"] == 2
     left = banding.skipped(sets, (0, 1000), None).collect()
     assert {r["cap"]: (r["skipped_buckets"], r["skipped_comparisons"]) for r in left} == {0: (0, 0), 1000: (32, 32 * 1001 * 500)}
-    index = banding.bucket_index(sets)
-    probes = {r["probe_id"]: r for r in banding.expand_probes(index, index.withColumnRenamed("notice_id", "probe_id")).collect()}
-    assert all(r["comparisons"] == 32_000 for r in probes.values())
-    assert (probes[0]["first_id"], probes[0]["last_id"], probes[1000]["last_id"], probes[5]["first_id"]) == (1, 1000, 999, 0)
+    members = banding.memberships(sets)
+    asked = sets.where("notice_id in (3, 500)").select(F.col("notice_id").alias("probe_id"))
+    assert {tuple(r) for r in banding.expand_probes(banding.class_index(sets), members, asked).collect()} == {(3, 0), (500, 0)}
+    assert {tuple(r) for r in members.collect()} == {(0, i) for i in range(1001)}
     assert {r["root_id"] for r in cards.card_map(sets).collect()} == {0}
 
 
+def class_pairs(rows, pairs):
+    """Pairs of notices as pairs of their wordings' smallest notices."""
+    first = {}
+    for i in sorted(rows):
+        first.setdefault(rows[i]["text_key"], i)
+    of = {i: first[rows[i]["text_key"]] for i in rows}
+    return {(min(of[a], of[b]), max(of[a], of[b])) for a, b in pairs if of[a] != of[b]}
+
+
+@pytest.mark.parametrize(("cap", "across"), [(150, True), (2, True), (2, False)])
+def test_links_and_screened_of_buckets_of_any_size(sets, rows, cap, across):
+    want = class_pairs(rows, true_edges(rows, across))
+    found = matching.links(sets, cap=cap, across=across).collect()
+    assert {(r["id_a"], r["id_b"]) for r in found} == want and len(found) == len(want) > 20
+    assert all(abs(r["similarity"] - similarity(rows[r["id_a"]], rows[r["id_b"]])) < 1e-12 for r in found)
+    agree = lambda a, b: np.mean(np.array(rows[a]["signature"]) == np.array(rows[b]["signature"]))
+    passed = class_pairs(rows, [p for p in band_pairs(rows, across) if agree(*p) >= matching.SCREEN])
+    assert {(r["id_a"], r["id_b"]) for r in matching.screened(sets, cap=cap, across=across).collect()} == passed
+
+
+def test_probes_meet_every_wording_of_their_buckets(sets, rows):
+    probes = sets.where("notice_id % 4 = 0").select(F.col("notice_id").alias("probe_id"))
+    found = banding.expand_probes(banding.class_index(sets), banding.memberships(sets), probes).collect()
+    first = {}
+    for i in sorted(rows):
+        first.setdefault(rows[i]["text_key"], i)
+    want = {(p, first[rows[o]["text_key"]]) for a, b in band_pairs(rows, across=False) for p, o in ((a, b), (b, a)) if p % 4 == 0}
+    assert {tuple(r) for r in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize(("tau", "alpha", "hot"), [(0.6028, 0.5, 256), (0.6028, 0.5, 3), (0.8, 0.3, 2), (0.5, 0.9, 2)])
+def test_similarity_join_loses_no_pair(spark, tau, alpha, hot):
+    rng = random.Random(3)
+    base = [([rng.randrange(30) for _ in range(5)], [rng.randrange(200) for _ in range(30)]) for _ in range(6)]
+    sets = []
+    for i in range(160):
+        title, body = (list(x) for x in rng.choice(base))
+        for own, size, n in ((title, 30, 2), (body, 200, 12)):
+            for _ in range(rng.randint(0, n)):
+                own[rng.randrange(len(own))] = rng.randrange(size)
+        sets.append((i, sorted(set(title))[: rng.choice([0, 3, 5])], sorted(set(body))[: rng.choice([0, 10, 30, 30])], i % 5))
+    frame = spark.createDataFrame(sets, "notice_id bigint, title_set array<bigint>, body_set array<bigint>, label bigint")
+
+    def sim(a, b):
+        j = lambda x, y: len(set(x) & set(y)) / len(set(x) | set(y)) if x and y else 0.0
+        return alpha * j(a[1], b[1]) + (1 - alpha) * j(a[2], b[2])
+
+    want = {(a[0], b[0]) for a in sets for b in sets if a[0] < b[0] and sim(a, b) >= tau}
+    got = {(r["id_a"], r["id_b"]) for r in SJ.similar(frame.drop("label"), tau, alpha, hot, tile=4).collect()}
+    assert want <= got and len(want) > 10 and all(a < b for a, b in got)
+    got = {(r["id_a"], r["id_b"]) for r in SJ.similar(frame, tau, alpha, hot, tile=4).collect()}
+    assert {(a, b) for a, b in want if a % 5 != b % 5} <= got and all(a % 5 != b % 5 for a, b in got)
+
+
+def test_agreeing_signatures_lose_no_pair(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 9, size=(4, 16))
+    rows = [(i, np.where(rng.random(16) < 0.5, base[i % 4], rng.integers(0, 9, 16)).tolist()) for i in range(120)]
+    got = {(r["id_a"], r["id_b"]) for r in SJ.agreeing(spark.createDataFrame(rows, "notice_id bigint, signature array<bigint>"), 16, 0.45, tile=8).collect()}
+    want = {(a, b) for a, x in rows for b, y in rows if a < b and np.mean(np.array(x) == np.array(y)) >= 0.45}
+    assert want <= got and len(want) > 100
+
+
+def template(n, words=40):
+    """Different wordings of one template, and a smallest notice with its title and a sixth of its body."""
+    rng = random.Random(9)
+    title, body = "supply of the very same goods", [f"w{k}" for k in range(words)]
+    rows = [(0, "p0", title, " ".join(body[: words // 3] + [f"x{k}" for k in range(words)]))]
+    for i in range(1, n + 1):
+        own = list(body)
+        own[rng.randrange(words // 2, words)] = f"u{i}"
+        rows.append((i, f"p{i % 3}", title, " ".join(own)))
+    return rows
+
+
+def test_a_template_group_whose_head_is_far_away_lists_few_pairs(spark, monkeypatch):
+    sets = signed(spark.createDataFrame(template(5000), NOTICE))
+    listed = []
+    inner = matching.confirmed
+
+    def counting(pairs, *rest):
+        listed.append(pairs.count())
+        return inner(pairs, *rest)
+
+    monkeypatch.setattr(matching, "confirmed", counting)
+    mapping = {r["notice_id"]: r["root_id"] for r in cards.card_map(sets).collect()}
+    assert mapping == {0: 0, **{i: 1 for i in range(1, 5001)}}
+    assert 5000 <= sum(listed) < 60_000 * 5
+
+
+def test_every_link_of_a_bucket_of_over_a_thousand_wordings(spark):
+    sets = signed(spark.createDataFrame(template(1100, 20), NOTICE))
+    rows = as_dict(sets)
+    found = {(r["id_a"], r["id_b"]) for r in matching.links(sets).select("id_a", "id_b").collect()}
+    band = band_pairs(rows)
+    signatures = np.array([rows[i]["signature"] for i in range(1101)])
+    grams = [frozenset(rows[i]["body_set"]) for i in range(1101)]
+    want = set()
+    for a, b in band:
+        both = len(grams[a] & grams[b])
+        if (signatures[a] == signatures[b]).mean() >= matching.SCREEN and 0.5 + 0.5 * both / (len(grams[a]) + len(grams[b]) - both) >= matching.TAU:
+            want.add((a, b))
+    assert found == want and len(want) > 200_000
+    met = banding.expand_probes(banding.class_index(sets), banding.memberships(sets), spark.createDataFrame([(7,)], "probe_id bigint"))
+    every = band_pairs(rows, across=False)
+    assert {r["representative"] for r in met.collect()} == {b if a == 7 else a for a, b in every if 7 in (a, b)}
+
+
 BODY = "build a long road from the north gate to the south gate over two bridges"
 
 
