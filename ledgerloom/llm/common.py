@@ -81,3 +81,11 @@ def passes(bits: bytes, checksums: np.ndarray) -> np.ndarray:
     """Whether each checksum's bit is set."""
     at = checksums % FILTER_BITS
     return (np.frombuffer(bits, dtype=np.uint8)[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored intermediate tables that nothing reads any more."""
+    for table_ in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table_.inputFiles()[:1]}:
+            path = table_.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table_.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,11 +7,11 @@ minimum, and the share of equal ones estimates the Jaccard similarity of two tex
 *Edited texts* need the document that follows by id.  Texts travel compressed to ranges of the id, where neighbours
 lie next to each other; only the first and last text of a range are stored, and the last ones are edited in a second step.
 
-*Classes.*  Texts with the same shingles are one node.  Signature bands are joined in Spark: in each bucket the members
-are compared with its smallest one, exactly, by their shingles.  Buckets whose members are then still in different
-components are cut into tiles, and members of different components are compared by signature there, in numpy; a pair of
-similarity 0.8 falls under an estimate of 0.6 once in a billion times, and what passes is verified by its shingles too.
-So no pair within a component is listed, and none between two is left out, however large a bucket is.
+*Classes.*  Texts with the same shingles are one node.  Signature bands are joined in Spark: every member of a bucket is
+compared with a head of one of its buckets, exactly, by their shingles, and then, if it is still in another component,
+with a head drawn by hash.  Buckets that still hold several components are cut into tiles, in which all sets of different
+components are intersected at once; a tile returns only the links that join something.  So no pair within a component
+is listed, and none between two is left out, however large a bucket is.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ import pyarrow as pa
 import pyspark
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import blocks, filter_of, passes, whole
+from ledgerloom.llm.common import blocks, discard, filter_of, passes, whole
 from ledgerloom.operators.components import min_labels
 from ledgerloom.session import materialise
 
@@ -50,7 +50,7 @@ class Plan:
     bands: int = 25
     rows: int = 5
     similarity: float = 0.8
-    screen: float = 0.6
+    turns: int = 2
     tile: int = 512
     seed: int = 11
 
@@ -179,7 +179,7 @@ def _banded(signed: DataFrame, plan: Plan, kept: pyspark.Broadcast | None) -> Da
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            values = _matrix(batch.column("fingerprint"), plan).astype(np.uint64)
+            values = np.frombuffer(b"".join(batch.column("fingerprint").to_pylist()), dtype=np.uint16).reshape(-1, plan.permutations).astype(np.uint64)
             keys = np.empty((len(values), plan.bands), dtype=np.uint64)
             for band in range(plan.bands):
                 key = np.full(len(values), band + 1, dtype=np.uint64)
@@ -196,15 +196,12 @@ def _banded(signed: DataFrame, plan: Plan, kept: pyspark.Broadcast | None) -> Da
     return signed.select("node", "fingerprint").mapInArrow(scan, "key long, node binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
-    """Those of ``pairs`` (nodes ``id_a, id_b``) whose shingles have at least the similarity, as the sets themselves say.
+def _sets(nodes: DataFrame, docs: DataFrame, signed: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
+    """``node, shingles`` of the given nodes: their sets of shingles as sorted 32-bit hashes, read from one text of each.
 
-    The shingles of the nodes in question are read from one text of each; a filter of bounded size keeps other texts from
-    being shuffled, and only the part of it that passes wrongly grows with the corpus.
+    A filter of bounded size keeps other texts from being shuffled.
     """
-    pairs = materialise(pairs, "fingerprint-pairs")
-    needed = pairs.select(F.col("id_a").alias("node")).unionByName(pairs.select(F.col("id_b").alias("node"))).distinct()
-    sources = signed.join(needed, "node").groupBy("node").agg(F.min(F.struct("id", "hash")).alias("at")).select("node", "at.*")
+    sources = signed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "hash")).alias("at")).select("at.*")
     checksum = F.crc32(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("hash").cast("string")).cast("binary"))
     bits = docs.sparkSession.sparkContext.broadcast(filter_of(sources, checksum))
 
@@ -219,44 +216,100 @@ def _verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, plan: Plan,
                 yield pa.RecordBatch.from_arrays([pa.array([_node(h) for h in own], pa.binary()), pa.array(sets, pa.list_(pa.int32()))], names=["node", "shingles"])
 
     texts = _by_id(docs, id_col, text_col).withColumn("checksum", checksum).select("text", "checksum")
-    sets = texts.mapInArrow(scan, "node binary, shingles array<int>").join(needed, "node", "left_semi").dropDuplicates(["node"])
-    sets = materialise(sets, "fingerprint-shingles")
+    sets = texts.mapInArrow(scan, "node binary, shingles array<int>").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return materialise(sets, "fingerprint-shingles")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Those of ``pairs`` (nodes ``id_a, id_b``) whose shingles have at least the similarity, as the sets themselves say."""
     side = lambda c: sets.select(F.col("node").alias(f"id_{c}"), F.col("shingles").alias(f"set_{c}"))
     common = F.size(F.array_intersect("set_a", "set_b"))
-    both = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
+    both = pairs.join(side("b"), "id_b").join(side("a"), "id_a")
     # in whole numbers, so that a pair exactly at the threshold is in
     similar = common * 1000 >= F.lit(round(plan.similarity * 1000)) * (F.size("set_a") + F.size("set_b") - common)
-    return both.where(similar).select("id_a", "id_b")
-
+    return materialise(both.where(similar).select("id_a", "id_b"), "fingerprint-links")
 
-def _across(unsettled: DataFrame, prints: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs of nodes of one bucket in different components whose signatures are close enough to be looked at.
 
-    ``unsettled`` is ``key, node, label, size``.  Buckets are cut into tiles of about ``plan.tile`` nodes and every two
-    tiles meet once, so a task holds two tiles.
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with their component's ``label``."""
+    labels = min_labels(links).withColumnsRenamed({"notice_id": "node"})
+    held = materialise(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "fingerprint-held")
+    open_ = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    return materialise(held.join(open_, "key", "left_semi"), "fingerprint-open")
+
+
+def _one_each(rows: DataFrame, drawn: Column) -> DataFrame:
+    """A pair for each node: with one of its buckets' heads, drawn by a hash, that is in another component."""
+    heads = rows.groupBy("key").agg(F.min_by(F.struct("node", "label"), drawn).alias("head"))
+    met = rows.join(heads, "key").where(F.col("label") != F.col("head.label"))
+    pairs = met.groupBy("node").agg(F.min("head.node").alias("head"))
+    return pairs.select(F.col("head").alias("id_a"), F.col("node").alias("id_b"))
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of incidence matrices of some elements at a time."""
+    every = np.concatenate([*left, *right])
+    values, which, often = np.unique(every, return_inverse=True, return_counts=True)
+    place = np.cumsum(often > 1) - 1  # an element of one set only is in no intersection
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    shared = often[which] > 1
+    owner, column = owner[shared], place[which[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, int((often > 1).sum()), width):
+        a, b = np.searchsorted(column, [start, start + width])
+        block = np.zeros((len(left) + len(right), width), dtype=np.float32)
+        block[owner[a:b], column[a:b] - start] = 1
+        out += block[: len(left)] @ block[len(left) :].T
+    return out
+
+
+def _across(unsettled: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Verified links that join what is still apart in a bucket: no more of them than there are components in a tile.
+
+    Buckets are cut into tiles by nodes and shingles, and every two tiles meet once, so a task holds two tiles.
     """
-    tiles = F.ceil(F.col("size") / plan.tile).cast("int")
-    dealt = unsettled.join(prints, "node").withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    dealt = dealt.select("key", "node", "label", "fingerprint", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    rows = unsettled.join(sets, "node")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.size("shingles")).alias("shingles"))
+    tiles = F.greatest(F.ceil(F.col("size") / plan.tile), F.ceil(F.col("shingles") / (plan.tile << 11))).cast("int")
+    dealt = rows.join(sizes.select("key", tiles.alias("tiles")), "key").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("key", "node", "label", "shingles", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    part = round(plan.similarity * 1000)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         low, high = rows["low"].iloc[0], rows["high"].iloc[0]
-        left, right = rows[rows["tile"] == low], rows[rows["tile"] == high]
-        a = np.frombuffer(b"".join(left["fingerprint"]), dtype=np.uint16).reshape(-1, plan.permutations)
-        b = np.frombuffer(b"".join(right["fingerprint"]), dtype=np.uint16).reshape(-1, plan.permutations)
-        other = right["label"].to_numpy()
-        found = []
-        for k, (node, label) in enumerate(zip(left["node"], left["label"], strict=True)):
-            near = np.flatnonzero((likeness(a[k], b) >= plan.screen) & (other != label))
-            found += [(min(node, n), max(node, n)) for n in right["node"].to_numpy()[near]]
+        labels, names = pd.factorize(rows["label"])
+        most = np.bincount(labels).argmax()
+        first, second = (rows["tile"] == low).to_numpy(), (rows["tile"] == high).to_numpy()
+        sets, nodes = rows["shingles"].to_numpy(), rows["node"].to_numpy()
+        root, found = list(range(len(names))), []
+
+        def of(k: int) -> int:
+            while root[k] != k:
+                root[k] = k = root[root[k]]
+            return k
+
+        # of two components at least one is not the largest
+        for left, right in ((first & (labels != most), second), (first & (labels == most), second & (labels != most))):
+            a, b = np.flatnonzero(left), np.flatnonzero(right)
+            if len(a) == 0 or len(b) == 0:
+                continue
+            common = _overlaps([sets[i] for i in a], [sets[i] for i in b])
+            either = np.array([len(sets[i]) for i in a])[:, None] + np.array([len(sets[i]) for i in b])[None, :] - common
+            for i, j in zip(*np.nonzero(common * 1000 >= part * either), strict=True):
+                x, y = of(labels[a[i]]), of(labels[b[j]])
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    found.append((nodes[a[i]], nodes[b[j]]))
         return pd.DataFrame(found, columns=["id_a", "id_b"])
 
-    return dealt.groupBy("key", "low", "high").applyInPandas(compare, "id_a binary, id_b binary").distinct()
+    return materialise(dealt.groupBy("key", "low", "high").applyInPandas(compare, "id_a binary, id_b binary"), "fingerprint-links")
 
 
 def classes(docs: DataFrame, signed: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, hash, class_id`` of every distinct (id, hash) of ``signed`` (stored ``signatures`` of ``docs``).
+    """``id, hash, class_id`` of every distinct (id, hash) of ``signed`` (stored ``signatures`` of ``docs``), stored.
 
     Two texts are linked if the Jaccard similarity of their shingles reaches ``plan.similarity``; a class is what links
     lead to, and ``class_id`` its smallest id (null if no text of it has one).  No rows give no classes.
@@ -267,24 +320,27 @@ def classes(docs: DataFrame, signed: DataFrame, plan: Plan = Plan(), id_col: str
     shared = materialise(shared, "fingerprint-buckets")
     kept = spark.sparkContext.broadcast(filter_of(shared, F.col("key").bitwiseAND(0x7FFFFFFF)))
     members = materialise(_banded(signed, plan, kept).distinct().join(shared, "key", "left_semi"), "fingerprint-members")
-    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("size"))
-    star = members.join(heads, "key").where("node <> head").select(F.col("head").alias("id_a"), F.col("node").alias("id_b")).distinct()
-    links = materialise(_verified(star, docs, signed, plan, id_col, text_col), "fingerprint-links")
-    labels = min_labels(links).withColumnsRenamed({"notice_id": "node"})
-
-    held = materialise(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "fingerprint-held")
-    open_ = held.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-    unsettled = materialise(held.join(open_.where("low <> high AND size > 2").select("key", "size"), "key"), "fingerprint-unsettled")
-    if not unsettled.isEmpty():
-        nodes = unsettled.select("node").distinct()
-        prints = signed.select("node", "fingerprint").join(nodes, "node", "left_semi").dropDuplicates(["node"])
-        more = _verified(_across(unsettled, prints, plan), docs, signed, plan, id_col, text_col)
-        labels = min_labels(materialise(links.unionByName(more), "fingerprint-links")).withColumnsRenamed({"notice_id": "node"})
+    sets = _sets(members.select("node").distinct(), docs, signed, plan, id_col, text_col)
+
+    unsettled = members.withColumn("label", F.col("node"))
+    links = _verified(_one_each(unsettled, F.col("node")), sets, plan)
+    unsettled = _labelled(members, links)
+    for turn in range(plan.turns):
+        more = _verified(_one_each(unsettled, F.xxhash64("node", F.lit(turn))), sets, plan)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        unsettled = _labelled(members, links)
+    links = links.unionByName(_across(unsettled, sets, plan))
 
+    labels = min_labels(links).withColumnsRenamed({"notice_id": "node"})
     least = signed.groupBy("node").agg(F.min("id").alias("id")).join(labels, "node", "left")
     least = least.select("node", "id", F.coalesce("label", "node").alias("label"))
     named = least.join(least.groupBy("label").agg(F.min("id").alias("class_id")), "label").select("node", "class_id")
-    return signed.select("id", "hash", "node").distinct().join(named, "node").select("id", "hash", "class_id")
+    out = signed.select("id", "hash", "node").distinct().join(named, "node").select("id", "hash", "class_id")
+    out = materialise(out, "fingerprint-classes")
+    discard(shared, members, sets, unsettled)
+    return out
 
 
 RANGED = (
@@ -384,7 +440,8 @@ def found(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col
     that is alone follows itself; repeated rows keep a row each; no rows give no rows; other columns are not read.
     """
     signed = materialise(signatures(docs, plan, id_col, text_col), "fingerprint-signed")
-    labels = materialise(classes(docs, signed, plan, id_col, text_col), "fingerprint-classes")
+    labels = classes(docs, signed, plan, id_col, text_col)
+    discard(signed)
     texts = _by_id(docs, id_col, text_col).mapInArrow(_packed, "id long, hash long, text binary")
     # a class travels as a row before those of its id and text
     rows = labels.withColumn("text", F.lit(None).cast("binary")).unionByName(texts.withColumn("class_id", F.lit(None).cast("long")))
