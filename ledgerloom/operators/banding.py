@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,18 +38,32 @@ def bucket_index(signed: DataFrame, bands: int = BANDS, rows: int = ROWS_PER_BAN
     return buckets(signed, bands, rows).select("band_id", bucket_text(F.col("bucket")).alias("bucket_hash"), "notice_id")
 
 
-def store_index(index: DataFrame, path: str) -> None:
-    """Replace the stored bucket table: folders by band, sorted by hash inside for row-group skipping."""
+def _entry() -> Column:
+    """Band and hash as one key: files of a table can be told apart by the value of one column only."""
+    return F.concat_ws(":", F.col("band_id").cast("string"), "bucket_hash")
+
+
+def store_index(index: DataFrame, path: str, files: int, row_group_bytes: int = 16 << 20) -> DataFrame:
+    """Replace the stored bucket table and return it, with ``entry`` for band and hash: dealt to ``files`` by it, sorted inside.
+
+    A join on the entry reads the table without a shuffle; a single entry reads one file, and there the row groups whose
+    range holds it.  The layout is known through a catalogue entry, which is only there while this is called.
+    """
+    spark, name = index.sparkSession, f"bucket_index_{uuid.uuid4().hex}"
     (
-        index.hint("rebalance", "band_id")
-        .sortWithinPartitions("band_id", "bucket_hash", "notice_id")
-        .write.mode("overwrite").partitionBy("band_id").parquet(path)
+        index.withColumn("entry", _entry()).repartition(files, "entry")  # one file each
+        .write.mode("overwrite").option("path", path).option("parquet.block.size", row_group_bytes)
+        .bucketBy(files, "entry").sortBy("entry").saveAsTable(name)
     )
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def lookup(index: DataFrame, keys: DataFrame) -> DataFrame:
-    """Members of given buckets; one batch of keys is one join, not one query per key."""
-    return index.join(keys.select("band_id", "bucket_hash").distinct(), ["band_id", "bucket_hash"], "left_semi")
+    """Members of given buckets (``band_id, bucket_hash``); one batch of keys is one join, not one query per key."""
+    asked = keys.select(_entry().alias("entry")).distinct()
+    return index.join(asked, "entry", "left_semi").select("band_id", "bucket_hash", "notice_id")
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.similarity import (
     ALPHA, composite, estimated_jaccard, inflection, rows_for_error, s_curve, standard_error,
 )
-from ledgerloom.operators.banding import BANDS, ROWS_PER_BAND, bucket_crowds, collide, comparisons, skipped, smallest_shared
+from ledgerloom.operators.banding import (
+    BANDS, BUCKET, ROWS_PER_BAND, bucket_crowds, buckets, class_index, collide, comparisons, expand_probes, memberships, shared_buckets, skipped, smallest_shared,
+)
 from ledgerloom.operators.matching import TAU, both_sides
 from ledgerloom.operators.ordered import cumulative, folded_by_value, percentiles, union_all
 from ledgerloom.session import materialise
@@ -222,7 +224,11 @@ def with_collisions(scored: DataFrame, signed: DataFrame, configs: tuple = CONFI
 
 
 def banding_grid(scored: DataFrame, signed: DataFrame, configs: tuple = CONFIGS) -> DataFrame:
-    """Recall, work and buckets of each banding; ``comparisons`` count a pair once for every bucket it shares."""
+    """Recall, work and buckets of each banding.
+
+    ``comparisons`` count a pair once for every bucket it shares, and ``comparisons_pct`` sets them against all pairs of
+    notices: over 100 the banding does more than comparing everything would.
+    """
     hits = with_collisions(scored, signed, configs)
     judged = hits.groupBy("bands", "rows").agg(
         F.count_if(F.col("retrieved") & F.col("is_same")).alias("tp"),
@@ -240,7 +246,7 @@ def banding_grid(scored: DataFrame, signed: DataFrame, configs: tuple = CONFIGS)
     return judged.join(union_all(parts), ["bands", "rows"]).select(
         "bands", "rows", inflection(F.col("bands"), F.col("rows")).alias("inflection"),
         (_ratio(F.col("tp"), F.col("tp") + F.col("fn")) * 100).alias("recall_pct"), "work_pairs",
-        "total_buckets", "largest_bucket", "comparisons", ((1 - F.col("comparisons") / possible) * 100).alias("reduction_pct"),
+        "total_buckets", "largest_bucket", "comparisons", (F.col("comparisons") / possible * 100).alias("comparisons_pct"),
     )
 
 
@@ -307,6 +313,43 @@ def work_per_notice(
     return signed.select("notice_id", "portal_id").join(sums, "notice_id", "left").select("notice_id", "portal_id", levels)
 
 
+def partner_estimates(signed: DataFrame, across: str | None = "portal_id", precision: int = 12, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
+    """``notice_id, partners_estimate``: about how many distinct notices each one is compared with, whatever its buckets hold.
+
+    Each bucket has a HyperLogLog sketch of its members; a wording's sketches are merged over its buckets, so a pair that
+    shares many buckets counts once.  With ``across`` the same is done for the members from each portal, and a
+    notice's own portal is taken off.  A sketch has ``2 ** precision`` registers at most, and the relative standard
+    error of what it counts is 1.04 over the root of that.
+    """
+    own = [across] if across else []
+    crowd = shared_buckets(buckets(signed, bands, rows, own))
+    keys = class_index(signed, bands, rows)
+
+    def merged(by: list[str], name: str) -> DataFrame:
+        sketches = crowd.groupBy(*BUCKET, *by).agg(F.hll_sketch_agg("notice_id", F.lit(precision)).alias("sketch"))
+        return keys.join(sketches, BUCKET).groupBy("representative", *by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
+
+    ids = memberships(signed).join(merged([], "met"), "representative", "left")
+    if not across:
+        return ids.select("notice_id", F.greatest(F.coalesce("met", F.lit(1)) - 1, F.lit(0)).alias("partners_estimate"))
+    ids = ids.join(signed.select("notice_id", across), "notice_id").join(merged([across], "same"), ["representative", across], "left")
+    return ids.select("notice_id", F.greatest(F.coalesce("met", F.lit(0)) - F.coalesce("same", F.lit(0)), F.lit(0)).alias("partners_estimate"))
+
+
+def partner_degrees(signed: DataFrame, asked: DataFrame, across: str = "portal_id", precision: int = 12) -> DataFrame:
+    """For the ``probe_id`` of ``asked``: comparisons, distinct partners from other portals, counted, and their estimate."""
+    members = materialise(memberships(signed), "memberships")
+    sized = members.join(signed.select("notice_id", across), "notice_id").groupBy("representative", across).agg(F.count("*").alias("copies"))
+    met = expand_probes(materialise(class_index(signed), "class-index"), members, asked)
+    portal = signed.select(F.col("notice_id").alias("probe_id"), F.col(across).alias("own"))
+    counted = met.join(portal, "probe_id").join(sized, "representative").where(F.col("own") != F.col(across)).groupBy("probe_id").agg(F.sum("copies").alias("partners"))
+    work = work_per_notice(signed, across).select(F.col("notice_id").alias("probe_id"), F.col("work").alias("comparisons"))
+    guessed = partner_estimates(signed, across, precision).withColumnRenamed("notice_id", "probe_id")
+    return asked.select("probe_id").distinct().join(work, "probe_id").join(counted, "probe_id", "left").join(guessed, "probe_id").select(
+        "probe_id", "comparisons", F.coalesce("partners", F.lit(0)).alias("partners"), "partners_estimate"
+    )
+
+
 def work_distribution(work: DataFrame, by: list[str] = ()) -> DataFrame:
     spread = work.groupBy(*by).agg(
         F.count("*").alias("notices"), (F.sum("work") / 2).cast("bigint").alias("comparisons"), F.max("work").alias("max_work")

@@ -139,6 +139,15 @@ def quality_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.join(E.roc_auc(stored, "n_chars"), "score").join(E.pr_auc(stored, "n_chars"), "score")
 
 
+def partner_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct partners of the notices whose id is divisible by 20, and whether sketches of all notices say about the same."""
+    sets = N.signed_notices(spark, sf_dir)
+    degrees = E.partner_degrees(sets, sets.where(F.col("notice_id") % 20 == 0).select(F.col("notice_id").alias("probe_id")))
+    off = F.abs(F.col("partners_estimate") - F.col("partners"))
+    # own and other portals are taken from one another, so the error is relative to both together
+    return degrees.select("probe_id", "comparisons", "partners", (off <= 1 + 0.1 * F.greatest("partners", "comparisons")).alias("estimate_in_bounds"))
+
+
 QUERIES: dict[str, Query] = {
     "label_check": label_check,
     "threshold_sweep": threshold_sweep,
@@ -158,6 +167,7 @@ QUERIES: dict[str, Query] = {
     "cost_table": cost_table,
     "cost_by_cap": cost_by_cap,
     "candidate_recall": candidate_recall,
+    "partner_degree": partner_degree,
     "work_distribution": lambda s, d: E.work_distribution(_work(s, d)),
     "work_top20": lambda s, d: E.most_expensive(_work(s, d)),
     "source_workload": lambda s, d: E.portal_workload(_work(s, d)).orderBy(F.desc("total_work"), "portal_id").limit(15),

@@ -105,9 +105,7 @@ def pair_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_index(spark: SparkSession, sets: DataFrame) -> DataFrame:
-    path = scratch_path(spark, "index")
-    banding.store_index(banding.bucket_index(sets), path)
-    return spark.read.parquet(path).select(F.col("band_id").cast("int").alias("band_id"), "bucket_hash", "notice_id")
+    return banding.store_index(banding.bucket_index(sets), scratch_path(spark, "index"), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def bucket_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

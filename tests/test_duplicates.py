@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,6 +12,7 @@ from ledgerloom.operators import similarity_join as SJ
 from ledgerloom.operators.components import min_labels
 from ledgerloom.operators.ordered import cumulative, folded_by_value, percentiles
 from ledgerloom.operators.signatures import signed
+from ledgerloom.sources import lake
 from ledgerloom.streaming import arrivals
 
 NOTICE = "notice_id bigint, portal_id string, title string, body string"
@@ -193,6 +196,17 @@ def test_links_and_screened_of_buckets_of_any_size(sets, rows, cap, across):
     assert {(r["id_a"], r["id_b"]) for r in matching.screened(sets, cap=cap, across=across).collect()} == passed
 
 
+@pytest.mark.parametrize("across", ["portal_id", None])
+def test_partner_sketches_count_each_partner_once(sets, rows, across):
+    pairs = band_pairs(rows, across=bool(across))
+    exact = {i: sum(i in p for p in pairs) for i in rows}
+    found = {r["notice_id"]: r["partners_estimate"] for r in E.partner_estimates(sets, across).collect()}
+    assert found.keys() == exact.keys() and all(abs(found[i] - exact[i]) <= 1 for i in rows) and max(exact.values()) >= 7
+    if across:
+        asked = sets.where("notice_id % 5 = 0").select(F.col("notice_id").alias("probe_id"))
+        assert {r["probe_id"]: r["partners"] for r in E.partner_degrees(sets, asked).collect()} == {i: exact[i] for i in rows if i % 5 == 0}
+
+
 def test_probes_meet_every_wording_of_their_buckets(sets, rows):
     probes = sets.where("notice_id % 4 = 0").select(F.col("notice_id").alias("probe_id"))
     found = banding.expand_probes(banding.class_index(sets), banding.memberships(sets), probes).collect()
@@ -279,6 +293,10 @@ def test_every_link_of_a_bucket_of_over_a_thousand_wordings(spark):
     met = banding.expand_probes(banding.class_index(sets), banding.memberships(sets), spark.createDataFrame([(7,)], "probe_id bigint"))
     every = band_pairs(rows, across=False)
     assert {r["representative"] for r in met.collect()} == {b if a == 7 else a for a, b in every if 7 in (a, b)}
+    degree = Counter(i for pair in band for i in pair)
+    guess = E.partner_estimates(sets).collect()
+    error = [(r["partners_estimate"] - degree[r["notice_id"]]) / max(1, degree[r["notice_id"]]) for r in guess]
+    assert np.sqrt(np.mean(np.square(error))) < 0.04 and len(guess) == 1101
 
 
 BODY = "build a long road from the north gate to the south gate over two bridges"
@@ -335,14 +353,71 @@ def test_a_batch_leaves_the_store_as_it_is_and_reads_what_it_meets(spark, tmp_pa
     assert store.card_map().where("batch_id = 1").count() == 0 and store.aliases().where("batch_id = 1").count() == 0
 
 
+def test_fifty_batches_leave_few_files_and_a_batch_reads_few(spark, tmp_path):
+    store = arrivals.CardStore(spark, str(tmp_path / "store"), slots=8, merge_after=12)
+    other = [(100 + i, f"p{i % 3}", f"title {i} alone", f"body {i} of other words number {i * 7}") for i in range(40)]
+    store.add(spark.createDataFrame([(10, "p0", "road works north", BODY), (11, "p1", "road works north", BODY), *other], NOTICE), 0)
+    declared = "notice_id bigint, duplicate_of bigint, portal_id string"
+    left = store.declare(spark.createDataFrame([(1000, 10, "p9"), (1001, 10, "p0"), (2049, 77, "p9"), (11, 100, "p7")], declared), 1)
+    assert [tuple(r) for r in left.collect()] == [(2049, 77, "p9")]
+    row = "notice_id bigint, portal_id string, card_id string, created_at timestamp"
+    for k in range(2, 50):
+        store._commit({"card_map": spark.createDataFrame([(1000 + k, "p9", "CARD-10", None)], row)}, k)
+    assert store.cards().where("card_id = 'CARD-10'").first()[1:] == (10, 52, 3)
+    assert len(store.folders) <= 13 and len(store._lists()) <= 2
+    on_disk = {p.parent.parent.name.removeprefix("part=") for p in (tmp_path / "store" / "card_map").rglob("*.parquet")}
+    assert on_disk == set(store.folders)
+    kept = len(list((tmp_path / "store").rglob("*.parquet")))
+    assert kept <= 4 * 8 + 12
+
+    again = arrivals.CardStore(spark, str(tmp_path / "store"), slots=7)
+    assert again.slots == 8 and again.folders == store.folders
+    asked = spark.createDataFrame([(1001,)], "notice_id bigint")
+    rows = again.of_notices("card_map", asked)
+    assert re.search(r"PartitionFilters: \[[^\]]*slot", rows._jdf.queryExecution().toString())
+    read = lake.files_read(again._read("card_map", again._slots_of(asked, "notice_id"))).first()["files"]
+    assert 1 <= read <= len(again.folders) and rows.first()["card_id"] == "CARD-10"
+    keys = banding.buckets(signed(spark.createDataFrame([(5, "p2", "road works north", BODY)], NOTICE)))
+    assert {r["notice_id"] for r in again.lookup(keys).collect()} == {10, 11}
+    again.add(spark.createDataFrame([(5, "p2", "road works north", BODY)], NOTICE), 50)
+    assert again.card_map().where("notice_id = 5").first()["card_id"] == "CARD-10"
+
+
 def test_index_lookup(spark, sets, rows, tmp_path):
-    banding.store_index(banding.bucket_index(sets), str(tmp_path / "index"))
-    index = spark.read.parquet(str(tmp_path / "index")).withColumn("band_id", F.col("band_id").cast("int"))
+    index = banding.store_index(banding.bucket_index(sets), str(tmp_path / "index"), 4, row_group_bytes=1 << 10)
     row = rows[1]
     key = "_".join(f"{v:016x}" for v in row["signature"][:4])
     found = banding.lookup(index, spark.createDataFrame([(0, key)], "band_id int, bucket_hash string"))
     expected = {i for i, r in rows.items() if r["signature"][:4] == row["signature"][:4]}
     assert {r["notice_id"] for r in found.collect()} == expected
+    assert not spark.catalog.listTables()
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = banding.lookup(index, banding.bucket_index(sets).where("notice_id % 20 = 0")).select("notice_id")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    stored_side = text[text.index("SortMergeJoin") :].split("Bucketed: true")[0]
+    assert "Bucketed: true" in text and "Exchange" not in stored_side and text.count("Exchange") <= 2
+    one = index.where(f"entry = '0:{key}'")
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        assert "SelectedBucketsCount: 1 out of 4" in one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+
+    import pyarrow.parquet as pq
+
+    groups = skipped = 0
+    for file in (tmp_path / "index").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for k in range(meta.num_row_groups):
+            column = next(c for c in (meta.row_group(k).column(j) for j in range(meta.num_columns)) if c.path_in_schema == "entry")
+            groups += 1
+            skipped += not column.statistics.min <= f"0:{key}" <= column.statistics.max
+    assert groups > 8 and skipped >= groups - 6
 
 
 # ---- ordered computations and evaluation ----------------------------------------------------
