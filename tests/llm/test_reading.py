@@ -189,6 +189,57 @@ def test_every_notice_of_a_file_is_found(spark):
     assert rows[2] == rows[3] == rows[4] == every
 
 
+def slow_labels(texts):
+    """Labels and score of each text by trying every template at every place."""
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)) for t in texts]
+    vocabulary = {w for _, t, _ in licenses.TEMPLATES for w in t.split()} | {w for _, p in licenses.BASE for w in p.split()}
+    weight = {w: max(np.log((len(texts) + 1) / (sum(w in own for own in words) + 0.5)), 1e-6) for w in vocabulary}
+    out = []
+    for own in words:
+        labels, score = set(), 0.0
+        for label, phrase in licenses.BASE:
+            if any(own[i : i + len(phrase.split())] == phrase.split() for i in range(len(own))):
+                labels.add(label)
+                score = 1.0
+        for label, text, key in licenses.TEMPLATES:
+            template, phrase = text.split(), key.split()
+            at = next(k for k in range(len(template)) if template[k : k + len(phrase)] == phrase)
+            for start in range(-len(template), len(own)):
+                if any(not 0 <= start + at + k < len(own) or own[start + at + k] != w for k, w in enumerate(phrase)):
+                    continue
+                held = {w for k, w in enumerate(template) if 0 <= start + k < len(own) and own[start + k] == w}
+                share = sum(weight[w] for w in held) / sum(weight[w] for w in set(template))
+                more = set(template) - set(phrase)
+                if share >= 0.5 and (not more or sum(weight[w] for w in held & more) / sum(weight[w] for w in more) >= 0.2):
+                    labels.add(label)
+                    score = max(score, share)
+        out.append((sorted(labels), score))
+    return out
+
+
+def test_template_labels_and_score_equal_trying_every_place(spark):
+    rng = random.Random(8)
+    texts = [""] * 20
+    for _ in range(250):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            template = rng.choice(licenses.TEMPLATES)[1].split()
+            for k in range(len(template)):
+                if rng.random() < rng.choice([0, 0.1, 0.4]):
+                    template[k] = rng.choice(["the", "of", "xyz", "license", "free", "gnu"])
+            first = rng.choice([0, 0, rng.randrange(len(template))])
+            parts += template[first : rng.randint(first + 1, len(template))] + rng.choices(["the", "of", "ab", "this", "is"], k=rng.randint(0, 6))
+        texts.append(rng.choice([" ", ", "]).join(parts))
+    texts += [key for _, _, key in licenses.TEMPLATES]
+    rows = {r.id: r for r in licenses.scan(docs_of(spark, list(enumerate(texts)))).collect()}
+    want = slow_labels(texts)
+    for k, (labels, score) in enumerate(want):
+        assert rows[k].labels == labels and abs(rows[k].score - score) < 1e-9, texts[k]
+    assert len({label for labels, _ in want for label in labels}) >= 10
+    alone = {key: rows[k].labels for k, key in list(enumerate(texts))[-len(licenses.TEMPLATES) :]}
+    assert alone["redistribution and use in source and binary forms"] == [] and alone["all rights reserved"] == ["reserved"]
+
+
 def slow_phrases(train, text):
     at = count = 0
     while at < len(text):
