@@ -214,7 +214,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same two parts as files of a stream; the stream keeps the store up to date itself."""
     base, late = _base_and_arrivals(spark, sf_dir)
     folder = scratch_path(spark, "arrivals")
-    store = arrivals.CardStore(spark, scratch_path(spark, "store"))
+    store = arrivals.CardStore(spark, scratch_path(spark, "store"), slots=8)
     for part in (base, late):
         part.select("notice_id", "portal_id", "title", "body").write.mode("append").parquet(folder)
         arrivals.run_available(spark, folder, store)
