@@ -4,14 +4,14 @@ A suffix automaton of labelled text per language accepts just the substrings of
 it into phrases, each the longest that the automaton still accepts; a text needs few phrases in its own language.  The
 count, times the cost of pointing into the labelled text, per symbol, estimates the cross entropy; the least wins.
 
-Texts are reduced to letters in lower case with one blank for anything between, and parsed in blocks of ``BLOCK`` symbols
+Texts are reduced to the UTF-8 bytes of their letters in lower case, of whatever script, with one blank for anything between,
+and parsed in blocks of ``BLOCK`` symbols
 whatever their length, so that all blocks of many texts walk an automaton together; a block's end ends a phrase.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,25 +25,28 @@ from ledgerloom.session import materialise
 
 BLOCK = 2_048
 UNKNOWN = "und"
-BLANK, RARE = 0, 1
 NEW_PHRASE = 1 << 30
+GAP = 0x20
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the labelled sample: texts ranked and symbols read per language, letters told apart."""
+    """Bounds of the labelled sample: texts ranked and symbols read per language, and bytes of all tables together.
+
+    With many languages the tables' bound leaves fewer symbols to each; no language and no letter is left out.
+    """
 
     texts: int = 400
     symbols: int = 30_000
-    letters: int = 94
+    table_bytes: int = 256 << 20
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages in order, the symbol of each letter, and a complete transition table per language."""
+    """Languages in order, and for each the number of every symbol, a complete transition table, and the bits of a pointer."""
 
     languages: tuple[str, ...]
-    symbols: dict[str, int]
+    numbers: tuple[np.ndarray, ...]  # symbol (a byte) to its number in the language, 0 for one it never has
     tables: tuple[np.ndarray, ...]
     costs: tuple[float, ...]  # bits to point into the labelled text
 
@@ -56,23 +59,24 @@ def _letters() -> np.ndarray:
 
 
 class Reader:
-    """Symbols of texts: 0 for what stands between words, 1 for letters that the model does not tell apart."""
+    """Symbols of texts: the UTF-8 bytes of their letters, of whatever script, and one blank for what stands between words."""
 
-    def __init__(self, symbols: dict[str, int]):
-        self.of = np.where(_letters(), RARE, BLANK).astype(np.uint8)
-        for letter, number in symbols.items():
-            self.of[ord(letter)] = number
+    def __init__(self):
+        self.letter = _letters()
 
     def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' symbols one after the other, and where each begins (and the last ends); a text begins with a blank."""
         lowered = [" " + (t or "").lower() for t in texts]
-        found = self.of[np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+        signs = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        letter = self.letter[signs]
         starts = np.cumsum([0] + [len(t) for t in lowered])
-        keep = np.ones(len(found), dtype=bool)
-        keep[1:] = (found[1:] != BLANK) | (found[:-1] != BLANK)
+        keep = np.ones(len(signs), dtype=bool)
+        keep[1:] = letter[1:] | letter[:-1]
         keep[starts[:-1]] = True
-        places = np.concatenate([[0], np.cumsum(keep)])
-        return found[keep], places[starts]
+        signs = np.where(letter, signs, GAP)[keep].astype("<u4")
+        sizes = 1 + (signs >= 0x80) + (signs >= 0x800) + (signs >= 0x10000)
+        places = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(keep)])]
+        return np.frombuffer(signs.tobytes().decode("utf-32-le").encode(), dtype=np.uint8), places[starts]
 
 
 def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
@@ -116,28 +120,36 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
 def learn(docs: DataFrame, fit: Fit = Fit(), fold: tuple[int, int] = (4, 2), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Automata of the labelled texts outside of the held-out fold.
 
-    Per language the ``fit.texts`` texts of smallest id hash are ranked, and taken whole until ``fit.symbols`` are reached.
+    Per language the ``fit.texts`` texts of smallest id hash are ranked, in parts of a language first, and read until
+    ``fit.symbols`` are reached; no more than that of any text comes to the driver.
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (id_residue("id", fold[0]) != fold[1]))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = materialise(named.withColumn("rank", rank).where(F.col("rank") <= fit.texts), "labelled-texts")
+    order = [F.xxhash64("id"), F.col("id")]
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64))).orderBy(*order)
+    first = named.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= fit.texts).drop("rank")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    chosen = materialise(first.withColumn("rank", rank).where(F.col("rank") <= fit.texts), "labelled-texts")
     small = F.broadcast(chosen) if chosen.count() <= 100_000 else chosen
-    texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), whole(text_col).alias("text")).join(small, ["id", "lang"])
+    begin = F.left(whole(text_col), F.lit(fit.symbols)).alias("text")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), begin).join(small, ["id", "lang"])
     before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("rank", "text").rowsBetween(Window.unboundedPreceding, -1))
     rows = texts.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < fit.symbols).orderBy("lang", "rank", "text").collect()
-    seen = Counter(c for r in rows for c in r["text"].lower() if c.isalpha())
-    symbols = {c: k + 2 for k, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: fit.letters])}
-    reader, by_language = Reader(symbols), {}
+    reader, by_language = Reader(), {}
     for r in rows:
         by_language.setdefault(r["lang"], []).append(r["text"])
-    tables, costs, languages = [], [], []
-    for language in sorted(by_language):
-        found, _ = reader.read(by_language[language])
-        text = found[: fit.symbols].tolist()
-        tables.append(suffix_automaton([c for c in text if c != RARE], len(symbols) + 2))
-        costs.append(math.log2(len(text) + 2))
-        languages.append(language)
-    return Model(tuple(languages), symbols, tuple(tables), tuple(costs))
+    languages = sorted(by_language)
+    samples = [reader.read(by_language[language])[0][: fit.symbols] for language in languages]
+    widths = [len(np.unique(sample)) + 1 for sample in samples]
+    most = max(1, fit.table_bytes // (8 * sum(widths) or 1))  # an automaton has up to two states a symbol, of 4 bytes a transition
+    tables, costs, numbers = [], [], []
+    for sample in samples:
+        own = np.zeros(256, dtype=np.uint8)
+        seen = np.unique(sample)
+        own[seen] = np.arange(1, len(seen) + 1)
+        numbers.append(own)
+        tables.append(suffix_automaton(own[sample[:most]].tolist(), len(seen) + 1))
+        costs.append(math.log2(len(sample[:most]) + 2))
+    return Model(tuple(languages), tuple(numbers), tuple(tables), tuple(costs))
 
 
 def phrases(table: np.ndarray, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -169,10 +181,10 @@ def entropies(model: Model, reader: Reader, texts: list[str | None]) -> tuple[np
     lengths = np.minimum(BLOCK, edges[owner + 1] - starts)
     order = np.argsort(-lengths, kind="stable")
     out = np.zeros((len(texts), len(model.languages)))
-    for k, (table, cost) in enumerate(zip(model.tables, model.costs, strict=True)):
-        count = phrases(table, symbols, starts[order], lengths[order])
+    for k, (table, cost, number) in enumerate(zip(model.tables, model.costs, model.numbers, strict=True)):
+        count = phrases(table, number[symbols], starts[order], lengths[order])
         out[:, k] = np.bincount(owner[order], weights=count, minlength=len(texts)) * cost
-    letters = np.add.reduceat((symbols != BLANK).astype(np.int64), edges[:-1]) if len(texts) else np.zeros(0)
+    letters = np.add.reduceat((symbols != GAP).astype(np.int64), edges[:-1]) if len(texts) else np.zeros(0)
     return out / np.maximum(sizes, 1)[:, None], letters > 0
 
 
@@ -180,13 +192,13 @@ def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     """``id, lang_pred, score`` for every row; the score is how far the second language is behind the first.
 
     A null text, one without a letter, or any text for a model without languages is ``und`` with score 0.  Ties go to the
-    language that comes first.  Repeated rows and null ids keep a row each; only id and text are read.
+    language that comes first.  Repeated rows and null ids keep a row each; no rows give no rows; only id and text are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by Fit: languages x 2 symbols x letters x 4 bytes
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by Fit.table_bytes
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        reader = Reader(known.symbols)
+        reader = Reader()
         for block in blocks(batches, "text"):
             texts = block.column("text").to_pylist()
             if not known.languages:

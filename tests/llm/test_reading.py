@@ -274,6 +274,52 @@ def test_languages_are_told_apart_on_held_out_rows(spark, edge):
     assert {r.lang_pred for r in language.identified(docs, language.learn(empty)).collect()} == {"und"}
 
 
+def made_up(rng, languages, letters, first):
+    """Languages of invented words over ``letters`` signs each, from ``first`` on."""
+    out = {}
+    for k in range(languages):
+        own = [chr(first + c) for c in rng.sample(range(letters), min(letters, 3000))]
+        out[f"l{k:02}"] = ["".join(rng.choice(own) for _ in range(rng.randint(2, 5))) for _ in range(400)]
+    return out
+
+
+def held_out_share(spark, rng, words, rows, n, fit):
+    data = [(k, " ".join(rng.choice(words[lang]) for _ in range(n)), lang) for k in range(rows) for lang in [sorted(words)[k % len(words)]]]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(8)
+    got = language.identified(docs, language.learn(docs, fit)).where("crc32(cast(cast(id as string) as binary)) % 4 = 2").collect()
+    right = {}
+    for r in got:
+        lang = data[r.id][2]
+        right.setdefault(lang, []).append(r.lang_pred == lang)
+    return {lang: sum(x) / len(x) for lang, x in right.items()}
+
+
+def test_languages_of_thousands_of_letters(spark):
+    rng = random.Random(5)
+    words = made_up(rng, 2, 3000, 0x4E00) | {"en": ["the", "cat", "sat", "on", "a", "mat", "with", "hats"]}
+    shares = held_out_share(spark, rng, words, 600, 40, language.Fit())
+    assert len(shares) == 3 and min(shares.values()) >= 0.95
+
+
+def test_sixty_languages_share_the_bound_of_the_tables(spark):
+    rng = random.Random(6)
+    words = made_up(rng, 60, 26, ord("a"))
+    fit = language.Fit(table_bytes=24 << 20)
+    shares = held_out_share(spark, rng, words, 1800, 60, fit)
+    assert len(shares) == 60 and min(shares.values()) >= 0.75 and sum(shares.values()) / 60 >= 0.95
+
+
+def test_long_texts_are_read_whole_and_come_to_the_driver_in_part(spark):
+    rng = random.Random(7)
+    words = made_up(rng, 2, 26, ord("a"))
+    say = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    rows = [(k, say(lang, 50_000 if k < 4 else 30), lang) for k in range(40) for lang in [f"l0{k % 2}"]]
+    rows.append((100, say("l00", 20_000) + " " + say("l01", 40_000), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.id: r.lang_pred for r in language.identified(docs, language.learn(docs)).collect()}
+    assert all(got[k] == lang for k, _, lang in rows[:-1]) and got[100] == "l01"
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
