@@ -8,9 +8,9 @@ minimum, and the share of equal ones estimates the Jaccard similarity of two tex
 lie next to each other; only the first and last text of a range are stored, and the last ones are edited in a second step.
 
 *Classes.*  Texts with the same shingles are one node.  Signature bands are joined in Spark: every member of a bucket is
-compared with a head of one of its buckets, exactly, by their shingles, and then, if it is still in another component,
-with a head drawn by hash.  Buckets that still hold several components are cut into tiles, in which all sets of different
-components are intersected at once; a tile returns only the links that join something.  So no pair within a component
+compared with the head of one of its buckets, exactly, by their shingles, and then, if it is still in another component,
+with a head drawn by hash.  What shares a bucket and is then still in different components is cut into tiles, in which all
+sets of two sides are intersected at once; a tile returns only the links that join something.  So no pair within a component
 is listed, and none between two is left out, however large a bucket is.
 """
 
@@ -238,12 +238,12 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(held.join(open_, "key", "left_semi"), "fingerprint-open")
 
 
-def _one_each(rows: DataFrame, drawn: Column) -> DataFrame:
-    """A pair for each node: with one of its buckets' heads, drawn by a hash, that is in another component."""
-    heads = rows.groupBy("key").agg(F.min_by(F.struct("node", "label"), drawn).alias("head"))
+def _one_each(rows: DataFrame, weight: Column) -> DataFrame:
+    """A pair for each node: with the head of one of its buckets, the member of most ``weight``, in another component."""
+    heads = rows.groupBy("key").agg(F.max(F.struct(weight.alias("weight"), "node", "label")).alias("head"))
     met = rows.join(heads, "key").where(F.col("label") != F.col("head.label"))
-    pairs = met.groupBy("node").agg(F.min("head.node").alias("head"))
-    return pairs.select(F.col("head").alias("id_a"), F.col("node").alias("id_b"))
+    pairs = met.groupBy("node").agg(F.max("head").alias("head"))
+    return pairs.select(F.col("head.node").alias("id_a"), F.col("node").alias("id_b"))
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -265,25 +265,26 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096
     return out
 
 
-def _across(unsettled: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """Verified links that join what is still apart in a bucket: no more of them than there are components in a tile.
+def _tiles(plan: Plan) -> Column:
+    """Tiles of a group of ``size`` nodes with ``shingles`` in all."""
+    return F.greatest(F.ceil(F.col("size") / plan.tile), F.ceil(F.col("shingles") / (plan.tile << 11))).cast("int")
 
-    Buckets are cut into tiles by nodes and shingles, and every two tiles meet once, so a task holds two tiles.
-    """
-    rows = unsettled.join(sets, "node")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.size("shingles")).alias("shingles"))
-    tiles = F.greatest(F.ceil(F.col("size") / plan.tile), F.ceil(F.col("shingles") / (plan.tile << 11))).cast("int")
-    dealt = rows.join(sizes.select("key", tiles.alias("tiles")), "key").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("key", "node", "label", "shingles", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+
+def _dealt(rows: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """``group, node, label, shingles`` of ``rows``, with the number of tiles of the group and the node's own."""
+    rows = rows.join(sets, "node")
+    sizes = rows.groupBy("group").agg(F.count("*").alias("size"), F.sum(F.size("shingles")).alias("shingles"))
+    return rows.join(sizes.select("group", _tiles(plan).alias("tiles")), "group").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+
+
+def _linking(dealt: DataFrame, plan: Plan) -> DataFrame:
+    """Verified links between the sides of each tile pair (``group, low, high``) that join something; ``side`` 2 is both."""
     part = round(plan.similarity * 1000)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = rows["low"].iloc[0], rows["high"].iloc[0]
         labels, names = pd.factorize(rows["label"])
-        most = np.bincount(labels).argmax()
-        first, second = (rows["tile"] == low).to_numpy(), (rows["tile"] == high).to_numpy()
-        sets, nodes = rows["shingles"].to_numpy(), rows["node"].to_numpy()
+        side, sets, nodes = rows["side"].to_numpy(), rows["shingles"].to_numpy(), rows["node"].to_numpy()
+        a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         root, found = list(range(len(names))), []
 
         def of(k: int) -> int:
@@ -291,21 +292,48 @@ def _across(unsettled: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
                 root[k] = k = root[root[k]]
             return k
 
-        # of two components at least one is not the largest
-        for left, right in ((first & (labels != most), second), (first & (labels == most), second & (labels != most))):
-            a, b = np.flatnonzero(left), np.flatnonzero(right)
-            if len(a) == 0 or len(b) == 0:
-                continue
+        if len(a) and len(b):
             common = _overlaps([sets[i] for i in a], [sets[i] for i in b])
             either = np.array([len(sets[i]) for i in a])[:, None] + np.array([len(sets[i]) for i in b])[None, :] - common
-            for i, j in zip(*np.nonzero(common * 1000 >= part * either), strict=True):
+            linked = (common * 1000 >= part * either) & (labels[a][:, None] != labels[b][None, :])
+            for i, j in zip(*np.nonzero(linked), strict=True):
                 x, y = of(labels[a[i]]), of(labels[b[j]])
                 if x != y:
                     root[max(x, y)] = min(x, y)
                     found.append((nodes[a[i]], nodes[b[j]]))
         return pd.DataFrame(found, columns=["id_a", "id_b"])
 
-    return materialise(dealt.groupBy("key", "low", "high").applyInPandas(compare, "id_a binary, id_b binary"), "fingerprint-links")
+    columns = ["group", "low", "high", "side", "node", "label", "shingles"]
+    return dealt.select(*columns).groupBy("group", "low", "high").applyInPandas(compare, "id_a binary, id_b binary")
+
+
+def _across(unsettled: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Verified links that join what is still apart in a bucket: no more of them than there are components in a tile pair.
+
+    In each bucket one component has most members, often nearly all.  The others meet it once, not once a bucket: its
+    nodes and all nodes that share such a bucket with it are two sides, cut into tiles, and every two tiles of either
+    side are compared.  Among themselves the others are compared bucket by bucket, in the same way.
+    """
+    counts = unsettled.groupBy("key", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
+    rows = unsettled.join(main, "key")
+    others = rows.where("label <> main")
+
+    few = _dealt(others.select(F.col("main").alias("group"), "node", "label").distinct(), sets, plan)
+    many = _dealt(rows.where("label = main").select(F.col("main").alias("group"), "node", "label").distinct(), sets, plan)
+    sizes = lambda of: of.groupBy("group").agg(F.max("tiles").alias("facing"))
+    facing = lambda of, tiles, own, other: of.join(tiles, "group").withColumn(own, F.col("tile")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("facing") - 1)))
+    columns = ["group", "low", "high", "side", "node", "label", "shingles"]
+    sides = facing(few, sizes(many), "low", "high").withColumn("side", F.lit(0)).select(*columns).unionByName(
+        facing(many, sizes(few), "high", "low").withColumn("side", F.lit(1)).select(*columns)
+    )
+
+    apart = others.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    each = _dealt(others.join(apart, "key", "left_semi").select(F.col("key").alias("group"), "node", "label"), sets, plan)
+    each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    side = F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1)
+    each = each.withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other"), "side": side})
+    return materialise(_linking(sides, plan).unionByName(_linking(each, plan)), "fingerprint-links")
 
 
 def classes(docs: DataFrame, signed: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,15 +350,18 @@ def classes(docs: DataFrame, signed: DataFrame, plan: Plan = Plan(), id_col: str
     members = materialise(_banded(signed, plan, kept).distinct().join(shared, "key", "left_semi"), "fingerprint-members")
     sets = _sets(members.select("node").distinct(), docs, signed, plan, id_col, text_col)
 
-    unsettled = members.withColumn("label", F.col("node"))
-    links = _verified(_one_each(unsettled, F.col("node")), sets, plan)
-    unsettled = _labelled(members, links)
+    # the member with the most company is nearest to all the others
+    company = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("node").agg(F.sum("n").alias("company"))
+    known = materialise(members.join(company, "node"), "fingerprint-company")
+    unsettled = known.withColumn("label", F.col("node"))
+    links = _verified(_one_each(unsettled, F.col("company")), sets, plan)
+    unsettled = _labelled(known, links)
     for turn in range(plan.turns):
         more = _verified(_one_each(unsettled, F.xxhash64("node", F.lit(turn))), sets, plan)
         if more.isEmpty():
             break
         links = links.unionByName(more)
-        unsettled = _labelled(members, links)
+        unsettled = _labelled(known, links)
     links = links.unionByName(_across(unsettled, sets, plan))
 
     labels = min_labels(links).withColumnsRenamed({"notice_id": "node"})
@@ -339,7 +370,7 @@ def classes(docs: DataFrame, signed: DataFrame, plan: Plan = Plan(), id_col: str
     named = least.join(least.groupBy("label").agg(F.min("id").alias("class_id")), "label").select("node", "class_id")
     out = signed.select("id", "hash", "node").distinct().join(named, "node").select("id", "hash", "class_id")
     out = materialise(out, "fingerprint-classes")
-    discard(shared, members, sets, unsettled)
+    discard(shared, members, known, sets, unsettled)
     return out
 
 
