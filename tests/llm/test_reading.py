@@ -26,7 +26,7 @@ def test_neighbours_reach_the_recall_in_many_blocks(spark):
     centres = rng.normal(size=(20, 16))
     data = (centres[rng.integers(0, 20, 1500)] + 0.4 * rng.normal(size=(1500, 16))).astype(np.float32)
     table = vectors_of(spark, [(k, v.tolist()) for k, v in enumerate(data)])
-    rows = neighbours.search(table, F.col("vec_id") % 50 == 0, block_rows=300, chunk_rows=11).collect()
+    rows = neighbours.search(table, F.col("vec_id") % 50 == 0, block_rows=300).collect()
     wide, hits = data.astype(float), 0
     for q in range(0, 1500, 50):
         own = sorted((r.rank, r.id, r.score) for r in rows if r.query_id == q)
@@ -51,6 +51,27 @@ def test_queries_whose_buckets_are_empty_still_get_their_neighbours(spark):
         assert [r.id for r in sorted(rows, key=lambda r: r.rank) if r.query_id == q] == np.argsort(gap)[:10].tolist()
 
 
+def test_recall_holds_in_every_range_of_norms(spark):
+    """Every tenth vector is eight times, every hundredth forty times as long; one bucket holds a third of all."""
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(6000, 32)).astype(np.float32)
+    data[::3] = data[0] + 0.01 * rng.normal(size=(2000, 32))
+    data[::10] *= 8
+    data[::100] *= 5
+    table = vectors_of(spark, [(k, v.tolist()) for k, v in enumerate(data)])
+    asks = (F.col("vec_id") % 50 == 0) | (F.col("vec_id") % 50 == 7)
+    rows = neighbours.search(table, asks, block_rows=700).collect()
+    wide, hits = data.astype(float), {}
+    for q in [k for k in range(6000) if k % 50 in (0, 7)]:
+        own = [r for r in rows if r.query_id == q]
+        gap = np.sqrt(((wide - wide[q]) ** 2).sum(axis=1))
+        gap[q] = np.inf
+        assert len(own) == 10 and all(abs(r.score - gap[r.id]) < 1e-9 for r in own)
+        length = 40 if q % 100 == 0 else 8 if q % 10 == 0 else 1
+        hits.setdefault(length, []).append(len({r.id for r in own} & set(np.argsort(gap)[:10].tolist())) / 10)
+    assert len(hits) == 3 and all(np.mean(h) >= 0.9 for h in hits.values()), {k: np.mean(h) for k, h in hits.items()}
+
+
 def test_neighbours_leave_unusable_rows_out_and_break_ties_by_id(spark):
     nan, inf = float("nan"), float("inf")
     bad = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 0.0]), (7, [1.0, 2.0, 3.0])]
