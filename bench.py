@@ -15,17 +15,20 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from ledgerloom.plans import catalogue, retail  # noqa: E402
+from ledgerloom.plans import catalogue, notice_inputs, retail  # noqa: E402
 from ledgerloom.session import local_session, remove_scratch  # noqa: E402
 
 HEADLINE = [
     "dedup_lines", "scd2_fact", "monthly_revenue", "reconcile", "category_revenue", "dash_kpi", "dash_top_products",
-    "price_as_of_late", "void_policy", "line_type_audit", "partition_pruned_scan",
+    "price_as_of_late", "void_policy", "line_type_audit", "partition_pruned_scan", "full_scan",
     "profile_lengths", "clean_text", "shingles_clean", "minhash_signature", "lsh_bands", "lsh_candidates_capped",
     "verify_pairs", "cards", "threshold_sweep", "roc_auc", "banding_grid", "work_distribution",
 ]
 
-LANDINGS = {"land_lines": retail.lines, "land_fact": retail.fact, "land_lake": retail.landed}
+LANDINGS = {
+    "land_lines": retail.lines, "land_fact": retail.fact, "land_lake": retail.landed,
+    "land_signed": notice_inputs.signed_notices, "land_scored": lambda spark, sf_dir: notice_inputs.scored(spark, sf_dir, raw=True),
+}
 
 
 def main() -> None:

@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.similarity import jaccard
 from ledgerloom.operators.matching import both_sides, exact_scores
-from ledgerloom.operators.signatures import hashed, raw_shingles, signed
+from ledgerloom.operators.signatures import hashed, raw_shingles, with_signatures
 from ledgerloom.functions.hashing import hash_grams
 from ledgerloom.session import materialise, spread
+from ledgerloom.sources import lake
 from ledgerloom.sources import tables as S
 
 SAME_CONTAINMENT = 0.8
 
 
 def signed_notices(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> DataFrame:
-    return signed(S.notices(spark, sf_dir), cleaned=cleaned)
+    """Sets and signatures of all notices, landed once for their files."""
+    build = lambda: with_signatures(hashed(S.notices(spark, sf_dir), cleaned))
+    return lake.once(spark, f"signed {cleaned}", [S.location(sf_dir, "documents")], [], build)
 
 
 def pair_pool(sets: DataFrame) -> DataFrame:
@@ -42,17 +45,18 @@ def labelled(sets: DataFrame) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str, sets: DataFrame | None = None, raw: bool = False) -> DataFrame:
-    """Labelled pairs with the composite similarity, stored; with ``raw`` also the similarity of the uncleaned texts,
-    whose shingles are made once, for notices that occur in a pair."""
-    notices = S.notices(spark, sf_dir)
-    sets = materialise(hashed(notices), "sets") if sets is None else sets
+    """Labelled pairs with the composite similarity, landed once for their files; with ``raw`` also the similarity of the
+    uncleaned texts, whose shingles are made for notices that occur in a pair.  ``sets`` spares reading the landed ones."""
+    own = signed_notices(spark, sf_dir) if sets is None else sets
+    return lake.once(spark, f"scored {raw}", [S.location(sf_dir, "documents")], [], lambda: _scored(S.notices(spark, sf_dir), own, raw))
+
+
+def _scored(notices: DataFrame, sets: DataFrame, raw: bool) -> DataFrame:
     pairs = materialise(labelled(sets), "labelled")
     composite = exact_scores(pairs, sets)
     if not raw:
-        return materialise(composite.select("id_a", "id_b", "is_same", "title_sim", "body_sim", "similarity"), "scored")
+        return composite.select("id_a", "id_b", "is_same", "title_sim", "body_sim", "similarity")
     wanted = pairs.select(F.explode(F.array("id_a", "id_b")).alias("notice_id")).distinct()
     raw_sets = materialise(spread(notices.join(wanted, "notice_id", "left_semi")).select("notice_id", hash_grams(raw_shingles()).alias("raw_set")), "raw-sets")
     with_raw = both_sides(composite, raw_sets, ["raw_set"]).withColumn("raw_similarity", jaccard(F.col("raw_set_a"), F.col("raw_set_b")))
-    return materialise(
-        with_raw.select("id_a", "id_b", "is_same", "raw_similarity", "title_sim", "body_sim", "similarity"), "scored"
-    )
+    return with_raw.select("id_a", "id_b", "is_same", "raw_similarity", "title_sim", "body_sim", "similarity")

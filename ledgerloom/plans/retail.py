@@ -23,14 +23,18 @@ EARLY, LATE = "1997-03-15", "1999-10-15"
 MONTHS = ["year", "month"]
 
 
+def _sources(sf_dir: str, *names: str) -> list[str]:
+    return [S.location(sf_dir, name) for name in names]
+
+
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.dedup_lines(S.raw_sales_lines(spark, sf_dir))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated lines, landed by month once per application and read from there."""
+    """Deduplicated lines, landed by month, again when their files change, and read from there."""
     columns = S.raw_sales_lines(spark, sf_dir).columns
-    return lake.once(spark, f"lines {sf_dir}", MONTHS, lambda: deduplicated(spark, sf_dir)).select(*columns)
+    return lake.once(spark, "lines", _sources(sf_dir, "lineitem"), MONTHS, lambda: deduplicated(spark, sf_dir)).select(*columns)
 
 
 def fact(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
@@ -39,7 +43,7 @@ def fact(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFram
         rows = star.fact_sales(lines(spark, sf_dir), S.products(spark, sf_dir))
         return rows.withColumns({"year": F.date_format("date_key", "yyyy"), "month": F.date_format("date_key", "MM")})
 
-    rows = lake.once(spark, f"fact {sf_dir}", MONTHS, build)
+    rows = lake.once(spark, "fact", _sources(sf_dir, "lineitem", "part"), MONTHS, build)
     if month is not None:
         rows = rows.where((F.col("year") == month[:4]) & (F.col("month") == month[5:7]))
     return rows.drop(*MONTHS)
@@ -95,11 +99,9 @@ def export_columns(df: DataFrame) -> DataFrame:
 
 
 def landed(spark: SparkSession, sf_dir: str) -> str:
-    """The lake of deduplicated lines by year, month and region store, landed once per application; its folder."""
-    label = f"lake {sf_dir}"
+    """The lake of deduplicated lines by year, month and region store, landed once for its files; its folder."""
     rows = lambda: region_lines(spark, sf_dir, lines(spark, sf_dir)).withColumn("store", F.col("store_id"))
-    lake.once(spark, label, lake.PARTITIONS, rows)
-    return lake.landed_path(spark, label)
+    return lake.once_path(spark, "lake", _sources(sf_dir, "lineitem", "supplier", "nation"), lake.PARTITIONS, rows)
 
 
 def store_month(rows: DataFrame) -> DataFrame:

@@ -14,9 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    # '01' must stay a string when it is a partition value.
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -37,9 +34,9 @@ def local_session(app: str = "ledgerloom", cores: int | str = 8, **extra: str) -
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the run-time options the operators rely on in a session made elsewhere."""
-    for key, value in DEFAULTS.items():
-        spark.conf.set(key, value)
+    """Make days and months of the given timestamps those of UTC; all other options of a session stay its owner's."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 

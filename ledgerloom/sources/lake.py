@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.session import scratch_root
 
@@ -31,22 +33,62 @@ def land(lines: DataFrame, base: str, max_records: int = 5_000_000) -> None:
     )
 
 
-def landed_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/landed/{hashlib.md5(label.encode()).hexdigest()}"
+def manifest(spark: SparkSession, sources: list[str]) -> str:
+    """A digest of every file below ``sources``: path, length and time of the last change."""
+    found = []
+    for source in sources:
+        path = spark._jvm.org.apache.hadoop.fs.Path(source)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            file = files.next()
+            found.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()
 
 
-def once(spark: SparkSession, label: str, columns: list[str], build: Callable[[], DataFrame]) -> DataFrame:
-    """A table landed under ``columns`` the first time this application asks for ``label``, and read from there."""
-    path = landed_path(spark, label)
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        build().hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*columns).parquet(path)
-    return spark.read.parquet(path)
+def _committed(spark: SparkSession, root: str) -> str | None:
+    """The first finished table below ``root``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+    done = [n for n in names if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+    return f"{root}/{done[0]}" if done else None
+
+
+def once_path(spark: SparkSession, label: str, sources: list[str], columns: list[str], build: Callable[[], DataFrame]) -> str:
+    """The folder of a table that ``build`` makes from the files below ``sources``, landed under ``columns``.
+
+    It is made when this application first asks for ``label``, and again whenever one of these files has changed, came or
+    went.  Each making goes to a folder of its own and counts from its marker on, so two at once do not disturb each
+    other, and what was read from an earlier one stays readable.
+    """
+    key = hashlib.md5(f"{label} {sources}".encode()).hexdigest()
+    root = f"{scratch_root(spark)}/landed/{key}-{manifest(spark, sources)}"
+    done = _committed(spark, root)
+    if done is None:
+        rows = build()
+        writer = (rows.hint("rebalance", *columns) if columns else rows).write.option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*columns) if columns else writer).parquet(f"{root}/{uuid.uuid4().hex}")
+        done = _committed(spark, root)
+    return done
+
+
+def once(spark: SparkSession, label: str, sources: list[str], columns: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """The table of ``once_path``, read; its partition columns are strings."""
+    return partitioned(spark, once_path(spark, label, sources, columns, build), columns)
+
+
+def partitioned(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A table whose partition values are taken as they are written: '01' stays a string, whatever the session infers."""
+    if not columns:
+        return spark.read.parquet(path)
+    own = spark.read.option("recursiveFileLookup", True).parquet(path).schema
+    schema = StructType([f for f in own.fields if f.name not in columns] + [StructField(c, StringType()) for c in columns])
+    return spark.read.schema(schema).parquet(path)
 
 
 def scan(spark: SparkSession, base: str) -> DataFrame:
     """The whole lake with its partition columns; a filter on them prunes files."""
-    return spark.read.parquet(base)
+    return partitioned(spark, base, PARTITIONS)
 
 
 def listing(spark: SparkSession, base: str) -> DataFrame:

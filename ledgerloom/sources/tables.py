@@ -19,8 +19,12 @@ UNKNOWN_KEY = -1
 TITLE_PART = r"^[^\n.!?]*"
 
 
+def location(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(location(sf_dir, name))
 
 
 def product_code(partkey: Column) -> Column:

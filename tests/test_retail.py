@@ -234,3 +234,24 @@ def test_readers(spark, tmp_path):
     assert pairs == {("N1", "N2"): True, ("N1", "N3"): False}
     with pytest.raises(ValueError):
         relations.relation(spark, "stores")
+
+
+def test_landed_tables_follow_their_files(spark, tmp_path):
+    source, made = tmp_path / "documents.parquet", []
+
+    def put(rows, mode):
+        spark.createDataFrame(rows, "k int, v string").write.mode(mode).parquet(str(source))
+
+    def build():
+        made.append(1)
+        return spark.read.parquet(str(source)).groupBy("k").agg(F.max("v").alias("v"))
+
+    ask = lambda: {(r["k"], r["v"]) for r in lake.once(spark, "t", [str(source)], ["k"], build).select(F.col("k").cast("int"), "v").collect()}
+    put([(1, "a"), (2, "b")], "overwrite")
+    assert ask() == ask() == {(1, "a"), (2, "b")} and len(made) == 1
+    before = lake.once(spark, "t", [str(source)], ["k"], build)
+    put([(1, "c")], "append")
+    assert ask() == {(1, "c"), (2, "b")} and len(made) == 2
+    assert {r["v"] for r in before.collect()} == {"a", "b"}
+    put([(3, "d")], "overwrite")
+    assert ask() == ask() == {(3, "d")} and len(made) == 3
