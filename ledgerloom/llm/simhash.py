@@ -56,14 +56,17 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``id, fp`` (the 64 bits as a signed long) for every row; a null text counts as empty."""
+    """``id, hash, fp`` (the 64 bits as a signed long) for every row; a null text counts as empty.
+
+    ``hash`` tells different texts of one id apart.
+    """
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             found = np.array([fingerprint(t, shingle) for t in block.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([block.column(0), block.column(1), pa.array(found.view(np.int64))], names=["id", "hash", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text"))
-    return rows.mapInArrow(compute, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(whole(text_col)).alias("hash"), whole(text_col).alias("text"))
+    return rows.mapInArrow(compute, "id long, hash long, fp long")
 
 
 # --- the plan: partitions and histograms -------------------------------------------------------------------
@@ -294,23 +297,34 @@ def links(fps: DataFrame, distance: int = 2, hot: int = 2 * (BITS + 1)) -> DataF
     return pairs.unionByName(_around(crowded))
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> DataFrame:
+    """``id, hash, fp, label, component_id`` for every row; a label is the same throughout a component and only there."""
+    rows = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    classes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
+    labels = min_labels(links(classes.select("fp"), distance))
+    grouped = labels.join(classes, labels["notice_id"] == classes["fp"]).groupBy("label").agg(F.min("least").alias("component_id"))
+    named = labels.join(grouped, "label").select(F.col("notice_id").alias("fp"), "label", "component_id")
+    all_classes = classes.join(named, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"), F.coalesce("component_id", "least").alias("component_id"))
+    return rows.join(all_classes, "fp")
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """``id, fp, component_id`` for every row; the component is the smallest id reachable over links.
 
     Texts without words have fingerprint zero and are linked like any other.  Rows with a null id take part; their
-    component is the smallest id that is not null, if there is one.  Repeated rows keep a row each.
+    component is the smallest id that is not null, if there is one.  Repeated rows keep a row each; no rows give no rows.
     """
-    rows = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    classes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
-    labels = min_labels(links(classes.select("fp"), distance))
-    grouped = labels.join(classes, labels["notice_id"] == classes["fp"]).groupBy("label").agg(F.min("least").alias("component_id"))
-    named = labels.join(grouped, "label").select(F.col("notice_id").alias("fp"), "component_id")
-    all_classes = classes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(all_classes, "fp").select("id", "fp", "component_id")
+    return _grouped(docs, id_col, text_col, shingle, distance).select("id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; rows with a null id stay."""
-    found = components(docs, id_col, text_col, shingle, distance)
-    dropped = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[f"`{id_col}`"] == dropped["_dropped"], "left_anti")
+    """``docs`` with the row of the smallest id of each component, and all rows with a null id.
+
+    Rows are told apart by id and text: of several texts of the smallest id one stays, a row is not dropped for another
+    text of its id, and rows equal in both stay together.
+    """
+    found = materialise(_grouped(docs, id_col, text_col, shingle, distance).where("id IS NOT NULL").select("id", "hash", "label"), "simhash-rows")
+    kept = found.groupBy("label").agg(F.min(F.struct("id", "hash")).alias("kept"))
+    dropped = found.join(kept, "label").where(F.struct("id", "hash") != F.col("kept")).select(F.col("id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+    same = (docs[f"`{id_col}`"].cast("long") == dropped["_id"]) & (F.xxhash64(whole(docs[f"`{text_col}`"])) == dropped["_hash"])
+    return docs.join(dropped, same, "left_anti")

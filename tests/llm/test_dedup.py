@@ -163,3 +163,10 @@ def test_one_of_each_group_stays(spark):
     close = (slow_fingerprint(text) ^ slow_fingerprint(text + " more")).bit_count() <= 2
     assert kept == ([3, 9, None] if close else [3, 5, 9, None])
     assert simhash.one_of_each(docs_of(spark, [])).count() == 0
+
+
+def test_a_row_is_not_dropped_for_another_text_of_its_id(spark):
+    say = lambda letter: " ".join(f"{letter}{k}" for k in range(200))
+    docs = docs_of(spark, [(1, say("a")), (2, say("a")), (2, say("b")), (7, say("c")), (7, say("d")), (9, say("d")), (7, say("d"))])
+    kept = sorted((r.doc_id, r.text[0]) for r in simhash.one_of_each(docs).collect())
+    assert kept == [(1, "a"), (2, "b"), (7, "c"), (7, "d"), (7, "d")]
