@@ -8,8 +8,7 @@ minimum, and the share of equal ones estimates the Jaccard similarity of two tex
 lie next to each other; only the first and last text of a range are stored, and the last ones are edited in a second step.
 
 *Classes.*  Texts with the same shingles are one node.  Signature bands are joined in Spark: every member of a bucket is
-compared with the head of one of its buckets, exactly, by their shingles, and then, if it is still in another component,
-with a head drawn by hash.  What shares a bucket and is then still in different components is cut into tiles, in which all
+compared with the head of one of its buckets, exactly, by their shingles.  What shares a bucket and is then still in different components is cut into tiles, in which all
 sets of two sides are intersected at once; a tile returns only the links that join something.  So no pair within a component
 is listed, and none between two is left out, however large a bucket is.
 """
@@ -50,7 +49,6 @@ class Plan:
     bands: int = 25
     rows: int = 5
     similarity: float = 0.8
-    turns: int = 2
     tile: int = 512
     seed: int = 11
 
@@ -238,12 +236,11 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(held.join(open_, "key", "left_semi"), "fingerprint-open")
 
 
-def _one_each(rows: DataFrame, weight: Column) -> DataFrame:
-    """A pair for each node: with the head of one of its buckets, the member of most ``weight``, in another component."""
-    heads = rows.groupBy("key").agg(F.max(F.struct(weight.alias("weight"), "node", "label")).alias("head"))
-    met = rows.join(heads, "key").where(F.col("label") != F.col("head.label"))
-    pairs = met.groupBy("node").agg(F.max("head").alias("head"))
-    return pairs.select(F.col("head.node").alias("id_a"), F.col("node").alias("id_b"))
+def _one_each(rows: DataFrame) -> DataFrame:
+    """A pair for each node: with the member of one of its buckets that has the most company, if it is another one."""
+    heads = rows.groupBy("key").agg(F.max(F.struct("company", "node")).alias("head"))
+    pairs = rows.join(heads, "key").groupBy("node").agg(F.max("head")["node"].alias("head")).where("node <> head")
+    return pairs.select(F.col("head").alias("id_a"), F.col("node").alias("id_b"))
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -353,15 +350,8 @@ def classes(docs: DataFrame, signed: DataFrame, plan: Plan = Plan(), id_col: str
     # the member with the most company is nearest to all the others
     company = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("node").agg(F.sum("n").alias("company"))
     known = materialise(members.join(company, "node"), "fingerprint-company")
-    unsettled = known.withColumn("label", F.col("node"))
-    links = _verified(_one_each(unsettled, F.col("company")), sets, plan)
+    links = _verified(_one_each(known), sets, plan)
     unsettled = _labelled(known, links)
-    for turn in range(plan.turns):
-        more = _verified(_one_each(unsettled, F.xxhash64("node", F.lit(turn))), sets, plan)
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        unsettled = _labelled(known, links)
     links = links.unionByName(_across(unsettled, sets, plan))
 
     labels = min_labels(links).withColumnsRenamed({"notice_id": "node"})
