@@ -119,24 +119,17 @@ def prices_as_of(
 def stale_prices(fact: DataFrame, revisions: DataFrame) -> DataFrame:
     """Printed prices against the list, per year: right, equal to an older list price, or neither.
 
-    Sales are first counted per product, day and printed price.  The list is joined on the product
-    alone and folded back, so every product costs one row per revision and never a pair of sales.
+    Sales are first counted per product, day and printed price.  A product's list is one array, looked through in the
+    row, so neither sales nor revisions are multiplied.
     """
     sales = fact.where(F.col("line_type") == "SALE").groupBy("product_sk", "date_key", "unit_price").agg(
         F.count("*").alias("n")
     )
-    current = F.col("date_key").between(F.col("effective_from"), F.col("effective_to"))
-    older = F.col("effective_to") < F.col("date_key")
-    same = F.col("price") == F.col("unit_price")
-    judged = (
-        sales.join(revisions, "product_sk")
-        .groupBy("product_sk", "date_key", "unit_price")
-        .agg(
-            F.first("n").alias("n"),
-            F.coalesce(F.max(current & same), F.lit(False)).alias("is_current"),
-            F.coalesce(F.max(older & same), F.lit(False)).alias("is_older"),
-        )
-    )
+    lists = revisions.groupBy("product_sk").agg(F.collect_list(F.struct("effective_from", "effective_to", "price")).alias("list"))
+    day, printed = F.col("date_key"), F.col("unit_price")
+    current = F.exists("list", lambda r: F.coalesce(day.between(r["effective_from"], r["effective_to"]) & (r["price"] == printed), F.lit(False)))
+    older = F.exists("list", lambda r: F.coalesce((r["effective_to"] < day) & (r["price"] == printed), F.lit(False)))
+    judged = sales.join(lists, "product_sk").select("date_key", "n", current.alias("is_current"), older.alias("is_older"))
     count = lambda which: F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
     return judged.groupBy(F.year("date_key").alias("year")).agg(
         F.sum("n").alias("sale_lines"),

@@ -68,24 +68,53 @@ def dim_date_for(lines: DataFrame) -> DataFrame:
     return span.select(F.explode(F.sequence("lo", "hi")).alias("d")).select(*calendar_columns(F.col("d")))
 
 
+def intervals(versions: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """One row a key: its ``versions`` as an array of structs in the order of their start, and whether any two ``overlap``."""
+    others = [c for c in versions.columns if c not in (key, start, end)]
+    rows = versions.select(key, F.struct(F.col(start).alias("start"), F.col(end).alias("end"), *others).alias("v")).where("v.start IS NOT NULL")
+    per_key = rows.groupBy(key).agg(F.array_sort(F.collect_list("v")).alias("versions"))
+    v = F.col("versions")
+    following = F.slice(v, F.lit(2), F.size(v))
+    meet = F.zip_with(F.slice(v, F.lit(1), F.size(v) - 1), following, lambda x, y: x["end"] >= y["start"])
+    return per_key.withColumn("overlap", F.exists(meet, lambda m: F.coalesce(m, F.lit(False))))
+
+
+def valid_on(versions: Column, overlap: Column, day: Column) -> Column:
+    """The versions of an array from ``intervals`` that hold on a day, both ends inclusive: one, none, or several that overlap.
+
+    The last version that started by then is found by bisection, in as many steps as the number of versions has bits.
+    """
+    def step(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        started = F.get(versions, middle)["start"] <= day
+        inside = state["low"] < state["high"]
+        return F.struct(
+            F.when(inside & started, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(inside & ~started, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    bits = F.ceil(F.log2(F.size(versions) + 1)).cast("int")
+    state = F.struct(F.lit(0).alias("low"), F.size(versions).alias("high"))
+    started = F.aggregate(F.sequence(F.lit(1), F.greatest(bits, F.lit(1))), state, step, lambda s: s["low"])
+    last = F.get(versions, started - 1)
+    holds = lambda v: (v["start"] <= day) & (day <= v["end"])
+    return F.when(overlap, F.filter(versions, holds)).otherwise(F.filter(F.array(last), lambda v: F.coalesce(day <= v["end"], F.lit(False))))
+
+
 def join_version(lines: DataFrame, versions: DataFrame, how: str = "left") -> DataFrame:
     """Attach the product version valid on the business date (both ends inclusive).
 
-    Lines without a code would all meet in one shuffle partition; they get scattered keys that no
-    product can have.
+    A code's versions are one row, searched inside it, so a code with many versions multiplies no lines.  Lines without a
+    code would all meet in one shuffle partition; they get scattered keys that no product can have.
     """
     scattered = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("bill_no", "line_no"), F.lit(SPREAD)).cast("string"))
     keyed = lines.withColumn("join_code", F.coalesce("product_code", scattered))
-    v = versions.select(
-        F.col("product_code").alias("join_code"),
-        *[c for c in versions.columns if c != "product_code"],
-    )
-    joined = keyed.join(
-        v,
-        (keyed["join_code"] == v["join_code"]) & keyed["business_date"].between(v["valid_from"], v["valid_to"]),
-        how,
-    )
-    return joined.drop("join_code", "valid_from", "valid_to")
+    per_code = intervals(versions, "product_code", "valid_from", "valid_to").withColumnRenamed("product_code", "join_code")
+    others = [c for c in versions.columns if c not in ("product_code", "valid_from", "valid_to")]
+    joined = keyed.join(per_code, "join_code", how)
+    explode = F.explode if how == "inner" else F.explode_outer
+    found = joined.withColumn("valid", explode(valid_on(F.col("versions"), F.col("overlap"), F.col("business_date"))))
+    return found.select(*lines.columns, *[F.col(f"valid.{c}").alias(c) for c in others])
 
 
 def fact_sales(lines: DataFrame, products: DataFrame, unknown_as_discount: bool = False) -> DataFrame:

@@ -198,6 +198,10 @@ union all select 'source', count(*), count(distinct source), count(*) = count(di
 select measure, min(v) as min, {_quantiles("v", {"p01": 0.01, "p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99})},
   round(avg(v), 6) as mean, max(v) as max, round(stddev_samp(v), 6) as std
 from (unpivot (select {_LENGTHS} from notices) on columns(*) into name measure value v) group by 1""", _TEXT),
+    "profile_length_sketches": _q(f"""
+select measure, share, count(v) as row_count, true as in_bounds
+from (unpivot (select {_LENGTHS} from notices) on columns(*) into name measure value v),
+  (values ('p01'), ('p05'), ('p25'), ('p50'), ('p75'), ('p95'), ('p99')) s(share) group by 1, 2""", _TEXT),
     "source_share": """
 with c as (select source as value, count(*) as row_count from documents group by 1),
 ranked as (select *, row_number() over (order by row_count desc, value) as rank, sum(row_count) over () as total,

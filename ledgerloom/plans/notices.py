@@ -255,6 +255,7 @@ QUERIES: dict[str, Query] = {
     "profile_nulls": lambda s, d: profile.null_audit(S.notices(s, d)),
     "profile_unique": lambda s, d: profile.uniqueness(S.table(s, d, "documents"), "doc_id", "text", "source"),
     "profile_lengths": lambda s, d: profile.text_lengths(S.notices(s, d)),
+    "profile_length_sketches": lambda s, d: profile.sketch_check(S.notices(s, d), profile.length_measures(), "portal_id"),
     "source_share": lambda s, d: profile.frequency_share(S.notices(s, d), "portal_id"),
     "common_prefix": lambda s, d: profile.shared_openings(S.notices(s, d)),
     "attr_agreement": lambda s, d: profile.agreement_by_label(N.scored(s, d), S.notices(s, d), ["lang", "portal_id", "n_chars"]),

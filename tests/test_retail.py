@@ -255,3 +255,36 @@ def test_landed_tables_follow_their_files(spark, tmp_path):
     assert {r["v"] for r in before.collect()} == {"a", "b"}
     put([(3, "d")], "overwrite")
     assert ask() == ask() == {(3, "d")} and len(made) == 3
+
+
+def test_versions_are_searched_inside_a_code(spark):
+    day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(days=k)
+    versions = [("many", 10_000 + k, day(3 * k), day(3 * k + 1)) for k in range(1000)]  # every third day has none
+    versions += [("twice", 1, day(0), day(10)), ("twice", 2, day(5), day(20)), ("open", 3, day(4), None), ("once", 4, day(7), day(7))]
+    products = spark.createDataFrame(versions, "product_code string, product_sk long, valid_from date, valid_to date")
+    asked = [(code, k) for code, days in (("many", range(-2, 3004)), ("twice", range(-1, 23)), ("open", range(8)), ("once", range(5, 9)), ("none", [1]), (None, [1])) for k in days]
+    lines = spark.createDataFrame([(f"b{i}", 1, code, day(k)) for i, (code, k) in enumerate(asked)], "bill_no string, line_no int, product_code string, business_date date")
+    want = {}
+    for i, (code, k) in enumerate(asked):
+        want[f"b{i}"] = sorted(sk for c, sk, a, b in versions if c == code and b is not None and a <= day(k) <= b) or [None]
+    got = {}
+    for r in star.join_version(lines, products).collect():
+        got.setdefault(r["bill_no"], []).append(r["product_sk"])
+    assert {k: sorted(v, key=str) for k, v in got.items()} == want
+    inner = star.join_version(lines, products, "inner").collect()
+    assert sorted((r["bill_no"], r["product_sk"]) for r in inner) == sorted((k, s) for k, v in want.items() for s in v if s is not None)
+
+
+def test_quantile_sketches_keep_their_bound(spark):
+    rows = spark.range(0, 50_000, 1, 7).select(
+        F.concat(F.lit("p"), F.least(F.col("id") % 13, F.lit(5))).alias("portal_id"), (F.col("id") * F.col("id") % 65_521).alias("a"),
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("b"), F.lit(None).cast("long").alias("c"),
+    )
+    measures = {"a": F.col("a"), "b": F.col("b")}
+    for k in (64, 200):
+        checked = profile.sketch_check(rows, measures, "portal_id", k=k).collect()
+        assert len(checked) == 14 and all(r["in_bounds"] and r["row_count"] == 50_000 for r in checked)
+    merged = profile.merged_sketches(profile.quantile_sketches(rows, measures, ["portal_id"]), ["a", "b"])
+    exact = {r["measure"]: r for r in profile.distribution(rows, measures).collect()}
+    read = {r["measure"]: r for r in profile.sketched_quantiles(merged, ["a", "b"], profile.LENGTH_SHARES).collect()}
+    assert abs(read["a"]["p50"] - exact["a"]["p50"]) < 65_521 * 0.03 and read["b"]["p25"] == 7
