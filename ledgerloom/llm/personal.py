@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds what they miss.
 
 The patterns take the leftmost match and drop it when a check fails, so neighbours that run into each other (a phone
-number and a card number with a blank between) are lost together.  The field looks at windows of text around digits and
-at-signs, cuts them into atoms (runs of letters, runs of digits, single characters), and scores *whole segments* of up to
-``MAX_ATOMS`` atoms by features of the segment as such: number and grouping of digits, separators, checksum, edges, the
-word before.  Dynamic programming over atoms then chooses boundaries and types together.  Its weights are fitted here, by
-likelihood, on windows of a bounded sample in which the patterns' matches are taken as true.
+number and a card number with a blank between) are lost together; and they know nothing of *secrets*, keys and tokens of
+letters and digits at random.  The field looks at windows of text around digits and at-signs, cuts them into atoms (runs of
+letters, runs of digits, long runs of both, single characters), and scores *whole segments* of up to ``MAX_ATOMS`` atoms by
+features of the segment as such: number and grouping of digits, separators, checksum, variety of signs, edges, the word
+before the segment.  Dynamic programming over atoms then chooses boundaries and types together.  Its weights are fitted here, by
+likelihood, on windows of a bounded sample in which the patterns' matches are taken as true, and on made-up ones, which are
+all that tells of secrets.
 """
 
 from __future__ import annotations
@@ -30,12 +32,17 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+#: All kinds that the field tells apart.
+TYPES = (*KINDS, "secret")
 NEEDED = {"email": "@", "phone": "+", "ip": ".", "card": ""}
 CUES = {"mail", "email", "write", "ip", "host", "server", "card", "visa", "pay", "tel", "phone", "call", "mobile", "fax"}
+#: Words that stand before a secret.
+SECRET_CUES = {"token", "key", "apikey", "api_key", "secret", "password", "passwd", "pwd", "auth", "bearer", "credential"}
 
 MAX_ATOMS = 24
 MARKED = re.compile(r"[0-9@]+")
-ATOM = re.compile(r"[A-Za-z]+|[0-9]+|.", re.DOTALL)
+MIXED = r"(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{16,}"
+ATOM = re.compile(MIXED + r"|[A-Za-z]+|[0-9]+|.", re.DOTALL)
 DIGITS = re.compile(r"[0-9]+")
 
 Span = tuple[str, int, int]
@@ -55,6 +62,9 @@ def valid(kind: str, text: str) -> bool:
     """The check that a match of a kind must pass."""
     if kind == "email":
         return PATTERNS["email"].fullmatch(text) is not None
+    if kind == "secret":
+        signs = [c for c in text if c.isalnum()]
+        return len(signs) >= 16 and sum(c.isdigit() for c in signs) >= 3 and sum(c.isalpha() for c in signs) >= 3 and len(set(signs)) >= 8
     parts = DIGITS.findall(text)
     n = sum(map(len, parts))
     if kind == "ip":
@@ -106,15 +116,22 @@ class Lattice:
 
 
 def lattice(text: str, start: int, end: int) -> Lattice:
-    """Candidates hold an at-sign, or no letter and nine digits or four runs of them, and begin and end with a sign."""
+    """Candidates hold an at-sign, or a long run of letters and digits, or no letter and nine digits or four runs of them;
+    they begin and end with a sign."""
     found = [(m.start(), m.end()) for m in ATOM.finditer(text, start, end)]
-    kind = ["d" if text[a].isdigit() and text[a].isascii() else "a" if text[a].isalpha() and text[a].isascii() else text[a] for a, _ in found]
+
+    def kind_of(a: int, b: int) -> str:
+        part = text[a:b]
+        if not part.isascii() or not part.isalnum():
+            return part[0]
+        return "d" if part.isdigit() else "a" if part.isalpha() else "m"
+
+    kind = [kind_of(a, b) for a, b in found]
     out = Lattice(start, [a for a, _ in found] + [end], kind)
-    before = text[max(0, start - 16) : start].split()
-    cue = "cue=" + (before[-1].strip(".,:;").lower() if before and before[-1].strip(".,:;").lower() in CUES else "none")
     for i, first in enumerate(kind):
-        if first not in "da+(":
+        if first not in "dam+(":
             continue
+        cue, mixed = _cue(text, found[i][0]), 0
         digits = runs = ats = 0
         letters = False
         for j in range(i, min(len(kind), i + MAX_ATOMS)):
@@ -123,18 +140,34 @@ def lattice(text: str, start: int, end: int) -> Lattice:
                 digits, runs = digits + found[j][1] - found[j][0], runs + 1
             elif k == "a":
                 letters = True
+            elif k == "m":
+                letters, mixed = True, mixed + 1
             elif k == "@":
                 ats += 1
             elif k not in " .-()+_%":
                 break
             if ats > 1 or (k == " " and (ats or letters)):
                 break
-            if k in "da" and (ats or (not letters and (digits >= 9 or runs >= 4))):
-                out.segments.append((i, j + 1, _features(text, found[i][0], found[j][1], digits, runs, ats, letters, cue)))
+            if k in "dam" and (ats or mixed or (not letters and (digits >= 9 or runs >= 4))):
+                out.segments.append((i, j + 1, _features(text, found[i][0], found[j][1], digits, runs, ats, letters, mixed > 0, cue)))
     return out
 
 
-def _features(text: str, a: int, b: int, digits: int, runs: int, ats: int, letters: bool, cue: str) -> tuple[str, ...]:
+BEFORE = re.compile(r"([A-Za-z_]+)([^A-Za-z_]{0,6})$")
+
+
+def _cue(text: str, at: int) -> str:
+    """The word before a segment, if it says something about what follows, and how it is set off."""
+    before = BEFORE.search(text, max(0, at - 24), at)
+    if not before:
+        return "cue=none"
+    word, gap = before[1].lower(), before[2]
+    if word in SECRET_CUES:
+        return "cue=secret" + ("=" if "=" in gap or ":" in gap else "")
+    return "cue=" + word if word in CUES and "\n" not in gap else "cue=none"
+
+
+def _features(text: str, a: int, b: int, digits: int, runs: int, ats: int, letters: bool, mixed: bool, cue: str) -> tuple[str, ...]:
     segment = text[a:b]
     left, right = text[a - 1 : a], text[b : b + 2]
     out = ["bias", f"digits={min(digits, 20)}" if not ats else "digits=@", f"runs={min(runs, 7)}" if not ats else "runs=@", cue]
@@ -142,7 +175,18 @@ def _features(text: str, a: int, b: int, digits: int, runs: int, ats: int, lette
     for name, there in (("at", ats), ("letters", letters), ("blank", " " in segment), ("paren", "(" in segment), ("dash", "-" in segment), ("dot", "." in segment)):
         if there:
             out.append(name)
-    if not ats:
+    if mixed and not ats:
+        signs = [c for c in segment if c.isalnum()]
+        figures = sum(c.isdigit() for c in signs) / len(signs)
+        out.append("mixed")
+        out.append(f"long={min(len(signs) // 8, 5)}")
+        out.append("mixed hex" if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", segment) else "mixed other")
+        out.append(f"figures={int(4 * figures)}")
+        # at random, letters and digits take turns often
+        turns = sum(a.isdigit() != b.isdigit() for a, b in zip(signs, signs[1:], strict=False)) / len(signs)
+        out.append(f"turns={min(int(10 * turns), 5)}")
+        out.append("quoted" if left in ("\"", "'", "`") and right[:1] == left else "bare")
+    elif not ats:
         parts = DIGITS.findall(segment)
         if runs == 4 and segment.count(".") == 3 and len(segment) == digits + 3:
             out.append("quad" if all(len(p) <= 3 and int(p) <= 255 for p in parts) else "quad over")
@@ -173,11 +217,11 @@ class Field:
 
     def _outside(self, graph: Lattice) -> list[float]:
         w = self.weights
-        return [w.get(("outside", k if k in "da@+" else "other"), 0.0) for k in graph.plain]
+        return [w.get(("outside", k if k in "dam@+" else "other"), 0.0) for k in graph.plain]
 
     def _scored(self, graph: Lattice) -> list[tuple[int, int, str, tuple[str, ...], float]]:
         w = self.weights
-        return [(i, j, kind, fs, sum(w.get((kind, f), 0.0) for f in fs)) for i, j, fs in graph.segments for kind in KINDS]
+        return [(i, j, kind, fs, sum(w.get((kind, f), 0.0) for f in fs)) for i, j, fs in graph.segments for kind in TYPES]
 
     def best(self, graph: Lattice) -> list[Span]:
         """The highest-scoring way to cut the window into segments and atoms outside."""
@@ -225,7 +269,7 @@ class Field:
                     out[kind, f] = out.get((kind, f), 0.0) + change
         for j in range(n):
             change = (j not in covered) - math.exp(min(0.0, forward[j] + outside[j] + backward[j + 1] - total))
-            key = ("outside", graph.plain[j] if graph.plain[j] in "da@+" else "other")
+            key = ("outside", graph.plain[j] if graph.plain[j] in "dam@+" else "other")
             out[key] = out.get(key, 0.0) + change
         return out
 
@@ -237,13 +281,14 @@ def _logsum(values: list[float]) -> float:
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the fit: texts read, windows taken from each, windows used, and passes over them."""
+    """Bounds of the fit: texts read, windows taken from each, windows used, made-up windows, and passes over them."""
 
     texts: int = 3_000
     windows_a_text: int = 4
     windows: int = 600
     passes: int = 12
     rate: float = 0.3
+    made_up: int = 200
     decay: float = 0.002
 
 
@@ -255,6 +300,28 @@ EXAMPLES = (
 )
 
 
+def made_up_secrets(n: int, seed: int) -> list[tuple[str, set[Span]]]:
+    """Windows with a secret, and others with long words of letters and digits that are none."""
+    rng = random.Random(seed)
+    signs = {"hex": "0123456789abcdef", "upper": "0123456789ABCDEF", "any": "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    words = ["photo", "backup", "final", "version", "build", "release", "section", "article", "draft", "report", "figure", "appendix", "invoice", "chapter"]
+    out = []
+    for k in range(n):
+        if k % 2:
+            secret = "".join(rng.choice(signs[rng.choice(sorted(signs))]) for _ in range(rng.choice([20, 24, 32, 40, 64])))
+            if not valid("secret", secret):
+                continue
+            quote = rng.choice(["\"", "\"", "'", ""])
+            cue = rng.choice(sorted(SECRET_CUES) + ["the", "with", "x"])
+            before = f"{rng.choice(words)} {rng.choice([cue, cue.upper()])}{rng.choice([' = ', '=', ': ', ' '])}{quote}"
+            out.append((f"{before}{secret}{quote}{rng.choice(['', ',', '.', ' ok'])}", {("secret", len(before), len(before) + len(secret))}))
+        else:
+            name = "".join(rng.choice(words) + str(rng.randrange(10 ** rng.choice([1, 2, 4, 8]))) for _ in range(rng.choice([2, 2, 3])))
+            quote = rng.choice(["", "", "\""])
+            out.append((f"{rng.choice(['the', 'see', 'of', 'file', 'key'])}{rng.choice([' ', ' = ', ': '])}{quote}{name}{quote} is", set()))
+    return out
+
+
 def _training_windows(docs: DataFrame, fit: Fit, id_col: str, text_col: str) -> list[tuple[str, int, int]]:
     chosen = docs.select(F.col(id_col).alias("id")).where("id is not null").orderBy(F.xxhash64("id"), "id").limit(fit.texts).distinct()
     texts = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).join(F.broadcast(chosen), "id").select("text")  # fit.texts ids at most
@@ -285,8 +352,10 @@ def learn(docs: DataFrame, fit: Fit = Fit(), id_col: str = "doc_id", text_col: s
 
 def learn_from(taken: list[tuple[str, int, int]], fit: Fit = Fit()) -> Field:
     examples = [(t, 0, len(t)) for t in EXAMPLES] + taken
-    data = []
+    data = [(lattice(text, a, b), gold) for text, gold in made_up_secrets(fit.made_up, 1) for a, b in windows(text)]
     for text, a, b in examples:
+        if (text, a, b) not in examples[: len(EXAMPLES)] and re.search(MIXED, text[a:b]):
+            continue  # what it is, the patterns do not say
         gold = [s for s in base_spans(text) if a <= s[1] and s[2] <= b]
         failed = [m.group() for kind in KINDS[1:] for m in PATTERNS[kind].finditer(text, a, b) if not valid(kind, m.group())]
         missed = any(sum(map(len, DIGITS.findall(x))) >= 9 for x in failed)
@@ -323,13 +392,14 @@ def spans_of(text: str, model: Field) -> tuple[list[Span], list[Span]]:
     """The patterns' spans, and these with what the field adds; by kind, then start."""
     base = base_spans(text)
     more = added_spans(text, base, model)
-    return base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+    return base, sorted(base + more, key=lambda s: (TYPES.index(s[0]), s[1], s[2]))
 
 
 def found(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, base, spans`` (arrays of kind, start, end) for every row, ends exclusive, in code points.
 
-    Null and empty texts have no spans; repeated rows and null ids keep a row each; other columns are not read.
+    Null and empty texts have no spans; repeated rows and null ids keep a row each; no rows give no rows; other columns
+    are not read.
     """
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 

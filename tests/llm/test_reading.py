@@ -106,6 +106,41 @@ def test_field_adds_what_the_patterns_lose(field):
     assert [(k, LOST[a:b]) for k, a, b in spans] == [("card", "4524132264652876"), ("phone", "+1 (269) 555-3296")]
 
 
+def held_out_windows(seed):
+    """Texts in which the patterns find nothing, and what is in them."""
+    rng = random.Random(seed)
+    out = list(personal.made_up_secrets(400, seed))
+    for _ in range(150):
+        card = [rng.randrange(10) for _ in range(15)]
+        card.append(next(d for d in range(10) if personal.luhn("".join(map(str, [*card, d])))))
+        card = "".join(map(str, card))
+        phone = f"+{rng.randint(1, 99)} ({rng.randint(100, 999)}) {rng.randint(100, 999)}-{rng.randint(1000, 9999)}"
+        text = f"{rng.choice(['x', 'call', 'or'])} {phone} {card} {rng.choice(['y', 'and'])}"
+        if not personal.base_spans(text):
+            at = text.index(phone)
+            out.append((text, {("phone", at, at + len(phone)), ("card", at + len(phone) + 1, at + len(phone) + 17)}))
+    return out
+
+
+def test_added_spans_of_held_out_windows(field):
+    right = said = true = 0
+    by_kind = {}
+    for text, gold in held_out_windows(77):
+        base, spans = personal.spans_of(text, field)
+        more = set(spans) - set(base)
+        right, said, true = right + len(more & gold), said + len(more), true + len(gold)
+        for kind, a, b in gold:
+            by_kind.setdefault(kind, []).append((kind, a, b) in more)
+    assert right / said >= 0.95 and right / true >= 0.9, (right, said, true)
+    assert {k: np.mean(v) >= 0.85 for k, v in by_kind.items()} == {"secret": True, "phone": True, "card": True}
+
+
+def test_secrets_are_found_with_their_own_cue(field):
+    text = 'so the token = "2100a60029d9170a161913d4d019930026318f5d" for section2019final04draft is set'
+    assert personal.base_spans(text) == []
+    assert [(k, text[a:b]) for k, a, b in personal.spans_of(text, field)[1]] == [("secret", "2100a60029d9170a161913d4d019930026318f5d")]
+
+
 @pytest.mark.parametrize("text", ["", "plain words", "version 2.0. of 1999", "1 2 3 4 5 6 7 8 9 10 11 12 13", "a@b", "999.1.1.1", "4111111111111112"])
 def test_nothing_is_added_to_clean_text(field, text):
     assert personal.spans_of(text, field) == ([], [])
