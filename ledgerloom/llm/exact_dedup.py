@@ -121,7 +121,7 @@ def decisions(
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns; null texts are copies of empty ones, no rows give no rows."""
     try:
         docs.metadataColumn("_metadata")
     except AnalysisException:

@@ -122,7 +122,7 @@ def mixed(
 def realised(
     docs: DataFrame, target: Target = Target(), seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> DataFrame:
-    """``docs`` as the mix takes them: all columns, a row as often as it is taken.
+    """``docs`` as the mix takes them: all columns, a row as often as it is taken; a null source is a source of its own.
 
     The beginning of a permutation is every row up to a key, so texts only meet the small table of last keys per source.
     """

@@ -50,7 +50,8 @@ def sharded(docs: DataFrame, weights: Sequence[float], grown: Sequence[float] |
     """``id, size, text_crc32, shard[, grown_shard], slot`` for every row.
 
     ``size`` is the text's UTF-8 bytes plus one; a null text has none and the checksum of no bytes.  ``slot`` numbers a
-    shard's rows without gaps from 0.  Repeated rows have a slot each.
+    shard's rows without gaps from 0.  Repeated rows have a slot each, a null id is a key like any other, and no rows give
+    no rows.
     """
     text = whole(text_col)
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))

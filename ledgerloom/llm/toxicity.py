@@ -341,8 +341,8 @@ def _counter(model: Model):
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score`` for every row.
 
-    Null and empty texts get the score of a text without hits; repeated rows and null ids keep a row each; no
-    other column is read.
+    Null and empty texts get the score of a text without hits; repeated rows and null ids keep a row each; no rows give
+    no rows; no other column is read.
     """
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(model)
@@ -355,7 +355,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score under ``threshold``, with all their columns."""
+    """The rows of ``docs`` that score under ``threshold``, with all their columns; null texts score as empty ones."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(model)
         for block in blocks(batches, text_col):
