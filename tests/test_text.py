@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import parsing
 from ledgerloom.functions import text as T
-from ledgerloom.functions.hashing import MODULUS, coefficients, token_hash
+from ledgerloom.functions.hashing import MODULUS, coefficients, hash_grams, token_hash
 from ledgerloom.functions.similarity import jaccard
-from ledgerloom.operators.signatures import hashed, with_signatures
+from ledgerloom.operators.signatures import hashed, shingle_columns, with_signatures
+from ledgerloom.session import spread
 
 
 def one(spark, expression, **values):
@@ -109,3 +110,31 @@ def test_dates_and_money(spark):
     assert one(spark, parsing.parse_date(F.col("t")), t="31-02-2024") is None
     for written in ("Rs. 4,50,00,000/-", "Rs. 450.00 lakh", "INR 4.500 Cr", "45000000", "RUPEES 4,50,00,000 ONLY"):
         assert one(spark, parsing.parse_money(F.col("t")), t=written) == 45_000_000
+
+
+def test_rows_of_one_row_group_are_dealt_to_every_core(spark, tmp_path):
+    path = str(tmp_path / "one.parquet")
+    spark.range(4000).select("id", F.md5(F.col("id").cast("string")).alias("text")).coalesce(1).write.parquet(path)
+    splits = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        one = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        assert one.rdd.getNumPartitions() >= cores
+        held = spread(one).groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) > cores // 2 and max(r["count"] for r in held) <= 2 * 4000 // cores
+        assert sorted(r["id"] for r in spread(one).collect()) == list(range(4000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", splits)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_shingles_over_batches_are_those_of_the_expressions(spark):
+    texts = [(0, "p", "Tender Notice: A b c", "one two three four two three four"), (1, "p", "x", "one"), (2, None, None, None), (3, "q", "", "É a1 _b c")]
+    rows = spark.createDataFrame(texts, "notice_id bigint, portal_id string, title string, body string")
+    for cleaned in (True, False):
+        title, body = shingle_columns(cleaned)
+        stated = {r["notice_id"]: r for r in rows.select("notice_id", hash_grams(title).alias("t"), hash_grams(body).alias("b")).collect()}
+        for row in hashed(rows, cleaned).collect():
+            assert (row["title_set"], row["body_set"]) == (stated[row["notice_id"]]["t"], stated[row["notice_id"]]["b"])
