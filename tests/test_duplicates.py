@@ -11,7 +11,11 @@ from ledgerloom.operators import evaluation as E
 from ledgerloom.operators import similarity_join as SJ
 from ledgerloom.operators.components import min_labels
 from ledgerloom.operators.ordered import cumulative, folded_by_value, percentiles
-from ledgerloom.operators.signatures import signed
+from ledgerloom.functions.hashing import hash_grams
+from ledgerloom.functions.similarity import jaccard
+from ledgerloom.operators.signatures import hashed, raw_shingles, signed, with_signatures
+from ledgerloom.plans import notice_inputs as N
+from ledgerloom.session import materialise
 from ledgerloom.sources import lake
 from ledgerloom.streaming import arrivals
 
@@ -515,3 +519,25 @@ def test_holdout_covers_every_pair(scored):
     df, rows = scored
     judged = E.holdout_threshold(df, "s").collect()
     assert len(judged) == 2 and sum(r["tp"] + r["fp"] + r["fn"] + r["tn"] for r in judged) == len(rows)
+
+
+def test_scored_pairs_are_those_of_the_pool_without_shuffled_sets(spark):
+    """Repeated and missing ids, empty texts and a crowded hash; rooms and tiles of a few rows."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(30)]
+    body = lambda: " ".join(["start here now", *(rng.choice(words) for _ in range(6))])
+    rows = [(k, "p", "A title " + rng.choice(words), body()) for k in range(-3, 60) if k % 7]
+    rows += [(k, "p", f"T {k}", "one two three four") for k in range(100, 140, 2)]
+    rows += [(4, "q", "Another title", body()), (5, "q", "Another title", None), (None, "p", "x", body()), (200, None, None, None), (201, "p", "", "")]
+    notices = spark.createDataFrame(rows, "notice_id bigint, portal_id string, title string, body string")
+    sets = materialise(with_signatures(hashed(notices)), "sets")
+    raw = notices.where("notice_id is not null").select("notice_id", hash_grams(raw_shingles()).alias("raw_set"))
+    pairs = N.labelled(sets)
+    plain = matching.exact_scores(pairs, sets)
+    with_raw = matching.both_sides(plain, raw, ["raw_set"]).withColumn("raw_similarity", jaccard(F.col("raw_set_a"), F.col("raw_set_b")))
+    tuples = lambda df, columns: sorted(tuple(r) for r in df.select(*columns).collect())
+    for stated, is_raw in ((plain, False), (with_raw, True)):
+        found = N.scored_pairs(notices, is_raw, room=8, hot=5)
+        assert tuples(stated, found.columns) == tuples(found, found.columns) and stated.count() > 80
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "_set" not in plan
