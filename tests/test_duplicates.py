@@ -281,6 +281,27 @@ def test_a_template_group_whose_head_is_far_away_lists_few_pairs(spark, monkeypa
     assert 5000 <= sum(listed) < 60_000 * 5
 
 
+def test_a_bucket_under_the_cap_is_not_paired_in_full_for_clusters(spark, monkeypatch):
+    sets = signed(spark.createDataFrame(template(140), NOTICE))
+    listed = []
+    inner = matching.confirmed
+
+    def counting(pairs, *rest):
+        listed.append(pairs.count())
+        return inner(pairs, *rest)
+
+    monkeypatch.setattr(matching, "confirmed", counting)
+    mapping = {r["notice_id"]: r["root_id"] for r in cards.card_map(sets).collect()}
+    assert mapping == {0: 0, **{i: 1 for i in range(1, 141)}}
+    assert 140 <= sum(listed) < 140 * 139 // 4
+
+
+def test_sets_are_shuffled_for_verification_alone(spark):
+    sets = signed(spark.createDataFrame(template(30), NOTICE))
+    plan = matching.screened(sets)._jdf.queryExecution().executedPlan().toString()
+    assert "signature" in plan and "body_set" not in plan
+
+
 def test_every_link_of_a_bucket_of_over_a_thousand_wordings(spark):
     sets = signed(spark.createDataFrame(template(1100, 20), NOTICE))
     rows = as_dict(sets)
