@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import lines as L
 from ledgerloom.operators import profile, reporting, star
-from ledgerloom.sources import lake, pos_exports, relations
+from ledgerloom.plans import retail
+from ledgerloom.sources import lake, pos_exports, relations, tables
 from ledgerloom.sources.tables import DISCOUNT_KEY, UNKNOWN_KEY
 
 LINE = (
@@ -288,3 +289,16 @@ def test_quantile_sketches_keep_their_bound(spark):
     exact = {r["measure"]: r for r in profile.distribution(rows, measures).collect()}
     read = {r["measure"]: r for r in profile.sketched_quantiles(merged, ["a", "b"], profile.LENGTH_SHARES).collect()}
     assert abs(read["a"]["p50"] - exact["a"]["p50"]) < 65_521 * 0.03 and read["b"]["p25"] == 7
+
+
+def test_dates_in_parts_are_not_carried_through_the_deduplication(spark, tmp_path):
+    rows = [(1 + k % 3, 1 + k % 2, 7, 5, float(1 + k % 4), 10.0 * (k % 5), "RNA"[k % 3], "OF"[k % 2], None if k == 11 else f"199{k % 6}-0{1 + k % 9}-1{k % 9}") for k in range(40)]
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, day string"
+    table = spark.createDataFrame(rows, columns).withColumn("l_shipdate", F.to_timestamp("day")).drop("day")
+    table.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = retail.deduplicated(spark, str(tmp_path))
+    stated = L.dedup_lines(tables.raw_sales_lines(spark, str(tmp_path)))
+    assert found.columns == stated.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, stated.collect())) and found.count() == 6
+    struct = next(x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x)
+    assert "business_date" in struct and "year" not in struct
