@@ -351,6 +351,27 @@ def test_arrival_that_meets_two_cards_takes_the_smaller(spark):
     assert mapped == {15: "CARD-10"} and aliases == {"CARD-12": "CARD-10"}
 
 
+def written(monkeypatch, *modules):
+    """Columns of everything that ``materialise`` writes for some modules from now on."""
+    seen = []
+    for module in modules:
+        monkeypatch.setattr(module, "materialise", lambda df, label: seen.append((label, df.columns)) or materialise(df, label))
+    return seen
+
+
+def test_arrivals_and_their_sets_are_not_copied(spark, monkeypatch):
+    seen = written(monkeypatch, cards, matching)
+    base = [(10, "p0", "road works north", BODY), (20, "p2", "school", "paint every wall of the old school")]
+    mapped, _ = arriving(spark, base, [(5, "p3", "road works north", BODY + " soon"), (20, "p0", "changed", "already known")])
+    assert mapped == {5: "CARD-10"}
+    assert len(seen) > 4 and not [label for label, columns in seen if {"signature", "title_set", "body_set"} & {*columns}]
+
+
+def test_sides_of_pairs_are_rows_of_these_pairs_alone(spark, sets):
+    pairs = spark.createDataFrame([(1, 2), (2, 5)], "id_a bigint, id_b bigint")
+    assert {r["notice_id"] for r in matching._ends(pairs, sets).select("notice_id").collect()} == {1, 2, 5}
+
+
 def test_stream_is_safe_to_repeat(spark, tmp_path):
     store = arrivals.CardStore(spark, str(tmp_path / "store"))
     first = spark.createDataFrame([(10, "p0", "road works north", BODY), (11, "p1", "road works north", BODY)], NOTICE)

@@ -1,11 +1,13 @@
 import hashlib
+import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import parsing
 from ledgerloom.functions import text as T
-from ledgerloom.functions.hashing import MODULUS, coefficients, hash_grams, token_hash
+from ledgerloom.functions.hashing import MODULUS, coefficients, gram_hashes, grams_of, hash_grams, token_hash
 from ledgerloom.functions.similarity import jaccard
 from ledgerloom.operators.signatures import hashed, shingle_columns, with_signatures
 from ledgerloom.session import spread
@@ -138,3 +140,12 @@ def test_shingles_over_batches_are_those_of_the_expressions(spark):
         stated = {r["notice_id"]: r for r in rows.select("notice_id", hash_grams(title).alias("t"), hash_grams(body).alias("b")).collect()}
         for row in hashed(rows, cleaned).collect():
             assert (row["title_set"], row["body_set"]) == (stated[row["notice_id"]]["t"], stated[row["notice_id"]]["b"])
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_hashes_of_many_texts_at_once_are_those_of_each_gram(n):
+    rng = random.Random(n)
+    words = ["a" * k for k in (1, 2, 16, 17, 18, 27, 28, 53, 54, 55, 56, 57, 64, 119, 130)] + [f"w{k}" for k in range(60)] + ["\u00e9\u00df", "\u4e16"]
+    texts = ["", None, "one", "one two", "a b a b a b", *(" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(600)), ""]
+    stated = [[int.from_bytes(hashlib.md5(g.encode()).digest()[:8], "little") & MODULUS for g in grams_of(t, n)] for t in texts]
+    assert [h.tolist() for h in gram_hashes(texts, n)] == stated and gram_hashes([], n) == []
