@@ -384,6 +384,20 @@ def test_stream_is_safe_to_repeat(spark, tmp_path):
     assert {r["notice_id"]: r["card_id"] for r in store.card_map().collect()} == before and store.card_map().count() == 3
 
 
+def test_a_batch_copies_neither_its_texts_nor_its_sets(spark, tmp_path, monkeypatch):
+    seen = written(monkeypatch, arrivals)
+    store = arrivals.CardStore(spark, str(tmp_path / "store"), slots=2)
+    rows = [(10, "p1", "b", "y"), (10, "p0", "z", "z"), (10, "p0", "a", None), (11, None, "t", BODY), (None, "p2", "n", "n"), (None, "p1", "m", "m")]
+    store.add(spark.createDataFrame(rows, NOTICE), 0)
+    kept = {(r["notice_id"], r["portal_id"]) for r in store.signed().collect()}
+    assert kept == {(10, "p0"), (11, None), (None, "p1")} and store.signed().count() == 3 and store.index().count() == 96
+    assert {r["notice_id"]: r["card_id"] for r in store.card_map().collect()} == {10: "CARD-10", 11: "CARD-11"}
+    new, count = store._new(spark.createDataFrame([*rows, (12, "p0", "c", "c")], NOTICE), "batch-000000000001")
+    assert {r["notice_id"] for r in new.collect()} == {None, 12} and count == 2
+    copied = {label for label, columns in seen if {"title", "body", "title_set", "body_set"} & {*columns}}
+    assert copied <= {"stored"}  # the stored notices that the batch meets
+
+
 def test_a_batch_leaves_the_store_as_it_is_and_reads_what_it_meets(spark, tmp_path):
     store = arrivals.CardStore(spark, str(tmp_path / "store"))
     other = [(100 + i, f"p{i % 3}", f"title {i} alone", f"body {i} of other words number {i * 7}") for i in range(30)]
