@@ -257,8 +257,8 @@ from pool"""),
     "bucket_lookup": _q("""
 select band_id, bucket_hash, notice_id from bands semi join (select band_id, bucket_hash from bands where notice_id % 20 = 0) using (band_id, bucket_hash)"""),
     "probe_expansion": _q("""
-select distinct x.notice_id as probe_id, representative from bands x join bands y using (band_id, bucket_hash)
-join wording w on w.notice_id = y.notice_id where x.notice_id <> y.notice_id and x.notice_id % 20 = 0"""),
+select distinct x.notice_id as probe_id, y.notice_id as candidate_id from bands x join bands y using (band_id, bucket_hash)
+where x.notice_id <> y.notice_id"""),
     "class_membership": _q("select representative, notice_id from wording"),
     "screen_pairs": _q(f"select id_a, id_b, round(screen_score, 6) as screen_score from class_agree where screen_score >= {SCREEN}"),
     "verify_pairs": _q("""

@@ -597,3 +597,22 @@ def test_scored_pairs_are_those_of_the_pool_without_shuffled_sets(spark):
         assert tuples(stated, found.columns) == tuples(found, found.columns) and stated.count() > 80
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert "_set" not in plan
+
+
+def stored_documents(spark, folder, rows):
+    """Notices ``(notice_id, portal_id, title, body)`` as the table ``documents``; titles end where the body begins."""
+    made = [(i, f"{title}. {body}", "en", portal, len(title) + 2 + len(body)) for i, portal, title, body in rows]
+    spark.createDataFrame(made, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_every_notice_is_a_probe_and_copies_are_candidates(spark, tmp_path):
+    from ledgerloom.plans import notices
+
+    rows = corpus()
+    found = notices.probe_expansion(spark, stored_documents(spark, tmp_path, rows)).collect()
+    signatures = as_dict(N.signed_notices(spark, str(tmp_path)))
+    pairs = band_pairs(signatures, across=False)
+    assert {tuple(r) for r in found} == {p for a, b in pairs for p in ((a, b), (b, a))} and len(found) == 2 * len(pairs)
+    copies = [r["notice_id"] for r in signatures.values() if r["text_key"] == signatures[rows[-1][0]]["text_key"]]
+    assert len(copies) > 2 and all((a, b) in {tuple(r) for r in found} for a in copies for b in copies if a != b)
