@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import materialise
+
 # Fixed value: the naming contract of the exports.
 FILE_NAME = r"SALES_(S[0-9]+)_([0-9]{4})([0-9]{2})([0-9]{2})(?:__R([0-9]+))?"
 MONEY = "decimal(12,2)"
@@ -93,7 +95,8 @@ def read_csv_dialect(spark: SparkSession, root: str, dialect: Dialect) -> DataFr
     header = F.lit(True)
     for at in place.values():
         header = header & (at > 0)
-    headers = lines.where(header).groupBy("file_path").agg(*[F.min(at).alias(f"at_{c}") for c, at in place.items()])
+    # a row for every file, stored so that its size is known
+    headers = materialise(lines.where(header).groupBy("file_path").agg(*[F.min(at).alias(f"at_{c}") for c, at in place.items()]), "headers")
     met = lines.where(~header).join(headers, "file_path", "left")
 
     def cell(name: str) -> Column:
@@ -141,10 +144,11 @@ def read_exports(spark: SparkSession, root: str, parquet_days: bool = False) ->
     return out
 
 
-def write_exports(lines: DataFrame, root: str, dialect: Dialect) -> None:
+def write_exports(lines: DataFrame, root: str, dialect: Dialect, dealt: bool = False) -> None:
     """Write normalised lines of one dialect's stores as its till software would.
 
-    One folder per export carries the file name's stem, since Spark names the files inside.
+    One folder per export carries the file name's stem, since Spark names the files inside.  Lines that are ``dealt`` to
+    tasks by export stay where they are.
     """
     stem = F.concat(
         F.lit("SALES_"), "store_id", F.lit("_"), F.date_format("business_date", "yyyyMMdd"),
@@ -159,7 +163,7 @@ def write_exports(lines: DataFrame, root: str, dialect: Dialect) -> None:
     values = lines.where(F.col("store_id").isin(*dialect.stores)).withColumn("ts", stamp)
     out = values.select(stem.alias("export"), *[F.col(c).cast("string").alias(back.get(c, c)) for c in order])
     (
-        out.hint("rebalance", "export")
+        (out if dealt else out.hint("rebalance", "export"))
         .write.mode("append")
         .option("header", True)
         .option("sep", dialect.separator)

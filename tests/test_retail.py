@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 from decimal import Decimal as D
 
 import pytest
@@ -302,3 +303,41 @@ def test_dates_in_parts_are_not_carried_through_the_deduplication(spark, tmp_pat
     assert sorted(map(str, found.collect())) == sorted(map(str, stated.collect())) and found.count() == 6
     struct = next(x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x)
     assert "business_date" in struct and "year" not in struct
+
+
+def test_rows_are_compared_by_group_digests_and_counted_where_these_differ(spark):
+    a = spark.range(2000).selectExpr("id % 700 as x", "if(id % 5 = 0, null, string(id % 3)) as y")
+    b = a.union(spark.createDataFrame([(5, None), (9000, "z")], "x bigint, y string")).where("x <> 11")
+    want_a, want_b = (Counter(map(tuple, rows.collect())) for rows in (a, b))
+    row = profile.same_rows(a, b, groups=16).first()
+    assert (row["rows_a"], row["rows_b"]) == (sum(want_a.values()), sum(want_b.values()))
+    assert (row["only_a"], row["only_b"], row["identical"]) == (sum((want_a - want_b).values()), sum((want_b - want_a).values()), False)
+    shuffled = profile.same_rows(a.repartition(5, "y"), a, groups=16)
+    assert shuffled.first()["identical"] and "group" in shuffled._jdf.queryExecution().optimizedPlan().toString()
+    nothing = profile.same_rows(a.limit(0), a.limit(0)).first()
+    assert (nothing["rows_a"], nothing["identical"]) == (None, None)
+
+
+def test_lines_are_shuffled_without_what_follows_from_them(spark, tmp_path):
+    rows = [(k % 7 if k % 9 else None, 1 + k % 2, k % 5, 1 + k % 3, float(k), 2.0 * k, "RNA"[k % 3], "OF"[k % 2], dt.datetime(1995, 1 + k % 3, 2, k % 24, 30)) for k in range(60)]
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    stated = L.dedup_lines(tables.raw_sales_lines(spark, str(tmp_path)))
+    assert sorted(map(str, retail.deduplicated(spark, str(tmp_path)).collect())) == sorted(map(str, stated.collect()))
+    lake.land(retail.deduplicated_facts(spark, str(tmp_path)), str(tmp_path / "lake"), slot=retail.store_month_slot(), finish=tables.sales_lines)
+    landed = lake.scan(spark, str(tmp_path / "lake")).select(*stated.columns)
+    assert profile.same_rows(stated, landed).first()["identical"]
+    plan = retail.deduplicated(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    struct = next(x for x in plan.splitlines() if "Aggregate" in x)
+    assert "clock" in struct and "ts" not in struct.replace("structs", "") and "bill_no" not in struct
+
+
+def test_a_large_export_is_written_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(retail, "EXPORT_LINES", 10)
+    lines = [(1 + k % 30, 1, k % 5, 1 + k % 2, 1.0, 2.0 + k % 3, "N", "O", dt.datetime(1995, 1, 2)) for k in range(90)]
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(lines, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 0), (2, 1)], "s_suppkey bigint, s_nationkey bigint").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(0, 0), (1, 1)], "n_nationkey bigint, n_regionkey bigint").write.parquet(str(tmp_path / "nation.parquet"))
+    found = retail.exports(spark, str(tmp_path)).groupBy("bill_no", "resend_no").count().collect()
+    assert sorted((r["bill_no"], r["resend_no"], r["count"]) for r in found) == sorted((f"B{k}", n, 1) for k in range(1, 31) for n in range(3))
