@@ -616,3 +616,25 @@ def test_every_notice_is_a_probe_and_copies_are_candidates(spark, tmp_path):
     assert {tuple(r) for r in found} == {p for a, b in pairs for p in ((a, b), (b, a))} and len(found) == 2 * len(pairs)
     copies = [r["notice_id"] for r in signatures.values() if r["text_key"] == signatures[rows[-1][0]]["text_key"]]
     assert len(copies) > 2 and all((a, b) in {tuple(r) for r in found} for a in copies for b in copies if a != b)
+
+
+def test_estimates_of_words_in_rooms_equal_those_of_joined_signatures(spark):
+    from ledgerloom.functions.similarity import composite, estimated_jaccard
+    from ledgerloom.operators.signatures import worded
+
+    rows = corpus()
+    notices = spark.createDataFrame([*rows, rows[3]], NOTICE)
+    ids = [r[0] for r in rows]
+    pairs = spark.createDataFrame([(a, b, a * 0.5) for a in ids for b in ids if a < b and (a + b) % 3 == 0], "id_a bigint, id_b bigint, similarity double")
+    wide = with_signatures(hashed(notices), 16, interleaved=False)
+    joined = matching.both_sides(pairs, wide, ["title_sig", "body_sig"])
+    cut = lambda c, k: F.slice(c, 1, k)
+    want = [
+        row for k in (2, 5, 16) for row in joined.select("id_a", "id_b", "similarity", F.lit(k), composite(*[
+            estimated_jaccard(cut(F.col(f"{c}_a"), k), cut(F.col(f"{c}_b"), k)) for c in ("title_sig", "body_sig")
+        ])).collect()
+    ]
+    found = E.estimates_by_size(pairs, worded(notices), (2, 5, 16), room=7)
+    assert found.columns == ["id_a", "id_b", "similarity", "k", "estimate"]
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, want)) and len(want) > 3 * pairs.count()
+    assert "_sig" not in found._jdf.queryExecution().executedPlan().toString()
