@@ -638,3 +638,39 @@ def test_estimates_of_words_in_rooms_equal_those_of_joined_signatures(spark):
     assert found.columns == ["id_a", "id_b", "similarity", "k", "estimate"]
     assert Counter(map(tuple, found.collect())) == Counter(map(tuple, want)) and len(want) > 3 * pairs.count()
     assert "_sig" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_a_crowd_meet_in_rooms_and_ends_alone_are_shuffled(spark, monkeypatch):
+    from ledgerloom.operators import rooms
+
+    sets = signed(spark.createDataFrame([*template(60), *[(k, "p0", f"no pair {k}", "") for k in range(9000, 9040)]], NOTICE))
+    by_id = as_dict(sets)
+    listed = [(a, b) for a in range(61) for b in range(a + 1, 61) if (a * b) % 4 != 1]
+    pairs = spark.createDataFrame(listed, "id_a bigint, id_b bigint")
+    placed = rooms.by_partner(pairs, room=8).select("id_b", "room").distinct().collect()
+    assert len(placed) == 60 and len({r["room"] for r in placed}) > 3
+    kept = {r["notice_id"] for r in rooms.held_by(sets, pairs.select(F.col("id_a").alias("notice_id"))).collect()}
+    assert kept >= {a for a, _ in listed} and not kept & set(range(9000, 9040))
+    plain = {tuple(r) for r in matching.exact_scores(pairs, sets).where(F.col("similarity") >= 0.7).collect()}
+    found = rooms.compared(pairs, sets, ["title_set", "body_set"], matching._verifying(0.7, 0.5), "title_sim double, body_sim double, similarity double")
+    assert {tuple(r) for r in found.collect()} == plain and 0 < len(plain) < len(listed)
+    met = matching.screen(pairs, sets, 0.5, (32, 4)).collect()
+    found = rooms.compared(pairs, sets, ["signature"], matching._screening(0.5, 32, 4), "screen_score double").collect()
+    assert {tuple(r) for r in found} == {tuple(r) for r in met} and len(by_id) == 101
+    known = matching.links(sets, passed=matching.screened(sets)).collect()
+    assert {tuple(r) for r in known} == {tuple(r) for r in matching.links(sets).collect()}
+
+
+@pytest.mark.parametrize("across", ["portal_id", None])
+def test_work_recall_and_partners_from_rows_of_shared_buckets(spark, sets, rows, across):
+    shared = banding.shared_rows(sets, "portal_id")
+    held = Counter((r["band_id"], str(r["bucket"])) for r in shared.collect())
+    assert min(held.values()) > 1 and all(held[r["band_id"], str(r["bucket"])] == r["n"] for r in shared.collect())
+    singles = Counter((band, tuple(row["signature"][4 * band : 4 * band + 4])) for row in rows.values() for band in range(32))
+    assert sum(held.values()) == sum(n for n in singles.values() if n > 1) and 1 in singles.values()
+    work = {r["notice_id"]: r["work"] for r in E.work_per_notice(sets, across, shared=shared).collect()}
+    met = lambda a, b: sum(rows[a]["signature"][4 * k : 4 * k + 4] == rows[b]["signature"][4 * k : 4 * k + 4] for k in range(32))
+    other = lambda a, b: a != b and (not across or rows[a]["portal_id"] != rows[b]["portal_id"])
+    assert work == {a: sum(met(a, b) for b in rows if other(a, b)) for a in rows}
+    plan = E.work_per_notice(sets, across, shared=shared)._jdf.queryExecution().executedPlan().toString()
+    assert "signature" not in plan
