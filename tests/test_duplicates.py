@@ -674,3 +674,10 @@ def test_work_recall_and_partners_from_rows_of_shared_buckets(spark, sets, rows,
     assert work == {a: sum(met(a, b) for b in rows if other(a, b)) for a in rows}
     plan = E.work_per_notice(sets, across, shared=shared)._jdf.queryExecution().executedPlan().toString()
     assert "signature" not in plan
+
+
+def test_rows_of_a_repeated_id_are_combined_as_in_joins(spark):
+    rows = [(1, "p0", "a title of words", BODY), (2, "p1", "a title of words", f"{BODY} again"), (2, "p1", "a title of words", f"{BODY} again")]
+    sets = signed(spark.createDataFrame(rows, NOTICE))
+    assert [(r["id_a"], r["id_b"]) for r in matching.screened(sets).collect()] == [(1, 2)] * 4
+    assert [(r["id_a"], r["id_b"]) for r in matching.links(sets, passed=matching.screened(sets)).collect()] == [(1, 2)] * 8
